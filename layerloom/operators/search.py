@@ -86,22 +86,23 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, doc_id: str = "doc_id", te
     return _ranked(bm25_scores(docs, queries, doc_id, text), k, "doc_id")
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
-
-
 def _nearest(vectors: DataFrame, rows: list, k: int) -> DataFrame:
     """Best k of every batch for a bounded list of queries; the caller merges the batches."""
+
+    # Nested, so that the tasks need nothing but numpy and pandas.
+    def unit(matrix: np.ndarray) -> np.ndarray:
+        length = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
+
     ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    wanted = _unit(np.array([r["vector"] for r in rows], dtype=np.float64))
+    wanted = unit(np.array([r["vector"] for r in rows], dtype=np.float64))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if batch.empty:
                 continue
             have = batch["vec_id"].to_numpy()
-            cosine = np.round(_unit(np.stack(batch["vector"]).astype(np.float64)) @ wanted.T, SCORE_DIGITS)
+            cosine = np.round(unit(np.stack(batch["vector"]).astype(np.float64)) @ wanted.T, SCORE_DIGITS)
             best = [np.lexsort((have, -cosine[:, q]))[:k] for q in range(len(ids))]
             taken = np.concatenate(best)
             column = np.repeat(np.arange(len(ids)), [len(b) for b in best])

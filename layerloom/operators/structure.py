@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.fixed_values import ELEMENT_LISTS, PAYOFF_LABEL, REVIEW_LABEL
+from layerloom.fixed_values import (
+    BACKLINK_HEADING,
+    BACKLINK_HEADING_END,
+    ELEMENT_LISTS,
+    PAYOFF_LABEL,
+    REVIEW_LABEL,
+)
 from layerloom.functions import front_matter as fm
 from layerloom.functions import text as tx
 
@@ -120,7 +127,8 @@ def typed_references(pages: DataFrame) -> DataFrame:
     )
 
 
-def typed_episodes(pages: DataFrame) -> DataFrame:
+def typed_episodes(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Episode rows with their element lists; ``keep`` carries page columns along."""
     front = F.col("front_matter")
     lists = [fm.block_list(front, key).alias(key) for key in ELEMENT_LISTS]
     return _typed_base(pages).select(
@@ -128,6 +136,7 @@ def typed_episodes(pages: DataFrame) -> DataFrame:
         _value("chapter").alias("chapter"),
         tx.link_target(_value("arc")).alias("arc"),
         *lists,
+        *keep,
     )
 
 
@@ -231,8 +240,6 @@ def hand_written(body: Column) -> Column:
 
 def declared_backlinks(body: Column) -> Column:
     """The count a reference page prints in its backlink heading."""
-    from layerloom.fixed_values import BACKLINK_HEADING, BACKLINK_HEADING_END
-
     return tx.shown_count(body, BACKLINK_HEADING, BACKLINK_HEADING_END)
 
 
