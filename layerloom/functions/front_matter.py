@@ -9,21 +9,27 @@ from pyspark.sql import functions as F
 
 from layerloom.functions.text import group, text_or_null, unquote
 
-TOP_LEVEL_LINE = r"(?m)^(\w+):[ \t]*(.*)$"
+# Key, quote mark, value without its quotes.
+TOP_LEVEL_LINE = r"""(?m)^(\w+):[ \t]*(["']?)(.*?)\2[ \t]*$"""
+
+# Quote mark, item; a wikilink gives its target alone.
+LIST_ITEM = (
+    r"""(?m)^[ \t]*-[ \t]+(["']?)(?:\[\[(?=.*\]\]))?(.*?)(?:(?:[|#].*)?\]\])?\1[ \t]*$"""
+)
 
 
 def entries(front_matter: Column) -> Column:
     """All top-level ``key: value`` lines, as parallel arrays, in one look at the text."""
     return F.struct(
         F.regexp_extract_all(front_matter, F.lit(TOP_LEVEL_LINE), F.lit(1)).alias("keys"),
-        F.regexp_extract_all(front_matter, F.lit(TOP_LEVEL_LINE), F.lit(2)).alias("values"),
+        F.regexp_extract_all(front_matter, F.lit(TOP_LEVEL_LINE), F.lit(3)).alias("values"),
     )
 
 
 def scalar(found: Column, key: str) -> Column:
     """Value of a top-level key without its quotes; null when absent or empty."""
     at = F.nullif(F.array_position(found["keys"], F.lit(key)), F.lit(0)).cast("int")
-    return text_or_null(unquote(F.try_element_at(found["values"], at)))
+    return text_or_null(F.try_element_at(found["values"], at))
 
 
 def block_list(front_matter: Column, key: str) -> Column:
@@ -31,8 +37,7 @@ def block_list(front_matter: Column, key: str) -> Column:
     block = F.regexp_extract(
         front_matter, rf"(?ms)^{re.escape(key)}:[ \t]*$\n(.*?)(?=^\w|\z)", 1
     )
-    items = F.regexp_extract_all(block, F.lit(r"(?m)^[ \t]*-[ \t]+(.*)$"), F.lit(1))
-    found = F.transform(items, lambda i: F.regexp_replace(unquote(i), r"^\[\[([^\]|#]+).*$", "$1"))
+    found = F.regexp_extract_all(block, F.lit(LIST_ITEM), F.lit(2))
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
@@ -41,12 +46,16 @@ def nested(front_matter: Column, key: str) -> Column:
     return text_or_null(unquote(group(front_matter, rf"(?m)^[ \t]+{re.escape(key)}:[ \t]*(.*)$")))
 
 
-def provenance(front_matter: Column, key: str) -> Column:
-    """Struct of an inline ``{kind: ..., id: ..., date: ...}`` map."""
-    line = group(front_matter, rf"(?m)^[ \t]+{re.escape(key)}:[ \t]*\{{(.*)\}}[ \t]*$")
+def inline_map(front_matter: Column, key: str) -> Column:
+    """Text between the braces of an indented inline map."""
+    return F.regexp_extract(front_matter, rf"(?m)^[ \t]+{re.escape(key)}:[ \t]*\{{(.*)\}}[ \t]*$", 1)
+
+
+def provenance(inside: Column) -> Column:
+    """Struct of the text of an inline map ``kind: ..., id: ..., date: ...``."""
 
     def field(name: str) -> Column:
-        return text_or_null(unquote(group(line, rf"(?:^|,)[ \t]*{name}:[ \t]*([^,]*)")))
+        return group(inside, rf"""(?:^|,)[ \t]*{name}:[ \t]*(["']?)([^,]*?)\1[ \t]*(?=,|$)""", 2)
 
     return F.struct(
         field("kind").alias("kind"),

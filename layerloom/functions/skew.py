@@ -38,15 +38,17 @@ def join_dimension(
     salt_by: Sequence[str] | None = None,
     salts: int = SALTS,
     max_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join a large, possibly skewed table to a smaller one by equality.
 
     A measured-small side is broadcast. Otherwise it is repeated once per salt and the large side
     picks its salt from ``salt_by`` (a hash of row content, so a rerun task gives the same rows),
-    which spreads a hot key over ``salts`` tasks.
+    which spreads a hot key over ``salts`` tasks. ``small`` states what a measurement would find,
+    where it is known already or where measuring would compute the side twice.
     """
     on = list(on)
-    if measured_small(dimension, max_rows):
+    if measured_small(dimension, max_rows) if small is None else small:
         return facts.join(F.broadcast(dimension), on, how)
     salt = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int")
     spread = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

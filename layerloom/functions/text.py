@@ -18,9 +18,9 @@ from layerloom.fixed_values import (
 # First number of the second edition; the two editions are never ordered against each other.
 SECOND_EDITION_START = 5000
 
-# Last full-width parenthesis of a line, and one locator such as p36 or p118-p119 inside it.
+# Last full-width parenthesis of a line, and the locators such as p36 or p118-p119 listed in it.
 LAST_PARENTHESIS = r"^.*（([^（）]*)）[^（）]*$"
-LOCATOR = r"^\s*p(\d+)(?:\s*-\s*p?(\d+))?\s*$"
+LOCATOR = r"(?:^|[,、，])\s*p(\d+)(?:\s*-\s*p?(\d+))?\s*(?=[,、，]|$)"
 
 
 def any_of(words: Sequence[str]) -> str:
@@ -83,23 +83,34 @@ def evidence_rank(level: Column) -> Column:
 
 def locators(line: Column) -> Column:
     """Page ranges named by the last full-width parenthesis of a quote line."""
-    parts = F.split(F.regexp_extract(line, LAST_PARENTHESIS, 1), r"[,、，]")
-    known = F.filter(parts, lambda p: p.rlike(LOCATOR))
-    return F.transform(
-        known,
-        lambda p: F.struct(
-            F.regexp_extract(p, LOCATOR, 1).cast("int").alias("p_start"),
-            F.coalesce(group(p, LOCATOR, 2), F.regexp_extract(p, LOCATOR, 1))
-            .cast("int")
-            .alias("p_end"),
+    inside = F.regexp_extract(line, LAST_PARENTHESIS, 1)
+    starts = F.regexp_extract_all(inside, F.lit(LOCATOR), F.lit(1))
+    ends = F.regexp_extract_all(inside, F.lit(LOCATOR), F.lit(2))
+    return F.zip_with(
+        starts,
+        ends,
+        lambda start, end: F.struct(
+            start.cast("int").alias("p_start"),
+            # The second number is optional; an empty string is no integer.
+            F.coalesce(end.try_cast("int"), start.cast("int")).alias("p_end"),
         ),
     )
 
 
-def without_locators(line: Column) -> Column:
-    """The quote itself, its closing locator parenthesis removed when it holds one."""
-    bare = F.regexp_replace(line, r"（[^（）]*）[^（）]*$", "")
-    return F.when(F.size(locators(line)) > 0, bare).otherwise(line)
+def quotes(lines: Column) -> Column:
+    """Quote lines to (text, locators); the text loses its parenthesis when that holds locators."""
+    read = F.transform(lines, lambda q: F.struct(q.alias("line"), locators(q).alias("locators")))
+    return F.transform(
+        read,
+        lambda q: F.struct(
+            F.when(
+                F.size(q["locators"]) > 0, F.regexp_replace(q["line"], r"（[^（）]*）[^（）]*$", "")
+            )
+            .otherwise(q["line"])
+            .alias("text"),
+            q["locators"].alias("locators"),
+        ),
+    )
 
 
 def labelled_text(body: Column, label: str) -> Column:

@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from layerloom.fixed_values import APPLIED_CONFIDENCES, EVIDENCE_LEVELS, PLACEHOLDERS
 from layerloom.functions import text as tx
+from layerloom.functions.explode import worked_out
 
 
 def visible_at(df: DataFrame, chapter: str, column: str = "spoiler_after") -> DataFrame:
     """Rows a reader who has finished ``chapter`` may see, within that chapter's edition."""
-    reader = F.lit(chapter)
-    code = F.col(column)
-    return df.filter(
-        (tx.edition(code) == tx.edition(reader)) & (tx.chapter_no(code) <= tx.chapter_no(reader))
-    )
+    reader = int(chapter.removeprefix("ch"))
+    # Numbers of one edition lie on one side of the second edition's first number.
+    first = tx.SECOND_EDITION_START if reader >= tx.SECOND_EDITION_START else 0
+    return df.filter(tx.chapter_number(F.col(column)).between(first, reader))
 
 
 def min_evidence(
@@ -51,11 +51,8 @@ def stub_pages(
     """Pages with template text left in them or, given ``elements``, with an empty list."""
     unfilled = has_placeholder(F.col("body"), placeholders)
     empty = F.lit(False) if elements is None else F.size(elements) == 0
-    return (
-        pages.withColumn("has_placeholder", unfilled)
-        .withColumn("is_empty", empty)
-        .filter("has_placeholder OR is_empty")
-    )
+    marked = pages.withColumns({"has_placeholder": unfilled, "is_empty": empty})
+    return worked_out(marked).filter("has_placeholder OR is_empty")
 
 
 def thin_units(

@@ -25,6 +25,7 @@ from layerloom.fixed_values import (
     NOTE_TITLE,
     UNVERIFIED,
 )
+from layerloom.functions.explode import explode_rows
 from layerloom.functions.rewrite import pieces
 from layerloom.functions.skew import join_dimension
 from layerloom.operators.filters import applied
@@ -226,16 +227,12 @@ def normalize_names(
 
 def audit_rows(normalized: DataFrame, page_id: str = "page_id") -> DataFrame:
     """The audit array as rows, in printed order."""
-    return normalized.select(
-        F.col(page_id).alias("page_id"), F.posexplode("audit").alias("_at", "_a")
-    ).select("page_id", (F.col("_at") + 1).cast("bigint").alias("seq"), "_a.*")
+    return explode_rows(normalized, "audit", F.col(page_id).alias("page_id"), item="_a").select("page_id", (F.col("_at") + 1).cast("bigint").alias("seq"), "_a.*")
 
 
 def note_rows(normalized: DataFrame, page_id: str = "page_id") -> DataFrame:
     """The notes array as rows, in printed order."""
-    return normalized.select(
-        F.col(page_id).alias("page_id"), F.posexplode("notes").alias("_at", "_n")
-    ).select("page_id", (F.col("_at") + 1).cast("bigint").alias("seq"), "_n.*")
+    return explode_rows(normalized, "notes", F.col(page_id).alias("page_id"), item="_n").select("page_id", (F.col("_at") + 1).cast("bigint").alias("seq"), "_n.*")
 
 
 def render_audit(audit: Column, notes: Column, run: Column) -> Column:
@@ -276,11 +273,10 @@ def _audit_section(text: Column) -> Column:
 
 def parse_audit(pages: DataFrame, page_id: str = "page_id", text: str = "text") -> DataFrame:
     """Audit table rows read back from published pages."""
-    lines = F.regexp_extract_all(_audit_section(F.col(text)), F.lit(AUDIT_LINE), F.lit(0))
-    run = F.regexp_extract(_audit_section(F.col(text)), rf"\A{re.escape(AUDIT_TITLE)}([^）\n]*)", 1)
-    return pages.select(
-        F.col(page_id).alias("page_id"), run.alias("run"), F.posexplode(lines).alias("_at", "_line")
-    ).select(
+    tail = pages.select(F.col(page_id).alias("page_id"), _audit_section(F.col(text)).alias("_tail"))
+    lines = F.regexp_extract_all("_tail", F.lit(AUDIT_LINE), F.lit(0))
+    run = F.regexp_extract("_tail", rf"\A{re.escape(AUDIT_TITLE)}([^）\n]*)", 1)
+    return explode_rows(tail, lines, "page_id", run.alias("run"), item="_line").select(
         "page_id",
         "run",
         (F.col("_at") + 1).cast("bigint").alias("seq"),
@@ -294,9 +290,7 @@ def parse_audit(pages: DataFrame, page_id: str = "page_id", text: str = "text")
 def parse_notes(pages: DataFrame, page_id: str = "page_id", text: str = "text") -> DataFrame:
     """Unresolved-name notes read back from published pages."""
     lines = F.regexp_extract_all(_audit_section(F.col(text)), F.lit(NOTE_LINE), F.lit(0))
-    return pages.select(
-        F.col(page_id).alias("page_id"), F.posexplode(lines).alias("_at", "_line")
-    ).select(
+    return explode_rows(pages, lines, F.col(page_id).alias("page_id"), item="_line").select(
         "page_id",
         (F.col("_at") + 1).cast("bigint").alias("seq"),
         F.regexp_extract("_line", NOTE_LINE, 1).alias("name"),

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.functions.explode import explode_rows
 from layerloom.functions.rewrite import HTML_LINK, MARKDOWN_LINK, WIKILINK, rewrite_pieces
 from layerloom.functions.skew import join_dimension
 from layerloom.functions.text import text_or_null
@@ -46,7 +47,7 @@ def extract_wikilinks(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
         )
 
     both = F.concat(tagged("fm", "front_matter"), tagged("body", "body"))
-    rows = pages.select(F.col(page_id).alias("page_id"), F.explode(both).alias("_l"))
+    rows = explode_rows(pages, both, F.col(page_id).alias("page_id"), item="_l")
     link = F.col("_l.link")
     return rows.select(
         "page_id",
@@ -64,9 +65,7 @@ def extract_links(
     """Markdown links, or HTML anchors, with display text, address and place."""
     pattern, url, display = (HTML_LINK, 1, 2) if html else (MARKDOWN_LINK, 2, 1)
     found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    return pages.select(
-        F.col(page_id).alias("page_id"), F.posexplode(found).alias("_at", "_link")
-    ).select(
+    return explode_rows(pages, found, F.col(page_id).alias("page_id"), item="_link").select(
         "page_id",
         (F.col("_at") + 1).cast("bigint").alias("pos"),
         F.regexp_extract("_link", pattern, display).alias("display"),
@@ -111,7 +110,7 @@ def unlink_missing(
     targets. Plain text holds no link, so a second run changes nothing.
     """
     found = F.regexp_extract_all(F.col(text), F.lit(form.pattern), F.lit(form.target))
-    cited = pages.select(page_id, F.explode(F.array_distinct(found)).alias("target"))
+    cited = explode_rows(pages, F.array_distinct(found), page_id, item="target").drop("_at")
     missing = join_dimension(cited, existing.select("target"), ["target"], "left_anti")
     # Grouped per page, so a list is never longer than the links of one page.
     per_page = missing.groupBy(page_id).agg(F.collect_set("target").alias("_missing"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.fixed_values import ELEMENT_LISTS, EVIDENCE_LEVELS, PREDICATES
+from layerloom.functions.explode import worked_out
 from layerloom.functions.skew import join_dimension
 from layerloom.operators.structure import body_elements, declared_backlinks
 
@@ -18,14 +19,12 @@ RANGE_BUCKET = 64
 
 def count_drift(references: DataFrame, page_id: str = "page_id", body: str = "body") -> DataFrame:
     """Reference pages whose printed backlink count differs from the links they list."""
-    return (
-        references.select(
-            F.col(page_id).alias("page_id"),
-            declared_backlinks(F.col(body)).alias("declared"),
-            F.regexp_count(F.col(body), F.lit(r"(?m)^- \[\[")).cast("bigint").alias("actual"),
-        )
-        .filter(F.col("declared").isNotNull() & (F.col("declared") != F.col("actual")))
+    counted = references.select(
+        F.col(page_id).alias("page_id"),
+        declared_backlinks(F.col(body)).alias("declared"),
+        F.regexp_count(F.col(body), F.lit(r"(?m)^- \[\[")).cast("bigint").alias("actual"),
     )
+    return worked_out(counted).filter("declared IS NOT NULL AND declared <> actual")
 
 
 def list_drift(episodes: DataFrame) -> DataFrame:
@@ -34,8 +33,10 @@ def list_drift(episodes: DataFrame) -> DataFrame:
     ``episodes`` has the typed list columns and ``body``. ``drift`` is none, order or content.
     """
     listed = F.flatten(F.array(*[F.col(key) for key in ELEMENT_LISTS]))
-    found = episodes.select(
-        "episode_id", listed.alias("listed"), body_elements(F.col("body")).alias("shown")
+    found = worked_out(
+        episodes.select(
+            "episode_id", listed.alias("listed"), body_elements(F.col("body")).alias("shown")
+        )
     )
     same_set = (F.size("only_listed") == 0) & (F.size("only_shown") == 0)
     drift = F.when(F.col("listed") == F.col("shown"), "none").when(same_set, "order").otherwise("content")

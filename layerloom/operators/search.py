@@ -11,12 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from layerloom.functions.skew import join_dimension
+from layerloom.functions.explode import explode_rows
+from layerloom.functions.skew import join_dimension, measured_small
 
 K1 = 1.2
 B = 0.75
 RRF_OFFSET = 60
-WORD_BREAK = r"[^\p{L}\p{N}]+"
+WORD = r"[\p{L}\p{N}]+"
 
 # Query vectors held in memory at once; more queries are answered in further passes.
 QUERY_BATCH = 1_024
@@ -27,20 +28,20 @@ SCORE_DIGITS = 6
 
 def words(text: Column) -> Column:
     """Lower-cased letter and digit runs, in order."""
-    return F.filter(F.split(F.lower(text), WORD_BREAK), lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(term, doc_id, tf, length): the body of an inverted index.
-
-    All words of a document sit in one row, so counting them combines fully before the shuffle.
-    """
+def tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, length, term): one row per word of a document."""
     listed = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("_words"))
-    return (
-        listed.select("doc_id", F.size("_words").alias("length"), F.explode("_words").alias("term"))
-        .groupBy("term", "doc_id", "length")
-        .agg(F.count("*").alias("tf"))
-    )
+    return explode_rows(
+        listed, "_words", "doc_id", F.size("_words").alias("length"), item="term"
+    ).drop("_at")
+
+
+def postings(token_rows: DataFrame) -> DataFrame:
+    """(doc_id, length, term, tf). A document is one row, so its words combine before the shuffle."""
+    return token_rows.groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -48,10 +49,18 @@ def term_stats(index: DataFrame) -> DataFrame:
     return index.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def doc_sizes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Number of documents with words, and their mean length."""
+    length = F.nullif(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0))
+    return docs.select(length.alias("length")).agg(
+        F.count("length").alias("n"), F.avg("length").alias("mean")
+    )
+
+
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Inverted index with document frequency: (term, doc_id, tf, df, length)."""
-    index = postings(docs, doc_id, text)
-    return join_dimension(index, term_stats(index), ["term"], "inner", salt_by=["doc_id"])
+    """Inverted index with document frequency: (term, doc_id, length, tf, df)."""
+    index = postings(tokens(docs, doc_id, text))
+    return join_dimension(index, term_stats(index), ["term"], "inner", salt_by=["doc_id"], small=False)
 
 
 def _ranked(scores: DataFrame, k: int, item: str) -> DataFrame:
@@ -60,30 +69,51 @@ def _ranked(scores: DataFrame, k: int, item: str) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def bm25_scores(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """BM25 of every (query, document) pair that shares a word; queries are (query_id, query)."""
-    index = postings(docs, doc_id, text)
-    wanted = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("term"))
-    # Document frequencies are only needed for words that are asked for.
-    frequency = term_stats(
-        join_dimension(index, wanted.select("term").distinct(), ["term"], "left_semi", salt_by=["doc_id"])
-    )
-    sizes = docs.select(F.size(words(F.col(text))).alias("length")).filter("length > 0").agg(
-        F.count("*").alias("n"), F.avg("length").alias("mean")
-    )
-    n = sizes.select("n").scalar()
-    mean = sizes.select("mean").scalar()
+def query_terms(queries: DataFrame) -> DataFrame:
+    """Distinct (query_id, term) of queries (query_id, query)."""
+    found = F.array_distinct(words(F.col("query")))
+    return explode_rows(queries, found, "query_id", item="term").drop("_at")
+
+
+def bm25_scores(hits: DataFrame, sizes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """BM25 of every (query, document) pair that shares a word.
+
+    ``hits`` are the postings of the wanted words, ``sizes`` is ``doc_sizes`` and ``wanted`` is
+    ``query_terms``.
+    """
+    size = sizes.select(F.struct("n", "mean")).scalar()
+    n, mean = size["n"], size["mean"]
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = wanted.join(frequency, "term").select("query_id", "term", idf.alias("idf"))
-    hits = join_dimension(index, weighted, ["term"], "inner", salt_by=["doc_id"])
+    weighted = wanted.join(term_stats(hits), "term").select("query_id", "term", idf.alias("idf"))
+    # One weighted row per wanted word, so measuring those is enough.
+    small = measured_small(wanted)
+    pairs = join_dimension(hits, weighted, ["term"], "inner", salt_by=["doc_id"], small=small)
     norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / mean)
-    return hits.groupBy("query_id", "doc_id").agg(
+    return pairs.groupBy("query_id", "doc_id").agg(
         F.round(F.sum(F.col("idf") * F.col("tf") * (K1 + 1) / norm), SCORE_DIGITS).alias("score")
     )
 
 
 def bm25(docs: DataFrame, queries: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    return _ranked(bm25_scores(docs, queries, doc_id, text), k, "doc_id")
+    """Best k documents per query, straight from text; other words never reach a shuffle."""
+    wanted = query_terms(queries)
+    asked = join_dimension(
+        tokens(docs, doc_id, text), wanted.select("term").distinct(), ["term"], "left_semi",
+        salt_by=["doc_id"],
+    )
+    return _ranked(bm25_scores(postings(asked), doc_sizes(docs, text), wanted), k, "doc_id")
+
+
+def bm25_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The same from a stored ``build_index`` table."""
+    sizes = index.select("doc_id", "length").distinct().agg(
+        F.count("*").alias("n"), F.avg("length").alias("mean")
+    )
+    wanted = query_terms(queries)
+    hits = join_dimension(
+        index.drop("df"), wanted.select("term").distinct(), ["term"], "left_semi", salt_by=["doc_id"]
+    )
+    return _ranked(bm25_scores(hits, sizes, wanted), k, "doc_id")
 
 
 def _nearest(vectors: DataFrame, rows: list, k: int) -> DataFrame:

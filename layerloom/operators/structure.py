@@ -17,6 +17,7 @@ from layerloom.fixed_values import (
 )
 from layerloom.functions import front_matter as fm
 from layerloom.functions import text as tx
+from layerloom.functions.explode import explode_rows
 
 FRONT_MATTER = r"(?s)\A---\n(.*?)\n---\n"
 
@@ -50,17 +51,17 @@ def quote_lines(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(r"(?m)^>[ \t]?(.*)$"), F.lit(1))
 
 
-def _quotes(body: Column) -> Column:
-    return F.transform(
-        quote_lines(body),
-        lambda q: F.struct(
-            tx.without_locators(q).alias("text"), tx.locators(q).alias("locators")
-        ),
-    )
-
-
 def _typed_base(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("_fm", fm.entries(F.col("front_matter")))
+    """Parts read from a page by several columns, each taken out of the text once."""
+    front = F.col("front_matter")
+    return pages.withColumns(
+        {
+            "_fm": fm.entries(front),
+            "_proposed": fm.inline_map(front, "proposed_by"),
+            "_reviewed": fm.inline_map(front, "reviewed_by"),
+            "_quotes": tx.quotes(quote_lines(F.col("body"))),
+        }
+    )
 
 
 def _value(key: str) -> Column:
@@ -69,8 +70,7 @@ def _value(key: str) -> Column:
 
 def typed_claims(pages: DataFrame) -> DataFrame:
     """Claim pages (``front_matter``, ``body``) to typed claim rows."""
-    quote = F.try_element_at(_quotes(F.col("body")), F.lit(1))
-    front = F.col("front_matter")
+    quote = F.try_element_at("_quotes", F.lit(1))
     return _typed_base(pages).select(
         _value("id").alias("claim_id"),
         _value("title").alias("title"),
@@ -83,8 +83,8 @@ def typed_claims(pages: DataFrame) -> DataFrame:
         _value("document_status").alias("document_status"),
         _value("spoiler_after").alias("spoiler_after"),
         _value("evidence_strength").alias("evidence_strength"),
-        fm.provenance(front, "proposed_by").alias("proposed_by"),
-        fm.provenance(front, "reviewed_by").alias("reviewed_by"),
+        fm.provenance(F.col("_proposed")).alias("proposed_by"),
+        fm.provenance(F.col("_reviewed")).alias("reviewed_by"),
         tx.heading_text(F.col("body")).alias("statement"),
         quote["text"].alias("quote"),
         quote["locators"].alias("locators"),
@@ -106,11 +106,11 @@ def typed_mysteries(pages: DataFrame) -> DataFrame:
         _value("spoiler_after").alias("spoiler_after"),
         fm.nested(front, "introduced").alias("introduced"),
         _value("review_status").alias("review_status"),
-        fm.provenance(front, "proposed_by").alias("proposed_by"),
-        fm.provenance(front, "reviewed_by").alias("reviewed_by"),
+        fm.provenance(F.col("_proposed")).alias("proposed_by"),
+        fm.provenance(F.col("_reviewed")).alias("reviewed_by"),
         question.alias("question"),
         tx.labelled_text(F.col("body"), PAYOFF_LABEL).alias("payoff_hint"),
-        _quotes(F.col("body")).alias("quotes"),
+        F.col("_quotes").alias("quotes"),
         tx.labelled_text(F.col("body"), REVIEW_LABEL).alias("review_note"),
     )
 
@@ -167,14 +167,14 @@ def typed(pages: DataFrame, section: str) -> DataFrame:
 def episode_entities(episodes: DataFrame) -> DataFrame:
     """One row per listed element: chapter, kind (from the id prefix), entity and place."""
     lists = F.flatten(F.array(*[F.col(key) for key in ELEMENT_LISTS]))
-    exploded = episodes.select("episode_id", "chapter", F.posexplode(lists).alias("pos", "entity_id"))
+    exploded = explode_rows(episodes, lists, "episode_id", "chapter", item="entity_id")
     return exploded.select(
         "episode_id",
         "chapter",
         F.regexp_extract("entity_id", r"^E_([a-z]+)_", 1).alias("kind"),
         "entity_id",
         F.regexp_extract("entity_id", r"^E_[a-z]+_(.*)$", 1).alias("name"),
-        (F.col("pos") + 1).cast("bigint").alias("pos"),
+        (F.col("_at") + 1).cast("bigint").alias("pos"),
     )
 
 
@@ -185,9 +185,8 @@ def body_elements(body: Column) -> Column:
 
 def extract_quotes(pages: DataFrame, page_id: str = "page_id", body: str = "body") -> DataFrame:
     """One row per quote: its ordinal on the page, its text and its page ranges."""
-    return pages.select(
-        F.col(page_id).alias("page_id"), F.posexplode(_quotes(F.col(body))).alias("_at", "_quote")
-    ).select(
+    found = tx.quotes(quote_lines(F.col(body)))
+    return explode_rows(pages, found, F.col(page_id).alias("page_id"), item="_quote").select(
         "page_id",
         (F.col("_at") + 1).cast("bigint").alias("ordinal"),
         F.col("_quote.text").alias("text"),
@@ -199,7 +198,7 @@ def sections(pages: DataFrame, page_id: str = "page_id", body: str = "body") ->
     """Heading sections: level, title, count shown in the title, and the text below it."""
     parts = F.split(F.col(body), r"(?m)^(?=#{1,6} )")
     head = r"(?s)\A(#{1,6}) ([^\n]*)(?:\n(.*))?\z"
-    rows = pages.select(F.col(page_id).alias("page_id"), F.explode(parts).alias("_part")).filter(
+    rows = explode_rows(pages, parts, F.col(page_id).alias("page_id"), item="_part").filter(
         F.col("_part").rlike(r"\A#{1,6} ")
     )
     title = F.regexp_extract("_part", head, 2)
@@ -223,9 +222,7 @@ def generated_blocks(pages: DataFrame, page_id: str = "page_id", body: str = "bo
     found = F.regexp_extract_all(F.col(body), F.lit(BLOCK), F.lit(0))
     name = F.coalesce(tx.group(F.col("_block"), r"\A<!-- AUTO-GENERATED:(\w+) -->"), F.lit("auto"))
     inner = F.regexp_replace("_block", r"(?s)\A<!--.*?-->\n?|\n?<!-- /?AUTO[^>]*-->\z", "")
-    return pages.select(
-        F.col(page_id).alias("page_id"), F.posexplode(found).alias("_at", "_block")
-    ).select(
+    return explode_rows(pages, found, F.col(page_id).alias("page_id"), item="_block").select(
         "page_id",
         (F.col("_at") + 1).cast("bigint").alias("ordinal"),
         name.alias("block"),

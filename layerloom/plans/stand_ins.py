@@ -42,8 +42,21 @@ PAGE_SECTIONS = ["The", "the", "and", "of", "la", "que", "de", "die", "der", "en
 ANCHOR = r'<a href="/([^"]*)">([^<]*)</a>'
 
 
+# Tables whose rows carry real work, with a column that spreads them evenly.
+SPREAD_BY = {"documents": "doc_id", "events": "event_id", "pages": "page_id", "embeddings": "vec_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the data folder.
+
+    A scan with fewer splits than cores is spread out by key, at most eightfold; a large one already
+    has more splits than cores and is read without a shuffle.
+    """
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name not in SPREAD_BY:
+        return found
+    splits, cores = found.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    return found if splits >= cores else found.repartition(min(cores, 8 * splits), SPREAD_BY[name])
 
 
 def text(*parts: Column | str) -> Column:
