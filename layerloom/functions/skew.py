@@ -15,6 +15,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of the smaller side, and shares of a hot key, in a salted join.
 SALTS = 16
 
+# Rows of one key from which it is salted, where the rows per key are known.
+HOT_ROWS = 1_000_000
+
 # Rows of one group a single window task may hold.
 GROUP_ROWS = 1_000_000
 
@@ -39,20 +42,35 @@ def join_dimension(
     salts: int = SALTS,
     max_rows: int = BROADCAST_ROWS,
     small: bool | None = None,
+    rows_per_key: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a large, possibly skewed table to a smaller one by equality.
 
     A measured-small side is broadcast. Otherwise it is repeated once per salt and the large side
     picks its salt from ``salt_by`` (a hash of row content, so a rerun task gives the same rows),
     which spreads a hot key over ``salts`` tasks. ``small`` states what a measurement would find,
-    where it is known already or where measuring would compute the side twice.
+    where it is known already or where measuring would compute the side twice. With
+    ``rows_per_key`` (the keys and a ``rows`` count of the large side) only keys above ``hot_rows``
+    are salted and nothing else is repeated.
     """
     on = list(on)
     if measured_small(dimension, max_rows) if small is None else small:
         return facts.join(F.broadcast(dimension), on, how)
     salt = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int")
-    spread = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.withColumn("_salt", salt).join(spread, [*on, "_salt"], how).drop("_salt")
+    copies = F.sequence(F.lit(0), F.lit(salts - 1))
+    if rows_per_key is not None:
+        # All rows divided by hot_rows bounds the number of hot keys, so their list is small.
+        hot = F.broadcast(
+            rows_per_key.filter(F.col("rows") > hot_rows).select(*on, F.lit(True).alias("_hot"))
+        )
+        facts, dimension = facts.join(hot, on, "left"), dimension.join(hot, on, "left")
+        salt = F.when(F.col("_hot"), salt).otherwise(0)
+        copies = F.when(F.col("_hot"), copies).otherwise(F.array(F.lit(0)))
+    spread = dimension.withColumn("_salt", F.explode(copies)).drop("_hot")
+    return (
+        facts.withColumn("_salt", salt).join(spread, [*on, "_salt"], how).drop("_salt", "_hot")
+    )
 
 
 def _ordering(columns: Sequence[str]) -> Column:

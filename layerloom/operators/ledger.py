@@ -325,7 +325,10 @@ def alias_groups(ledger: DataFrame) -> DataFrame:
     """
     members = ledger.select("representative", "name").distinct()
     sizes = members.groupBy("representative").agg(F.count("*").alias("names"))
-    return join_dimension(members, sizes, ["representative"], "inner", salt_by=["name"])
+    return join_dimension(
+        members, sizes, ["representative"], "inner", salt_by=["name"],
+        rows_per_key=sizes.withColumnRenamed("names", "rows"),
+    )
 
 
 def canonicalize(entities: DataFrame, ledger: DataFrame, name: str = "name") -> DataFrame:

@@ -116,7 +116,10 @@ def section_index(pages: DataFrame) -> DataFrame:
     """Every page of a section beside the section's page count, to print as an index."""
     sizes = pages.groupBy("layer", "section").agg(F.count("*").alias("pages"))
     entries = pages.select("layer", "section", "page_id")
-    return join_dimension(entries, sizes, ["layer", "section"], "inner", salt_by=["page_id"])
+    return join_dimension(
+        entries, sizes, ["layer", "section"], "inner", salt_by=["page_id"],
+        rows_per_key=sizes.withColumnRenamed("pages", "rows"),
+    )
 
 
 def entity_stats(observations: DataFrame, entity: str = "subject") -> DataFrame:

@@ -60,7 +60,12 @@ def doc_sizes(docs: DataFrame, text: str = "text") -> DataFrame:
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Inverted index with document frequency: (term, doc_id, length, tf, df)."""
     index = postings(tokens(docs, doc_id, text))
-    return join_dimension(index, term_stats(index), ["term"], "inner", salt_by=["doc_id"], small=False)
+    stats = term_stats(index)
+    # The document frequency is the number of postings per word: words hold their own skew.
+    rows = stats.withColumnRenamed("df", "rows")
+    return join_dimension(
+        index, stats, ["term"], "inner", salt_by=["doc_id"], small=False, rows_per_key=rows
+    )
 
 
 def _ranked(scores: DataFrame, k: int, item: str) -> DataFrame:
