@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -111,15 +112,20 @@ def _rank_by_range(
         .collect()
     )
     types = dict(df.select(*keys).dtypes)
-    cuts = F.array(
-        *[
-            F.struct(*[F.lit(row["low"][k]).cast(types[k]).alias(k) for k in keys])
-            for row in lows
-        ]
-    )
-    ranged = df.withColumn(
-        "_range", F.size(F.filter(cuts, lambda low: low <= _ordering(keys)))
-    )
+    cuts = [
+        F.struct(*[F.lit(row[k]).cast(types[k]).alias(k) for k in keys])
+        for row in sorted(row["low"] for row in lows)
+    ]
+    # Cut points are looked up in two steps, first among every width-th, then inside that block.
+    width = max(1, math.isqrt(len(cuts)))
+    blocks = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    block = F.size(F.filter(F.array(*[b[0] for b in blocks]), lambda low: low <= _ordering(keys)))
+    inside = F.element_at(F.array(*[F.array(*b) for b in blocks]), F.col("_block"))
+    ranged = df.withColumn("_block", block).withColumn(
+        "_range",
+        (F.col("_block") - 1) * width
+        + F.size(F.filter(inside, lambda low: low <= _ordering(keys))),
+    ).drop("_block")
     per_range = ranged.groupBy("_range", *group).agg(F.count("*").alias("_rows"))
     earlier = W.partitionBy(*group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     # A range continues at most one group of an earlier range: no more rows here than ranges.

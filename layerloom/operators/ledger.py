@@ -82,12 +82,18 @@ def names_in_text(
     lengths = [r[0] for r in ledger.select(F.length("name")).distinct().collect()]
 
     def substrings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, found = [], []
         for batch in batches:
             for key, body in zip(batch["page_id"], batch["text"]):
                 for n in lengths:
                     seen = {body[i : i + n] for i in range(len(body) - n + 1)}
-                    if seen:
-                        yield pd.DataFrame({"page_id": [key] * len(seen), "name": list(seen)})
+                    keys.extend([key] * len(seen))
+                    found.extend(seen)
+                    if len(found) > 100_000:
+                        yield pd.DataFrame({"page_id": keys, "name": found})
+                        keys, found = [], []
+        if found:
+            yield pd.DataFrame({"page_id": keys, "name": found})
 
     key_type = dict(pages.dtypes)[page_id]
     offered = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -36,8 +37,13 @@ def cite_form(site: str) -> LinkForm:
     )
 
 
-def extract_wikilinks(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
-    """Wikilinks of front matter and body with target, anchor, display and place."""
+def extract_wikilinks(
+    pages: DataFrame, page_id: str = "page_id", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Wikilinks of front matter and body with target, anchor, display and place.
+
+    ``keep`` carries page columns along, such as the layer.
+    """
 
     def tagged(part: str, column: str) -> Column:
         found = F.regexp_extract_all(F.col(column), F.lit(WIKILINK), F.lit(0))
@@ -47,10 +53,11 @@ def extract_wikilinks(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
         )
 
     both = F.concat(tagged("fm", "front_matter"), tagged("body", "body"))
-    rows = explode_rows(pages, both, F.col(page_id).alias("page_id"), item="_l")
+    rows = explode_rows(pages, both, F.col(page_id).alias("page_id"), *keep, item="_l")
     link = F.col("_l.link")
     return rows.select(
         "page_id",
+        *keep,
         F.col("_l.part").alias("part"),
         (F.col("_l.at") + 1).cast("bigint").alias("pos"),
         F.trim(F.regexp_extract(link, WIKILINK, 1)).alias("target"),
@@ -75,26 +82,36 @@ def extract_links(
 
 
 def existing_ids(pages: DataFrame, column: str = "page_id", layer: str | None = None) -> DataFrame:
-    """The id set links are checked against, of one layer when given."""
-    kept = pages if layer is None else pages.filter(F.col("layer") == layer)
-    return kept.select(F.col(column).alias("target")).distinct()
+    """The id set links are checked against: of one layer when given, else per layer."""
+    target = F.col(column).alias("target")
+    if layer is not None:
+        return pages.filter(F.col("layer") == layer).select(target).distinct()
+    return pages.select("layer", target).distinct()
 
 
 def resolve_links(links: DataFrame, existing: DataFrame) -> DataFrame:
-    """Mark every link ok or dead; ``existing`` has one ``target`` row per id."""
-    known = existing.select("target", F.lit(True).alias("_known"))
-    joined = join_dimension(links, known, ["target"], "left")
+    """Mark every link ok or dead.
+
+    ``existing`` has one row per ``target``, or per ``layer`` and ``target``; in the second form a
+    link is looked up in its own layer.
+    """
+    on = [c for c in ("layer", "target") if c in existing.columns]
+    known = existing.select(*on, F.lit(True).alias("_known"))
+    joined = join_dimension(links, known, on, "left")
     status = F.when(F.col("_known"), "ok").otherwise("dead")
     return joined.withColumn("status", status).drop("_known")
 
 
 def dead_links(links: DataFrame, existing: DataFrame) -> DataFrame:
-    return join_dimension(links, existing.select("target"), ["target"], "left_anti")
+    """Links whose target does not exist, in their own layer when ``existing`` names layers."""
+    on = [c for c in ("layer", "target") if c in existing.columns]
+    return join_dimension(links, existing.select(*on), on, "left_anti")
 
 
 def cited_minus_existing(links: DataFrame, existing: DataFrame) -> DataFrame:
     """Ids that are linked to but do not exist, each once."""
-    return links.select("target").subtract(existing.select("target"))
+    cited = links.select("target").distinct()
+    return cited.join(existing.select("target"), "target", "left_anti")
 
 
 def unlink_missing(

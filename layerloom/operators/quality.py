@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from layerloom.fixed_values import ELEMENT_LISTS, EVIDENCE_LEVELS, PREDICATES
 from layerloom.functions.explode import worked_out
 from layerloom.functions.skew import join_dimension
-from layerloom.operators.structure import body_elements, declared_backlinks
-
-# Paragraphs per bucket when a quote's page range is joined to paragraphs.
-RANGE_BUCKET = 64
+from layerloom.operators.structure import (
+    body_elements,
+    declared_backlinks,
+    declared_chapter,
+    declared_index,
+)
 
 
 def count_drift(references: DataFrame, page_id: str = "page_id", body: str = "body") -> DataFrame:
@@ -27,6 +29,32 @@ def count_drift(references: DataFrame, page_id: str = "page_id", body: str = "bo
     return worked_out(counted).filter("declared IS NOT NULL AND declared <> actual")
 
 
+def chapter_drift(nav: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """Chapter pages whose announced claims, mysteries or references differ from their bullets."""
+    announced = declared_chapter(F.col("front_matter"))
+    kinds = {"claims": "A", "mysteries": "MY", "refs": "ME"}
+    counted = nav.select(
+        F.col(page_id).alias("page_id"),
+        *[announced[k].alias(f"declared_{k}") for k in kinds],
+        *[
+            F.regexp_count("body", F.lit(rf"(?m)^- \[\[{prefix}_")).cast("bigint").alias(f"actual_{k}")
+            for k, prefix in kinds.items()
+        ],
+    )
+    differs = " OR ".join(f"declared_{k} <> actual_{k}" for k in kinds)
+    return worked_out(counted).filter(differs)
+
+
+def index_drift(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """Index pages whose printed total differs from their bullets."""
+    counted = pages.select(
+        F.col(page_id).alias("page_id"),
+        declared_index(F.col("body")).alias("declared"),
+        F.regexp_count("body", F.lit(r"(?m)^- \[")).cast("bigint").alias("actual"),
+    )
+    return worked_out(counted).filter("declared IS NOT NULL AND declared <> actual")
+
+
 def list_drift(episodes: DataFrame) -> DataFrame:
     """Front-matter element lists against the bullets of the body.
 
@@ -103,22 +131,23 @@ def ground_quotes(quotes: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """Does any cited paragraph contain the quote?
 
     ``quotes`` has (quote_id, chapter, p_start, p_end, quote), ``paragraphs`` (chapter, para, text).
-    Page ranges are cut into buckets so that the join is an equality on chapter and bucket; a
-    quote without any cited paragraph is kept as not grounded.
+    A page range is first cut to the paragraphs its chapter has and then becomes paragraph numbers,
+    so the join is an equality and yields exactly the pairs to check. Text is repeated only for
+    paragraphs cited very often. A quote without any cited paragraph is kept as not grounded.
     """
-    bucketed = quotes.withColumn(
-        "bucket",
-        F.explode(
-            F.sequence(
-                F.floor(F.col("p_start") / RANGE_BUCKET), F.floor(F.col("p_end") / RANGE_BUCKET)
-            )
-        ),
+    extent = paragraphs.groupBy("chapter").agg(
+        F.min("para").alias("_first"), F.max("para").alias("_last")
+    )
+    placed = join_dimension(quotes, extent, ["chapter"], "inner", salt_by=["quote_id"])
+    low, high = F.greatest("p_start", "_first"), F.least("p_end", "_last")
+    numbers = F.when(low <= high, F.sequence(low, high))
+    cited = placed.select("quote_id", "chapter", "quote", F.explode(numbers).alias("para"))
+    often = cited.groupBy("chapter", "para").agg(F.count("*").alias("rows"))
+    pairs = join_dimension(
+        cited, paragraphs.select("chapter", "para", "text"), ["chapter", "para"], "inner",
+        salt_by=["quote_id"], rows_per_key=often,
     )
-    source = paragraphs.withColumn("bucket", F.floor(F.col("para") / RANGE_BUCKET))
-    cited = join_dimension(
-        source, bucketed, ["chapter", "bucket"], "inner", salt_by=["chapter", "para"]
-    ).filter(F.col("para").between(F.col("p_start"), F.col("p_end")))
-    checked = cited.groupBy("quote_id").agg(
+    checked = pairs.groupBy("quote_id").agg(
         F.count("*").alias("paragraphs"), F.bool_or(F.contains("text", "quote")).alias("grounded")
     )
     return quotes.join(checked, "quote_id", "left").select(

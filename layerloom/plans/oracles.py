@@ -335,6 +335,24 @@ DRIFT = f"""drift AS (
   FROM (SELECT page_id, regexp_extract_all(html, {lit(ANCHOR)}, 1) AS t FROM pages))"""
 
 put("count_drift", f"WITH {DRIFT} SELECT * FROM drift WHERE declared <> actual")
+put("chapter_drift", f"""WITH counted AS (
+  SELECT page_id, regexp_extract_all(html, {lit(ANCHOR)}, 1) AS t FROM pages), drift AS (
+  SELECT page_id, CAST(len(t) AS BIGINT) AS declared_claims,
+    CAST(len(list_filter(t, lambda x: NOT regexp_matches(x, '^[A-Z]'))) AS BIGINT) AS actual_claims,
+    1::BIGINT AS declared_mysteries,
+    CAST(len(list_filter(t, lambda x: regexp_matches(x, '^[A-Z]'))) AS BIGINT) AS actual_mysteries,
+    0::BIGINT AS actual_refs FROM counted)
+SELECT * FROM drift WHERE declared_claims <> actual_claims OR declared_mysteries <> actual_mysteries""")
+put("index_drift", f"""WITH {DOCS} SELECT page_id, CAST(length(text) % 20 AS BIGINT) AS declared,
+  CAST(len(string_split(text, {NL})) AS BIGINT) AS actual FROM docs
+WHERE length(text) % 20 <> len(string_split(text, {NL}))""")
+put("select_layer", f"WITH {DOCS} SELECT page_id, layer, section FROM docs WHERE layer = 'en' AND section = 'src1'")
+put("resolve_links_in_layer", f"""WITH {ANCHORS}, layers AS (
+  SELECT page_id, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS layer FROM pages), known AS (
+  SELECT DISTINCT layer, unnest(string_split_regex(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+')) AS target
+  FROM pages JOIN layers USING (page_id))
+SELECT page_id, layer, pos, target, CASE WHEN known.target IS NULL THEN 'dead' ELSE 'ok' END AS status
+FROM anchors JOIN layers USING (page_id) LEFT JOIN known USING (layer, target)""")
 put("casefold_collisions", f"""WITH {ANCHORS} SELECT lower(target) AS folded, count(DISTINCT target) AS spellings,
   min(target) AS first_spelling, max(target) AS last_spelling
 FROM anchors GROUP BY lower(target) HAVING count(DISTINCT target) > 1""")

@@ -469,6 +469,48 @@ def count_drift(spark, d):
     return quality.count_drift(si.reference_pages(spark, d))
 
 
+@query
+def chapter_drift(spark, d):
+    made = si.web_pages(spark, d)
+    links_shown = F.regexp_count("html", F.lit(si.ANCHOR))
+    front = si.text(
+        "description: 第", F.col("page_id"), "話のアナロジー ", links_shown, " 件・伏線 1 件・外部参照 0 件"
+    )
+    bullets = F.transform(
+        F.regexp_extract_all("html", F.lit(si.ANCHOR), F.lit(1)),
+        lambda t: F.when(t.rlike("^[A-Z]"), si.text("- [[MY_", t, "]]\n")).otherwise(si.text("- [[A_", t, "]]\n")),
+    )
+    nav = made.withColumns({"front_matter": front, "body": F.array_join(bullets, "")})
+    return quality.chapter_drift(nav).select(
+        "page_id", "declared_claims", "actual_claims", "declared_mysteries", "actual_mysteries", "actual_refs"
+    )
+
+
+@query
+def index_drift(spark, d):
+    shown = F.regexp_replace("text", r"(?m)^", "- [x](./x.md) ")
+    pages = si.document_pages(spark, d).withColumn(
+        "body", si.text("全 **", F.length("text") % 20, " 件**。\n\n", shown)
+    )
+    return quality.index_drift(pages)
+
+
+@query
+def select_layer(spark, d):
+    return filters.of(si.document_pages(spark, d), "en", "src1").select("page_id", "layer", "section")
+
+
+@query
+def resolve_links_in_layer(spark, d):
+    pages = si.web_pages(spark, d)
+    words = F.explode(F.split(F.regexp_replace("html", r"<[^>]*>", " "), r"\s+"))
+    existing = pages.select("layer", words.alias("page_id")).filter("page_id <> ''")
+    found = links.extract_wikilinks(pages, keep=["layer"]).filter("part = 'body'")
+    return links.resolve_links(found, links.existing_ids(existing)).select(
+        "page_id", "layer", "pos", "target", "status"
+    )
+
+
 @query
 def casefold_collisions(spark, d):
     targets = links.extract_wikilinks(si.web_pages(spark, d)).filter("part = 'body'")

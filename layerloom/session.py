@@ -1,10 +1,7 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -26,12 +23,3 @@ def build_session(
     for key, value in {**defaults, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``.
-
-    Only a session without that setting (unit tests) falls back to a local temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="layerloom-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ from layerloom.functions.text import chapter_number
 from layerloom.operators.structure import with_path_columns
 
 
-def _file_path() -> Column:
+def file_path() -> Column:
     """The path of the current file with its percent escapes undone."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
@@ -38,7 +38,7 @@ def read_pages(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.md")
         .text(paths, wholetext=True)
-        .select(_file_path().alias("path"), F.col("value").alias("text"))
+        .select(file_path().alias("path"), F.col("value").alias("text"))
     )
     return with_path_columns(files, base.removeprefix("file:"))
 

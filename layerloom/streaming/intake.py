@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from layerloom.operators.structure import split_front_matter, with_path_columns
-from layerloom.sources.readers import _file_path
+from layerloom.sources.readers import file_path
 
 FILES_PER_BATCH = 10
 
@@ -21,7 +21,7 @@ def page_stream(spark: SparkSession, root: str, files_per_batch: int = FILES_PER
         .option("pathGlobFilter", "*.md")
         .option("maxFilesPerTrigger", files_per_batch)
         .text(base, wholetext=True)
-        .select(_file_path().alias("path"), F.col("value").alias("text"))
+        .select(file_path().alias("path"), F.col("value").alias("text"))
     )
     return split_front_matter(with_path_columns(files, base.removeprefix("file:")))
 

@@ -47,7 +47,14 @@ def test_resolution_and_dead_links(spark):
 def test_existing_ids_of_one_layer(spark):
     df = spark.createDataFrame([("a", "l1"), ("a", "l2"), ("b", "l2")], "page_id string, layer string")
     assert rows(lk.existing_ids(df, layer="l1")) == [("a",)]
-    assert rows(lk.existing_ids(df)) == [("a",), ("b",)]
+    assert rows(lk.existing_ids(df)) == [("l1", "a"), ("l2", "a"), ("l2", "b")]
+
+
+def test_links_are_looked_up_in_their_own_layer(spark):
+    found = lk.extract_wikilinks(pages(spark, "[[a]] [[b]]"), keep=["layer"])
+    here = spark.createDataFrame([("l1", "a"), ("l2", "b")], "layer string, target string")
+    assert rows(lk.resolve_links(found, here).select("target", "status")) == [("a", "ok"), ("b", "dead")]
+    assert rows(lk.dead_links(found, here).select("target")) == [("b",)]
 
 
 def test_unlink_wikilinks_is_idempotent(spark):

@@ -19,6 +19,22 @@ def test_count_drift_sees_unlinked_bullets(spark):
     assert rows(q.count_drift(pages)) == [("plain", 1, 0)]
 
 
+def test_chapter_and_index_drift(spark):
+    front = "description: 第1話のアナロジー {} 件・伏線 1 件・外部参照 0 件"
+    body = "- [[A_1|x]]\n- [[MY_1|y]]\n"
+    nav = frame(
+        spark, "page_id string, front_matter string, body string",
+        ("good", front.format(1), body), ("bad", front.format(2), body),
+    )
+    got = rows(q.chapter_drift(nav).select("page_id", "declared_claims", "actual_claims"))
+    assert got == [("bad", 2, 1)]
+    index = frame(
+        spark, "page_id string, body string",
+        ("good", "全 **1 件**。\n\n- [a](./a.md)\n"), ("bad", "全 **2 件**。\n\n- [a](./a.md)\n"), ("other", "- x"),
+    )
+    assert rows(q.index_drift(index)) == [("bad", 2, 1)]
+
+
 def test_list_drift(spark):
     def page(listed, shown):
         items = "".join(f"\n- '[[E_char_{n}]]'" for n in listed)

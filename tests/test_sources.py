@@ -4,7 +4,6 @@ import pytest
 from conftest import rows
 
 from layerloom import schemas
-from layerloom.session import shared_folder
 from layerloom.sources import readers, sinks
 from layerloom.streaming.intake import ingest_stream
 
@@ -111,11 +110,3 @@ def test_intake_takes_each_page_once_in_two_waves(spark, tmp_path):
     assert rows(pages.filter("page_id = 'A_03'").select("layer", "front_matter", "body")) == [
         ("l1", "id: A_3", "body 3\n")
     ]
-
-
-def test_shared_folder_follows_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    path = shared_folder(spark, "x")
-    assert path != shared_folder(spark, "x")
-    if before:
-        assert path.startswith(before)
