@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# All limits are read when a function runs, so a deployment or a test may set them here.
+
 # A side is broadcast only when it is measured to be below both limits.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -24,9 +26,11 @@ GROUP_ROWS = 1_000_000
 
 
 def measured_small(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None
 ) -> bool:
     """Count at most ``max_rows + 1`` rows and their text size."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
     size = df.select(width.alias("w")).limit(max_rows + 1).agg(
         F.count("*").alias("n"), F.coalesce(F.sum("w"), F.lit(0)).alias("bytes")
@@ -40,11 +44,11 @@ def join_dimension(
     on: Sequence[str],
     how: str = "inner",
     salt_by: Sequence[str] | None = None,
-    salts: int = SALTS,
-    max_rows: int = BROADCAST_ROWS,
+    salts: int | None = None,
+    max_rows: int | None = None,
     small: bool | None = None,
     rows_per_key: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join a large, possibly skewed table to a smaller one by equality.
 
@@ -58,6 +62,8 @@ def join_dimension(
     on = list(on)
     if measured_small(dimension, max_rows) if small is None else small:
         return facts.join(F.broadcast(dimension), on, how)
+    salts = SALTS if salts is None else salts
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     salt = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int")
     copies = F.sequence(F.lit(0), F.lit(salts - 1))
     if rows_per_key is not None:
@@ -83,7 +89,7 @@ def rank_within(
     group: Sequence[str],
     order: Sequence[str],
     name: str = "position",
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, ... by ``order``, whatever the size of the group.
 
@@ -92,7 +98,7 @@ def rank_within(
     """
     group, order = list(group), list(order)
     largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= group_rows:
+    if largest <= (GROUP_ROWS if group_rows is None else group_rows):
         place = F.row_number().over(W.partitionBy(*group).orderBy(*order))
         return df.withColumn(name, place.cast("bigint"))
     return _rank_by_range(df, group, order, name)

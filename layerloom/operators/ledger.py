@@ -137,7 +137,7 @@ def substitute(
     ledger: DataFrame,
     page_id: str = "page_id",
     text: str = "body",
-    inline_names: int = INLINE_NAMES,
+    inline_names: int | None = None,
 ) -> DataFrame:
     """Replace names by their representatives and add an ``audit`` array of what was replaced.
 
@@ -145,6 +145,7 @@ def substitute(
     chains in the ledger are not followed. Audit rows come by falling count, ties in the order the
     names first occur.
     """
+    inline_names = INLINE_NAMES if inline_names is None else inline_names
     usable = applied(ledger).select("name", "representative", "confidence")
     head = usable.limit(inline_names + 1).collect()
     if not head:
@@ -190,9 +191,10 @@ def add_notes(
     ledger: DataFrame,
     page_id: str = "page_id",
     text: str = "body",
-    inline_names: int = INLINE_NAMES,
+    inline_names: int | None = None,
 ) -> DataFrame:
     """Add a ``notes`` array: unverified names that occur in the (already rewritten) text."""
+    inline_names = INLINE_NAMES if inline_names is None else inline_names
     order = "ord" if "ord" in ledger.columns else "name"
     open_names = ledger.filter(F.col("confidence") == UNVERIFIED).select(
         F.col(order).alias("at"), "name", "representative"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.functions.skew import GROUP_ROWS, rank_within
+from layerloom.functions.skew import rank_within
 from layerloom.functions.text import run_parts
 
 
@@ -54,7 +54,7 @@ def todo(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return inputs.join(done.select(key), key, "left_anti")
 
 
-def batches(units: DataFrame, key: str, size: int = 10, group_rows: int = GROUP_ROWS) -> DataFrame:
+def batches(units: DataFrame, key: str, size: int = 10, group_rows: int | None = None) -> DataFrame:
     """Consecutive batches of ``size`` units in key order with their first and last unit."""
     numbered = rank_within(units.select(key).distinct(), [], [key], "_n", group_rows)
     number = F.floor((F.col("_n") - 1) / size).cast("bigint") + 1
@@ -63,7 +63,7 @@ def batches(units: DataFrame, key: str, size: int = 10, group_rows: int = GROUP_
     ).withColumn("label", F.concat(F.col("first"), F.lit("-"), F.col("last")))
 
 
-def progress(units: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+def progress(units: DataFrame, key: str, group_rows: int | None = None) -> DataFrame:
     """Place of every unit in key order and the total, with the label ``i/N``."""
     numbered = rank_within(units.select(key).distinct(), [], [key], "i", group_rows)
     total = units.select(key).distinct().agg(F.count("*").alias("n")).scalar()

@@ -19,7 +19,7 @@ from layerloom.fixed_values import (
     REFERENCE_HEADING,
 )
 from layerloom.functions import text as tx
-from layerloom.functions.skew import GROUP_ROWS, join_dimension, rank_within
+from layerloom.functions.skew import join_dimension, rank_within
 from layerloom.operators.rollup import chapter_counts, chapter_refs
 
 PART_LINES = 10_000
@@ -27,7 +27,7 @@ PART_LINES = 10_000
 
 def join_lines(
     lines: DataFrame, page: str, order: list[str], part_lines: int = PART_LINES,
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Join ``line`` rows of a page, in order, into bounded text parts."""
     numbered = rank_within(lines, [page], order, "_n", group_rows)
@@ -52,7 +52,7 @@ def _link(page_id: Column, display: Column | None = None) -> Column:
 
 def render_nav(
     chapters: DataFrame, claims: DataFrame, mysteries: DataFrame,
-    part_lines: int = PART_LINES, group_rows: int = GROUP_ROWS,
+    part_lines: int = PART_LINES, group_rows: int | None = None,
 ) -> DataFrame:
     """Chapter index pages; ``chapters`` has ``chapter`` and ``title``."""
     counts = chapter_counts(chapters, claims, mysteries)
@@ -101,7 +101,7 @@ def render_nav(
 
 def render_reference(
     references: DataFrame, backlinks: DataFrame,
-    part_lines: int = PART_LINES, group_rows: int = GROUP_ROWS,
+    part_lines: int = PART_LINES, group_rows: int | None = None,
 ) -> DataFrame:
     """Reference page bodies: name, count heading and one bullet per backlink.
 
