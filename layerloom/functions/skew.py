@@ -90,14 +90,18 @@ def rank_within(
     order: Sequence[str],
     name: str = "position",
     group_rows: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of each group 1, 2, ... by ``order``, whatever the size of the group.
 
     Groups measured below ``group_rows`` use one window. Larger ones are cut into key ranges that
-    are numbered apart; each range then adds the rows its group has in earlier ranges.
+    are numbered apart; each range then adds the rows its group has in earlier ranges. ``sizes``
+    (a ``rows`` column) saves counting the groups where that is known.
     """
     group, order = list(group), list(order)
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if sizes is None:
+        sizes = df.groupBy(*group).agg(F.count("*").alias("rows"))
+    largest = sizes.agg(F.max("rows")).first()[0] or 0
     if largest <= (GROUP_ROWS if group_rows is None else group_rows):
         place = F.row_number().over(W.partitionBy(*group).orderBy(*order))
         return df.withColumn(name, place.cast("bigint"))

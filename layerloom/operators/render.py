@@ -27,10 +27,10 @@ PART_LINES = 10_000
 
 def join_lines(
     lines: DataFrame, page: str, order: list[str], part_lines: int = PART_LINES,
-    group_rows: int | None = None,
+    group_rows: int | None = None, sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``line`` rows of a page, in order, into bounded text parts."""
-    numbered = rank_within(lines, [page], order, "_n", group_rows)
+    numbered = rank_within(lines, [page], order, "_n", group_rows, sizes)
     part = F.floor((F.col("_n") - 1) / part_lines).cast("bigint")
     return (
         numbered.groupBy(page, part.alias("part"))
@@ -94,8 +94,9 @@ def render_nav(
     known = join_dimension(
         listed, chapters.select("chapter").distinct(), ["chapter"], "left_semi", salt_by=["key"]
     )
+    sizes = counts.select((F.col("claims") + F.col("mysteries") + F.col("refs") + len(fixed)).alias("rows"))
     return join_lines(
-        lines.unionByName(known), "chapter", ["rank", "key", "line"], part_lines, group_rows
+        lines.unionByName(known), "chapter", ["rank", "key", "line"], part_lines, group_rows, sizes
     )
 
 
@@ -127,6 +128,7 @@ def render_reference(
         backlinks, references.select("ref_id").distinct(), ["ref_id"], "left_semi", salt_by=["claim_id"]
     )
     bullets = known.select(*_line("ref_id", 4, F.col("claim_id"), bullet))
+    sizes = counts.select((F.col("backlinks") + len(fixed)).alias("rows"))
     return join_lines(
-        lines.unionByName(bullets), "ref_id", ["rank", "key", "line"], part_lines, group_rows
+        lines.unionByName(bullets), "ref_id", ["rank", "key", "line"], part_lines, group_rows, sizes
     )

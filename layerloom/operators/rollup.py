@@ -67,7 +67,8 @@ def chapter_index(chapters: DataFrame, claims: DataFrame, mysteries: DataFrame)
     )
     known = chapters.select("chapter").distinct()
     listed = join_dimension(entries, known, ["chapter"], "left_semi", salt_by=["entry_id"])
-    empty = known.join(entries.select("chapter").distinct(), "chapter", "left_anti")
+    active = claims.select("chapter").unionByName(mysteries.select("chapter")).distinct()
+    empty = known.join(active, "chapter", "left_anti")
     return listed.unionByName(
         empty.select("chapter", F.lit("none").alias("kind")), allowMissingColumns=True
     )

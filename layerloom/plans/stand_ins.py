@@ -42,21 +42,23 @@ PAGE_SECTIONS = ["The", "the", "and", "of", "la", "que", "de", "die", "der", "en
 ANCHOR = r'<a href="/([^"]*)">([^<]*)</a>'
 
 
-# Tables whose rows carry real work, with a column that spreads them evenly.
-SPREAD_BY = {"documents": "doc_id", "events": "event_id", "pages": "page_id", "embeddings": "vec_id"}
+# Tables whose rows carry a whole text or vector, with a column that spreads them evenly.
+SPREAD_BY = {"documents": "doc_id", "pages": "page_id", "embeddings": "vec_id"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer splits than cores more tasks, at most eightfold.
 
-    A scan with fewer splits than cores is spread out by key, at most eightfold; a large one already
-    has more splits than cores and is read without a shuffle.
+    A large scan already has more splits than cores and is left as it is, without a shuffle.
     """
+    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df if splits >= cores else df.repartition(min(cores, 8 * splits), key)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the data folder."""
     found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name not in SPREAD_BY:
-        return found
-    splits, cores = found.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
-    return found if splits >= cores else found.repartition(min(cores, 8 * splits), SPREAD_BY[name])
+    return spread(found, SPREAD_BY[name]) if name in SPREAD_BY else found
 
 
 def text(*parts: Column | str) -> Column:
@@ -129,7 +131,7 @@ def locator_text(para: Column, form: Column) -> Column:
 def claim_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims written out as pages (``front_matter``, ``body``)."""
     c = F.col
-    made = claims(spark, sf_dir)
+    made = spread(claims(spark, sf_dir), "event_id")
     front = text(
         'schema_version: "5.1"\nid: ', c("claim_id"), "\ntitle: ", c("title"),
         '\n\ntype: analytical_claim\ncreated: "', c("created"), '"\nsubject: "[[', c("observation_id"),
@@ -249,7 +251,7 @@ def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def episode_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One episode page per observation; errors show another order and signups miss an element."""
     c = F.col
-    made = observations(spark, sf_dir)
+    made = spread(observations(spark, sf_dir), "event_id")
     listed = [
         text("E_char_", c("subject")), text("E_term_key_", c("k")), text("E_item_user_", c("k")),
         text("E_item_key_", c("para")),
