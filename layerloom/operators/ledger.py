@@ -38,19 +38,24 @@ PROTECTED = (
     rf"<!-- AUTO-GENERATED:{LEDGER_BLOCK} -->.*?<!-- /AUTO-GENERATED:{LEDGER_BLOCK} -->"
     r"|\[\[[^\]|]*|\]\([^)]*\)"
 )
+PROTECTED_FIRST = r"<\[\]"
 
 AUDIT_TYPE = "array<struct<name:string,representative:string,confidence:string,replaced:bigint>>"
 NOTE_TYPE = "array<struct<name:string,representative:string>>"
 
 
-def names_pattern(names: Iterable[str]) -> str:
-    """A regex for any of the names, longest first, that tries only names sharing a first letter."""
+def hit_pattern(names: Iterable[str]) -> str:
+    """A regex for a protected span or any of the names, longest first.
+
+    Most characters begin neither, so one look at the first character comes before the
+    alternatives, and only names sharing that character are tried.
+    """
     by_first: dict[str, list[str]] = {}
     for name in sorted(names, key=lambda n: (-len(n), n)):
         by_first.setdefault(name[0], []).append(re.escape(name[1:]))
     branches = [f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in sorted(by_first.items())]
     firsts = "".join(re.escape(first) for first in sorted(by_first))
-    return rf"(?=[{firsts}])(?:{'|'.join(branches)})"
+    return rf"(?=[{PROTECTED_FIRST}{firsts}])(?:{PROTECTED}|{'|'.join(branches)})"
 
 
 def _entry(representative: Column, confidence: Column) -> Column:
@@ -65,7 +70,7 @@ def _with_inline_ledger(pages: DataFrame, rows: list) -> DataFrame:
     ]
     return pages.withColumns(
         {
-            "_pattern": F.lit(f"{PROTECTED}|{names_pattern(r['name'] for r in rows)}"),
+            "_pattern": F.lit(hit_pattern(r["name"] for r in rows)),
             "_entries": F.create_map(*entries),
         }
     )
