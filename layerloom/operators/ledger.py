@@ -27,7 +27,7 @@ from layerloom.fixed_values import (
 )
 from layerloom.functions.explode import explode_rows
 from layerloom.functions.rewrite import pieces
-from layerloom.functions.skew import join_dimension
+from layerloom.functions.skew import join_dimension, measured_small
 from layerloom.operators.filters import applied
 
 # Up to this many names (measured) the ledger becomes part of the query; beyond it is joined.
@@ -76,22 +76,37 @@ def _with_inline_ledger(pages: DataFrame, rows: list) -> DataFrame:
     )
 
 
-def names_in_text(
-    pages: DataFrame, ledger: DataFrame, page_id: str = "page_id", text: str = "body"
-) -> DataFrame:
-    """Ledger names that occur anywhere in each page, by equality of substrings.
+def _search_names(offered: DataFrame, names: list[str], schema: str) -> DataFrame:
+    """Which of a bounded list of names each text holds, all of them found in one scan of it."""
+    shared = offered.sparkSession.sparkContext.broadcast(names)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import ahocorasick
+
+        wanted = ahocorasick.Automaton()
+        for name in shared.value:
+            wanted.add_word(name, name)
+        wanted.make_automaton()
+        for batch in batches:
+            hits = [
+                (key, name)
+                for key, text in zip(batch["page_id"], batch["text"])
+                for name in {name for _, name in wanted.iter(text)}
+            ]
+            yield pd.DataFrame(hits, columns=["page_id", "name"])
+
+    return offered.mapInPandas(search, schema)
 
-    For ledgers of any size: every page offers its distinct substrings of the lengths that occur
-    among the names, and an equi-join keeps the ones that are names.
-    """
-    lengths = [r[0] for r in ledger.select(F.length("name")).distinct().collect()]
+
+def _offer_substrings(offered: DataFrame, lengths: list[int], schema: str) -> DataFrame:
+    """Distinct substrings of each text in the given lengths."""
 
     def substrings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, found = [], []
         for batch in batches:
-            for key, body in zip(batch["page_id"], batch["text"]):
+            for key, text in zip(batch["page_id"], batch["text"]):
                 for n in lengths:
-                    seen = {body[i : i + n] for i in range(len(body) - n + 1)}
+                    seen = {text[i : i + n] for i in range(len(text) - n + 1)}
                     keys.extend([key] * len(seen))
                     found.extend(seen)
                     if len(found) > 100_000:
@@ -100,14 +115,31 @@ def names_in_text(
         if found:
             yield pd.DataFrame({"page_id": keys, "name": found})
 
-    key_type = dict(pages.dtypes)[page_id]
-    offered = (
-        pages.filter(F.col(text).isNotNull())
-        .select(F.col(page_id).alias("page_id"), F.col(text).alias("text"))
-        .mapInPandas(substrings, f"page_id {key_type}, name string")
+    return offered.mapInPandas(substrings, schema)
+
+
+def names_in_text(
+    pages: DataFrame, ledger: DataFrame, page_id: str = "page_id", text: str = "body"
+) -> DataFrame:
+    """Ledger rows whose name occurs anywhere in each page.
+
+    Names measured small enough to broadcast are searched for in the tasks. Beyond that every page
+    offers its distinct substrings of the lengths that occur among the names, and an equi-join
+    keeps the ones that are names.
+    """
+    schema = f"page_id {dict(pages.dtypes)[page_id]}, name string"
+    offered = pages.filter(F.col(text).isNotNull()).select(
+        F.col(page_id).alias("page_id"), F.col(text).alias("text")
     )
-    found = join_dimension(offered, ledger, ["name"], "inner", salt_by=["page_id"])
-    return found.withColumnRenamed("page_id", page_id)
+    names = ledger.select("name")
+    small = measured_small(names)
+    if small:
+        found = _search_names(offered, [r[0] for r in names.collect()], schema)
+    else:
+        lengths = [r[0] for r in ledger.select(F.length("name")).distinct().collect()]
+        found = _offer_substrings(offered, lengths, schema)
+    known = join_dimension(found, ledger, ["name"], "inner", salt_by=["page_id"], small=small)
+    return known.withColumnRenamed("page_id", page_id)
 
 
 def _with_joined_ledger(pages: DataFrame, ledger: DataFrame, page_id: str, text: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from layerloom import schemas
 from layerloom.fixed_values import EXPLICIT, SAME_SPELLING, UNVERIFIED
+from layerloom.functions import skew
 from layerloom.operators import ledger as lg
 from layerloom.plans.layers import build_l2
 
@@ -25,9 +26,11 @@ def run(spark, entries, body, **limits):
     return done["body"], audit, [n["name"] for n in done["notes"]]
 
 
-@pytest.fixture(params=["inline", "joined"])
-def limits(request):
-    """Both ways a ledger is applied: written into the query, and joined because it is large."""
+@pytest.fixture(params=["inline", "searched", "joined"])
+def limits(request, monkeypatch):
+    """The ways a ledger is applied: written into the query, broadcast, or joined when very large."""
+    if request.param == "joined":
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     return {} if request.param == "inline" else {"inline_names": 0}
 
 
