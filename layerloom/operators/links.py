@@ -9,8 +9,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.fixed_values import SECTIONS
 from layerloom.functions.explode import explode_rows
-from layerloom.functions.rewrite import HTML_LINK, MARKDOWN_LINK, WIKILINK, rewrite_pieces
+from layerloom.functions.rewrite import (
+    HTML_LINK,
+    MARKDOWN_LINK,
+    WIKILINK,
+    bare_section_links,
+    rewrite_pieces,
+    section_links,
+)
 from layerloom.functions.skew import join_dimension
 from layerloom.functions.text import text_or_null
 
@@ -145,6 +153,17 @@ def unlink_missing(
     ).drop("_missing")
 
 
+def rewrite_counters(
+    pages: DataFrame, sections: Sequence[str] = SECTIONS, layer: str = "layer", text: str = "body"
+) -> DataFrame:
+    """Per layer: section links that get their depth prefix, and those still bare afterwards."""
+    before = bare_section_links(F.col(text), sections)
+    after = bare_section_links(section_links(F.col(text), sections), sections)
+    return pages.groupBy(layer).agg(
+        F.sum(before).cast("bigint").alias("rewritten"), F.sum(after).cast("bigint").alias("remaining")
+    )
+
+
 def link_counters(
     before: DataFrame, after: DataFrame, form: LinkForm, layer: str = "layer",
     page_id: str = "page_id", text: str = "body",

@@ -230,9 +230,16 @@ class Fix:
 
 
 def plan_fixes(
-    pages: DataFrame, fixes: Sequence[Fix], key: str = "path", text: str = "text"
+    pages: DataFrame,
+    fixes: Sequence[Fix],
+    key: str = "path",
+    text: str = "text",
+    findings: DataFrame | None = None,
 ) -> DataFrame:
-    """Proposed text per page and rule; each rule sees the page as published."""
+    """Proposed text per page and rule; each rule sees the page as published.
+
+    With ``findings`` (a lint table) only pages with a finding of the same rule get a proposal.
+    """
     proposals = F.array(
         *[
             F.struct(
@@ -242,11 +249,15 @@ def plan_fixes(
             for f in fixes
         ]
     )
-    return (
+    plan = (
         pages.select(key, F.col(text).alias("before"), F.explode(proposals).alias("_p"))
         .filter(F.col("_p.after") != F.col("before"))
         .select(key, "_p.rule", "_p.safety", "before", "_p.after")
     )
+    if findings is None:
+        return plan
+    found = findings.select(F.col("path").alias(key), "rule").distinct()
+    return plan.join(found, [key, "rule"], "left_semi")
 
 
 def apply_fixes(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from layerloom.functions.explode import explode_rows
+from layerloom.functions.explode import explode_rows, worked_out
 from layerloom.functions.skew import join_dimension, measured_small
 
 K1 = 1.2
@@ -92,10 +92,12 @@ def bm25_scores(hits: DataFrame, sizes: DataFrame, wanted: DataFrame) -> DataFra
     weighted = wanted.join(term_stats(hits), "term").select("query_id", "term", idf.alias("idf"))
     # One weighted row per wanted word, so measuring those is enough.
     small = measured_small(wanted)
-    pairs = join_dimension(hits, weighted, ["term"], "inner", salt_by=["doc_id"], small=small)
+    # A posting's own share is worked out before it meets the queries that ask for its word.
     norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / mean)
+    shares = worked_out(hits.select("term", "doc_id", (F.col("tf") * (K1 + 1) / norm).alias("share")))
+    pairs = join_dimension(shares, weighted, ["term"], "inner", salt_by=["doc_id"], small=small)
     return pairs.groupBy("query_id", "doc_id").agg(
-        F.round(F.sum(F.col("idf") * F.col("tf") * (K1 + 1) / norm), SCORE_DIGITS).alias("score")
+        F.round(F.sum(F.col("idf") * F.col("share")), SCORE_DIGITS).alias("score")
     )
 
 

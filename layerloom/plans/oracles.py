@@ -441,6 +441,9 @@ DEPTH = f"regexp_replace(t, '\\]\\(((?:{SECTION_ALT})/index\\.md)\\)', '](../../
 
 put("rewrite_links", f"""WITH {INDEXED} SELECT page_id, CAST(len(matching) AS BIGINT) AS rewritten,
   0::BIGINT AS remaining, md5({DEPTH}) AS text_md5 FROM indexed""")
+put("rewrite_counters", f"""WITH {INDEXED} SELECT regexp_extract(url, 'example\\.([a-z]+)/', 1) AS layer,
+  CAST(sum(len(matching)) AS BIGINT) AS rewritten, 0::BIGINT AS remaining
+FROM indexed JOIN pages USING (page_id) GROUP BY 1""")
 put("unwiki_fields", f"""WITH {CLAIMS} SELECT event_id, 'id: ' || claim_id || {NL} || 'subject: `' || observation_id
   || '` `' || object_id || '`' || {NL} || 'object: plain ' || k || {NL} || 'other: [[' || object_id || ']]' AS front_matter
 FROM claims""")

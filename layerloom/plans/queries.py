@@ -693,6 +693,11 @@ def rewrite_links(spark, d):
     )
 
 
+@query
+def rewrite_counters(spark, d):
+    return links.rewrite_counters(si.web_pages(spark, d), si.PAGE_SECTIONS, text="indexed")
+
+
 @query
 def unwiki_fields(spark, d):
     front = si.text(

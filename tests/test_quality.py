@@ -114,6 +114,8 @@ def test_fix_plan_and_application(spark):
     assert plan == [
         ("a", "LNK-DEPTH", "safe", "[n](../../../nav/index.md)"), ("a", "UPPER", "review", "[N](NAV/INDEX.MD)"),
     ]
+    found = frame(spark, "path string, rule string", ("a", "UPPER"), ("a", "UPPER"), ("b", "UPPER"))
+    assert rows(q.plan_fixes(pages, FIXES, findings=found).select("path", "rule")) == [("a", "UPPER")]
     assert rows(q.apply_fixes(pages, FIXES)) == [("a", "[n](../../../nav/index.md)"), ("b", "OK")]
     both = q.apply_fixes(pages, FIXES, ("safe", "review"))
     assert rows(both) == [("a", "[N](../../../NAV/INDEX.MD)"), ("b", "OK")]
