@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerloom.llm import curriculum, divergence, latent, ring, simhash
+from layerloom.llm import curriculum, divergence, latent, ring, secret_scan, simhash, toxicity
 from layerloom.llm.common import documents
 
 
@@ -14,10 +14,18 @@ def op2_simhash_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_table(documents(spark, sf_dir))
 
 
+def op6_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_table(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -37,7 +45,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_simhash_clusters,
+        op3_toxicity_scores,
         op5_ring_shards,
+        op6_secret_spans,
         op7_quality_rules,
         op8_source_mix,
         op10_benchmark_leaks,
