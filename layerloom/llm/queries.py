@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerloom.llm import curriculum, divergence, latent, ring, secret_scan, simhash, toxicity
+from layerloom.llm import curriculum, divergence, latent, line_dedup, pii, ring, secret_scan, simhash, toxicity, weak_labels
 from layerloom.llm.common import documents
 
 
+def op1_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(documents(spark, sf_dir))
+
+
 def op2_simhash_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -18,6 +22,10 @@ def op3_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_table(documents(spark, sf_dir))
+
+
 def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring.shard_table(documents(spark, sf_dir))
 
@@ -36,6 +44,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix_table(documents(spark, sf_dir))
 
 
+def op9_private_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_table(documents(spark, sf_dir))
+
+
 def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it holds."""
     return latent.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -44,12 +56,15 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_quality_scores,
         op2_simhash_clusters,
         op3_toxicity_scores,
+        op4_line_dedup,
         op5_ring_shards,
         op6_secret_spans,
         op7_quality_rules,
         op8_source_mix,
+        op9_private_spans,
         op10_benchmark_leaks,
     )
 }
