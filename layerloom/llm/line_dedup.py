@@ -9,18 +9,21 @@ edit distance that holds a band of ``2 * TAU + 1`` diagonals in one number. Buil
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.explode import explode_rows, worked_out
-from layerloom.llm.common import SPACE, let, text_of
+from layerloom.functions.skew import measured_small
+from layerloom.llm.common import SPACE, durable, let, text_of
 from layerloom.llm.components import components
 
-TAU = 2
-# Shorter lines are compared exactly: two edits would make different lines of them.
+TAU = 1
+# Shorter lines are compared exactly: an edit would often make a different line of them.
 MIN_LENGTH = 24
-# Sixteen frequent letters.
-LETTERS = "etaonirshdlucmpg"
+# Eight frequent letters.
+LETTERS = "etaonirs"
 
 
 def _segment(length: Column, i: int) -> tuple[Column, Column]:
@@ -92,25 +95,17 @@ def word_parity(line: Column) -> Column:
 
 
 def letter_counts(line: Column) -> Column:
-    """How often each of sixteen frequent characters occurs, modulo 16, in four bits each."""
-    parts = [
-        F.shiftleft((F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(F.lit(15)).cast("bigint"), 4 * k)
-        for k, c in enumerate(LETTERS)
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.bitwiseOR(p)
-    return out
+    """How often each of eight frequent letters occurs, modulo 256, in eight bits each."""
+    counts = [F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
+    parts = [F.shiftleft(n.bitwiseAND(F.lit(255)).cast("bigint"), 8 * k) for k, n in enumerate(counts)]
+    return reduce(lambda x, y: x.bitwiseOR(y), parts)
 
 
 def letter_difference(a: Column, b: Column) -> Column:
     """By how much two packed counts differ in all; an edit changes it by two at most."""
-    terms = []
-    for k in range(len(LETTERS)):
-        of = lambda x, k=k: F.shiftrightunsigned(x, 4 * k).bitwiseAND(F.lit(15))
-        d = (of(a) - of(b)).bitwiseAND(F.lit(15))
-        terms.append(F.least(d, 16 - d))
-    return sum(terms[1:], terms[0])
+    of = lambda x, k: F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(255))
+    differences = [(of(a, k) - of(b, k)).bitwiseAND(F.lit(255)) for k in range(len(LETTERS))]
+    return reduce(lambda x, y: x + y, [F.least(d, 256 - d) for d in differences])
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -123,11 +118,15 @@ def lines(docs: DataFrame) -> DataFrame:
 
 def line_links(all_lines: DataFrame) -> DataFrame:
     """Pairs ``a``, ``b`` of hashes of different lines at most ``TAU`` edits apart, each pair once."""
-    distinct = all_lines.filter(F.length("line") >= MIN_LENGTH).groupBy("h").agg(F.first("line").alias("line"))
-    sized = worked_out(distinct.withColumns({"n": F.length("line"), "parity": word_parity(F.col("line")), "letters": letter_counts(F.col("line"))}))
-    own, probes = _signatures(F.col("line"), F.col("n"))
-    index = sized.select(F.col("h").alias("a"), F.col("parity").alias("pa"), F.col("letters").alias("la"), F.explode(own).alias("key"))
-    probe = sized.select(F.col("h").alias("b"), F.col("parity").alias("pb"), F.col("letters").alias("lb"), F.explode(probes).alias("key"))
+    long = all_lines.filter(F.length("line") >= MIN_LENGTH)
+    own, probes = _signatures(F.col("line"), F.length("line"))
+    sketch = F.struct(
+        word_parity(F.col("line")).alias("p"), letter_counts(F.col("line")).alias("l"), own.alias("own"), probes.alias("probes")
+    )
+    # Equal lines have equal sketches; from here on a line is its hash, its text stays where it is.
+    sized = durable(long.select("h", sketch.alias("s")).groupBy("h").agg(F.first("s").alias("s")))
+    index = sized.select(F.col("h").alias("a"), F.col("s.p").alias("pa"), F.col("s.l").alias("la"), F.explode("s.own").alias("key"))
+    probe = sized.select(F.col("h").alias("b"), F.col("s.p").alias("pb"), F.col("s.l").alias("lb"), F.explode("s.probes").alias("key"))
     # Lines that share a segment but have too many other words or letters fall out inside the join.
     alike = (
         (index["key"] == probe["key"])
@@ -135,9 +134,12 @@ def line_links(all_lines: DataFrame) -> DataFrame:
         & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 3 * TAU)
         & (letter_difference(F.col("la"), F.col("lb")) <= 2 * TAU)
     )
-    pairs = index.join(probe, alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    near = pairs.join(sized.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(
-        sized.select(F.col("h").alias("b"), F.col("line").alias("y")), "b"
+    pairs = durable(index.join(probe, alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    wanted = F.broadcast(wanted) if measured_small(wanted) else wanted
+    texts = long.join(wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    near = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(
+        texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b"
     )
     # The built-in distance turns away most candidates at little cost; the band verifies the rest.
     close = near.filter(F.levenshtein("x", "y", TAU) >= 0)
