@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.explode import worked_out
-from layerloom.llm.common import SPACE_CHARS, let, text_of, words_of
+from layerloom.llm.common import let, text_of, words_of
 
 # Frequent function words of the languages that have a reference.
 COMMON_WORDS = {
@@ -22,14 +22,14 @@ COMMON_WORDS = {
 }
 OTHER = "other"
 
-# Character classes, as Java patterns; what none matches is the last class.
+# Character classes, as Java character sets. The class "symbol" is what is neither a
+# letter, a digit, a space nor a stop; what none of them matches is the last class (small letters).
 CLASSES = {
-    "lower": r"\p{Ll}+",
-    "upper": r"\p{Lu}+",
-    "digit": r"\p{Nd}+",
-    "space": r"[\x20\x09-\x0D]+",
-    "stop": r"[.,;:'\"?()\-]+",
-    "symbol": r"[#*$%&|<>]+",
+    "upper": r"\p{Lu}",
+    "digit": r"\p{Nd}",
+    "space": r"\x20\x09-\x0D",
+    "stop": r".,;:'\"?()\-",
+    "symbol": r"^\p{L}\p{Nd}\x20\x09-\x0D.,;:'\"?()\-",
 }
 SYMBOLS = "#*$%&|<>"
 
@@ -46,14 +46,19 @@ WORD_LIMIT = (0.20, 1.6)
 JOINT_LIMIT = (0.50, 1.6)
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def _count_in(text: Column, chars: str) -> Column:
+    """Characters of a set, counted by removing the runs of all others."""
+    others = chars[1:] if chars[0] == "^" else "^" + chars
+    return F.length(F.regexp_replace(text, f"[{others}]+", ""))
 
 
 def repeated_words(words: Column) -> Column:
     """Words that lie in a window of eight words which the text has more than once."""
     n = F.size(words)
-    hashes = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
+    hashes = let(
+        F.transform(words, lambda w: F.xxhash64(w)),
+        lambda each: F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(each, i, WINDOW))),
+    )
 
     def covered(h: Column) -> Column:
         ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -85,9 +90,11 @@ def repeated_lines(text: Column) -> Column:
 
 
 def class_histogram(text: Column) -> Column:
-    counts = [F.length(text) - F.length(F.regexp_replace(text, p, "")) for p in CLASSES.values()]
-    rest = F.length(F.regexp_replace(text, "[" + "".join(p[1:-2] if p[0] == "[" else p[:-1] for p in CLASSES.values()) + "]+", ""))
-    return F.array(*[c.cast("double") for c in [*counts, rest]])
+    counts = let(
+        F.array(*[_count_in(text, chars) for chars in CLASSES.values()]),
+        lambda c: F.concat(c, F.array(F.length(text) - F.aggregate(c, F.lit(0), lambda x, y: x + y))),
+    )
+    return F.transform(counts, lambda c: c.cast("double"))
 
 
 def language_of(lang: Column) -> Column:
@@ -105,9 +112,8 @@ def _vocabulary(lang: Column) -> Column:
 
 def word_histogram(text: Column, lang: Column) -> Column:
     """How often each common word of the language occurs, and the rest of the words."""
-    plain = F.lower(F.translate(text, ".,;:'\"?()!" + SYMBOLS, ""))
     return let(
-        words_of(plain),
+        F.split(F.lower(text), r"[\x20\x09-\x0D.,;:'\"?()!#*$%&|<>]+"),
         lambda ws: let(
             F.transform(_vocabulary(lang), lambda w: F.size(ws) - F.size(F.array_remove(ws, w))),
             lambda found: F.transform(
@@ -136,8 +142,8 @@ def base_counts(docs: DataFrame) -> DataFrame:
     counted = ready.withColumns(
         {
             "n_words": F.size(words).cast("bigint"),
-            "word_chars": _without(text, SPACE_CHARS).cast("bigint"),
-            "n_symbols": (F.length(text) - _without(text, SYMBOLS)).cast("bigint"),
+            "word_chars": F.length(F.concat_ws("", words)).cast("bigint"),
+            "n_symbols": _count_in(text, SYMBOLS).cast("bigint"),
             "n_dup_lines": repeated_lines(text),
             "n_repeat_words": repeated_words(words),
         }
