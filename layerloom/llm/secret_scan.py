@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerloom.llm.common import text_of, travels
 
@@ -118,7 +119,10 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-@F.pandas_udf("array<struct<start:bigint,kind:int,end:bigint>>")
+_SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.LongType())])
+
+
+@F.pandas_udf(T.ArrayType(_SPAN))
 def _spans(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [{"start": a, "kind": k, "end": b} for a, k, b in spans_of(t)])
 

@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerloom.functions.explode import worked_out
 from layerloom.llm.common import durable, text_of, travels, words_of
@@ -54,7 +55,7 @@ def _shingle_hashes(words: Column) -> Column:
     return F.when(n >= SHINGLE, each).when(n > 0, F.array(F.xxhash64(F.concat_ws(" ", words))))
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def _majority(hashes: pd.Series) -> pd.Series:
     """Bit i is 1 where over half of the hashes have it; 0 without hashes."""
     out = np.zeros(len(hashes), dtype=np.int64)

@@ -1,7 +1,7 @@
 """Quality classifier from weak labels.
 
 Overlapping heuristics vote good, bad or not at all on every document. Expectation maximisation on
-the counts of vote patterns, a table of at most ``3 ** 7`` rows over all documents, estimates how
+the counts of vote patterns, a table of at most ``3 ** 8`` rows over all documents, estimates how
 accurate each heuristic is and what each pattern says. These posteriors are the labels that a
 hashed linear scorer is trained on; the scorer reads the text alone and judges every document,
 also where the heuristics are silent.
@@ -21,7 +21,7 @@ from layerloom.llm.common import text_of, travels
 
 travels(__name__)
 
-HEURISTICS = ("length", "symbols", "capitals", "repeats", "word_length", "variety", "stops")
+HEURISTICS = ("length", "symbols", "symbols_per_word", "capitals", "repeats", "word_length", "variety", "stops")
 # Documents that the scorer is fitted on, drawn by a hash of the id.
 FIT_ROWS = 4096
 CLASS_BUCKETS = 512
@@ -75,17 +75,18 @@ def _votes(c: dict[str, np.ndarray]) -> np.ndarray:
     """One row per heuristic: 2 good, 0 bad, 1 no vote."""
     words, size = np.maximum(c["words"], 1), np.maximum(c["bytes"], 1)
     letters = np.maximum(c["small"] + c["capital"], 1)
-    pick = lambda bad, good: np.where(bad, 0, np.where(good, 2, 1))
-    short, long = c["words"] < 20, c["words"] >= 40
-    mean = letters / words
+    # A heuristic that sees nothing wrong of its own kind says nothing; only full sentences speak for a text.
+    bad = lambda flag: np.where(flag, 0, 1)
+    short, mean, stops = c["words"] < 20, letters / words, c["stop"] / words
     return np.array([
-        pick(short, long),
-        pick(c["sign"] / size > 0.02, long & (c["sign"] / size < 0.01)),
-        pick((c["capital"] / letters > 0.3) & ~short, long & (c["capital"] / letters < 0.1)),
-        pick((c["same"] / words > 0.1) & ~short, long & (c["same"] / words < 0.03)),
-        pick((mean < 2) | (mean > 9), (mean > 3) & (mean < 7) & ~short),
-        pick((c["distinct"] / words < 0.3) & (c["words"] < 2000) & ~short, long & (c["distinct"] / words > 0.4)),
-        pick((c["stop"] / words < 0.01) & ~short, long & (c["stop"] / words > 0.02) & (c["stop"] / words < 0.5)),
+        bad(short),
+        bad(c["sign"] / size > 0.02),
+        bad(c["sign"] / words > 0.25),
+        bad((c["capital"] / letters > 0.3) & ~short),
+        bad((c["same"] / words > 0.1) & ~short),
+        bad((mean < 2) | (mean > 9)),
+        bad((c["distinct"] / words < 0.3) & (c["words"] < 2000) & ~short),
+        np.where((stops < 0.01) & ~short, 0, np.where((c["words"] >= 40) & (stops > 0.02) & (stops < 0.5), 2, 1)),
     ]).astype(np.int64)
 
 
