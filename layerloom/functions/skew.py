@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Copies of the smaller side, and shares of a hot key, in a salted join.
-SALTS = 16
-
-# Rows of one key from which it is salted, where the rows per key are known.
+# Rows of one key that one task may join; a key with more is cut into shares of that size.
 HOT_ROWS = 1_000_000
 
 # Rows of one group a single window task may hold.
@@ -44,7 +41,6 @@ def join_dimension(
     on: Sequence[str],
     how: str = "inner",
     salt_by: Sequence[str] | None = None,
-    salts: int | None = None,
     max_rows: int | None = None,
     small: bool | None = None,
     rows_per_key: DataFrame | None = None,
@@ -52,32 +48,29 @@ def join_dimension(
 ) -> DataFrame:
     """Join a large, possibly skewed table to a smaller one by equality.
 
-    A measured-small side is broadcast. Otherwise it is repeated once per salt and the large side
-    picks its salt from ``salt_by`` (a hash of row content, so a rerun task gives the same rows),
-    which spreads a hot key over ``salts`` tasks. ``small`` states what a measurement would find,
-    where it is known already or where measuring would compute the side twice. With
-    ``rows_per_key`` (the keys and a ``rows`` count of the large side) only keys above ``hot_rows``
-    are salted and nothing else is repeated.
+    A measured-small side is broadcast. Otherwise rows are counted per key (``rows_per_key``, the
+    keys and a ``rows`` count of the large side, saves that), and a key above ``hot_rows`` is cut
+    into as many shares as it has multiples of them; nothing else is repeated. A row picks its share
+    from ``salt_by`` (a hash of row content, so a rerun task gives the same rows). Rows with a null
+    key match nothing and are spread by that hash alone. ``small`` states what a measurement would
+    find, where it is known already or where measuring would compute the side twice.
     """
     on = list(on)
     if measured_small(dimension, max_rows) if small is None else small:
         return facts.join(F.broadcast(dimension), on, how)
-    salts = SALTS if salts is None else salts
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    salt = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.lit(salts)).cast("int")
-    copies = F.sequence(F.lit(0), F.lit(salts - 1))
-    if rows_per_key is not None:
-        # All rows divided by hot_rows bounds the number of hot keys, so their list is small.
-        hot = F.broadcast(
-            rows_per_key.filter(F.col("rows") > hot_rows).select(*on, F.lit(True).alias("_hot"))
-        )
-        facts, dimension = facts.join(hot, on, "left"), dimension.join(hot, on, "left")
-        salt = F.when(F.col("_hot"), salt).otherwise(0)
-        copies = F.when(F.col("_hot"), copies).otherwise(F.array(F.lit(0)))
-    spread = dimension.withColumn("_salt", F.explode(copies)).drop("_hot")
-    return (
-        facts.withColumn("_salt", salt).join(spread, [*on, "_salt"], how).drop("_salt", "_hot")
-    )
+    counted = facts.groupBy(*on).agg(F.count("*").alias("rows")) if rows_per_key is None else rows_per_key
+    shares = F.ceil(F.col("rows") / hot_rows).cast("int")
+    hot = counted.filter(F.col("rows") > hot_rows).select(*on, shares.alias("_shares"))
+    if measured_small(hot):
+        hot = F.broadcast(hot)
+    content = F.xxhash64(*(salt_by or facts.columns))
+    no_key = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    salt = F.when(no_key, content).otherwise(F.coalesce(F.pmod(content, F.col("_shares")), F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1).cast("array<bigint>")
+    spread = dimension.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_shares")
+    salted = facts.join(hot, on, "left").withColumn("_salt", salt.cast("bigint")).drop("_shares")
+    return salted.join(spread, [*on, "_salt"], how).drop("_salt")
 
 
 def _ordering(columns: Sequence[str]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.functions.skew import rank_within
+from layerloom.functions.skew import join_dimension, rank_within
 from layerloom.functions.text import run_parts
 
 
@@ -14,15 +14,21 @@ def lineage(l2: DataFrame, l1: DataFrame) -> DataFrame:
 
     ``l2`` names its parent in ``normalized_from``. Both sides of each join are unique paths.
     """
-    exact = l1.select(F.col("path").alias("normalized_from"), F.lit(True).alias("_exact"))
-    folded = l1.groupBy(F.lower("path").alias("_folded")).agg(F.min("path").alias("_same"))
-    joined = l2.join(exact, "normalized_from", "left").withColumn(
-        "_folded", F.when(F.col("_exact").isNull(), F.lower("normalized_from"))
+    paths = l1.select(F.col("path").alias("normalized_from"))
+    named = l2.filter(F.col("normalized_from").isNotNull())
+    exact = named.join(paths, "normalized_from", "left_semi").withColumns(
+        {"match": F.lit("exact"), "l1_path": F.col("normalized_from")}
     )
-    found = joined.join(folded, "_folded", "left")
-    match = F.when(F.col("_exact"), "exact").when(F.col("_same").isNotNull(), "case").otherwise("none")
-    parent = F.when(F.col("_exact"), F.col("normalized_from")).otherwise(F.col("_same"))
-    return found.withColumns({"match": match, "l1_path": parent}).drop("_exact", "_folded", "_same")
+    # Only what has no exact parent is folded, so exact matches never share one empty join key.
+    folded = l1.groupBy(F.lower("path").alias("_folded")).agg(F.min("path").alias("l1_path"))
+    rest = named.join(paths, "normalized_from", "left_anti").withColumn("_folded", F.lower("normalized_from"))
+    by_case = rest.join(folded, "_folded", "left").drop("_folded").withColumn(
+        "match", F.when(F.col("l1_path").isNotNull(), "case").otherwise("none")
+    )
+    orphans = l2.filter(F.col("normalized_from").isNull()).withColumns(
+        {"match": F.lit("none"), "l1_path": F.lit(None).cast("string")}
+    )
+    return exact.unionByName(by_case).unionByName(orphans)
 
 
 def union_layers(l1: DataFrame, l2: DataFrame) -> DataFrame:
@@ -83,24 +89,44 @@ def latest_run(pages: DataFrame, key: str = "page_id", run: str = "run") -> Data
     return pages.groupBy(key).agg(F.max_by(row, order).alias("_row")).select(key, "_row.*")
 
 
+def _moved(old: DataFrame, new: DataFrame, key: str, text: str) -> DataFrame:
+    """Keys whose texts differ, with ``_old`` and ``_new``: whether each side has the key."""
+
+    def marked(df: DataFrame, name: str) -> DataFrame:
+        digest = F.sha2(F.col(text).cast("string"), 256)
+        return df.select(key, F.lit(True).alias(f"_{name}"), digest.alias(f"_{name}_sha"))
+
+    both = marked(old, "old").join(marked(new, "new"), key, "full")
+    present = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("_old", "_new")}
+    differs = (F.col("_old") != F.col("_new")) | ~F.col("_old_sha").eqNullSafe(F.col("_new_sha"))
+    return both.withColumns(present).filter(differs).select(key, "_old", "_new")
+
+
 def changed_pages(old: DataFrame, new: DataFrame, key: str = "path", text: str = "text") -> DataFrame:
-    """New versions of the pages whose text differs from the old one."""
-    before = old.select(key, F.col(text).alias("_before"))
-    return new.join(before, key).filter(F.col(text) != F.col("_before")).drop("_before")
+    """Pages of ``new`` that are not in ``old`` or whose text differs there.
+
+    Keys and checksums are compared first; texts of unchanged pages are not shuffled while the list
+    of changed keys is measured small.
+    """
+    moved = _moved(old, new, key, text).filter("_new").select(key)
+    return join_dimension(new, moved, [key], "left_semi")
 
 
 def change_log(
     old: DataFrame, new: DataFrame, rule: str, key: str = "path", text: str = "text"
 ) -> DataFrame:
-    """Before and after of every page that was added, removed or changed by a rule."""
-    before = old.select(key, F.col(text).alias("before"))
-    after = new.select(key, F.col(text).alias("after"))
-    differs = ~F.col("before").eqNullSafe(F.col("after"))
-    change = F.when(F.col("before").isNull(), "added").when(
-        F.col("after").isNull(), "removed"
-    ).otherwise("changed")
-    return before.join(after, key, "full").filter(differs).select(
-        key, F.lit(rule).alias("rule"), change.alias("change"), "before", "after"
+    """Before and after of every page that was added, removed or changed by a rule.
+
+    Keys and checksums are compared first; texts are fetched for the differing keys only.
+    """
+    change = F.when(~F.col("_old"), "added").when(~F.col("_new"), "removed").otherwise("changed")
+    moved = _moved(old, new, key, text).select(key, change.alias("change"))
+    before, after = (
+        join_dimension(df.select(key, F.col(text).alias(name)), moved.select(key), [key], "left_semi")
+        for df, name in ((old, "before"), (new, "after"))
+    )
+    return moved.join(before, key, "left").join(after, key, "left").select(
+        key, F.lit(rule).alias("rule"), "change", "before", "after"
     )
 
 

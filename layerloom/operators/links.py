@@ -104,7 +104,7 @@ def resolve_links(links: DataFrame, existing: DataFrame) -> DataFrame:
     link is looked up in its own layer.
     """
     on = [c for c in ("layer", "target") if c in existing.columns]
-    known = existing.select(*on, F.lit(True).alias("_known"))
+    known = existing.select(*on).distinct().withColumn("_known", F.lit(True))
     joined = join_dimension(links, known, on, "left")
     status = F.when(F.col("_known"), "ok").otherwise("dead")
     return joined.withColumn("status", status).drop("_known")
@@ -131,15 +131,17 @@ def unlink_missing(
 ) -> DataFrame:
     """Turn links to missing targets into their display text; other text is untouched.
 
-    Only ids are joined: the page text travels at most once, beside its own short list of dead
+    A link is looked up in its page's own layer when ``existing`` names layers. Only ids are joined: the page text travels at most once, beside its own short list of dead
     targets. Plain text holds no link, so a second run changes nothing.
     """
     found = F.regexp_extract_all(F.col(text), F.lit(form.pattern), F.lit(form.target))
-    cited = explode_rows(pages, F.array_distinct(found), page_id, item="target").drop("_at")
-    missing = join_dimension(cited, existing.select("target"), ["target"], "left_anti")
+    on = [c for c in ("layer", "target") if c in existing.columns]
+    page = [page_id, *[c for c in on if c != "target"]]
+    cited = explode_rows(pages, F.array_distinct(found), *page, item="target").drop("_at")
+    missing = join_dimension(cited, existing.select(*on), on, "left_anti")
     # Grouped per page, so a list is never longer than the links of one page.
-    per_page = missing.groupBy(page_id).agg(F.collect_set("target").alias("_missing"))
-    shown = pages.join(per_page, page_id, "left")
+    per_page = missing.groupBy(*page).agg(F.collect_set("target").alias("_missing"))
+    shown = pages.join(per_page, page, "left")
 
     def plain(link: Column) -> Column:
         target = F.regexp_extract(link, form.pattern, form.target)

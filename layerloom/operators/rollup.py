@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,6 +10,11 @@ from layerloom.functions import text as tx
 from layerloom.functions.skew import join_dimension, rank_within
 
 
+def display_name(df: DataFrame, page_id: str) -> Column:
+    """What a link to a page shows: its title, else its heading, else its id."""
+    return F.coalesce(*[F.col(c) for c in ("title", "heading") if c in df.columns], F.col(page_id))
+
+
 def backlinks(claims: DataFrame, references: DataFrame) -> DataFrame:
     """Claims that point at each reference, with their statement; sort by claim id to print."""
     cited = claims.select(F.col("object_id").alias("ref_id"), "claim_id", "statement")
@@ -55,7 +60,7 @@ def chapter_index(chapters: DataFrame, claims: DataFrame, mysteries: DataFrame)
         .unionByName(
             mysteries.select(
                 "chapter", F.lit("mystery").alias("kind"), F.col("mystery_id").alias("entry_id"),
-                "title", F.lit(None).cast("string").alias("tag"),
+                display_name(mysteries, "mystery_id").alias("title"), F.lit(None).cast("string").alias("tag"),
             )
         )
         .unionByName(
@@ -153,15 +158,18 @@ def observation_histogram(observations: DataFrame) -> DataFrame:
 
 
 def top_quotes(observations: DataFrame, k: int = 2, entity: str = "subject") -> DataFrame:
-    """First k observations of each entity in chapter and paragraph order.
+    """First k observations of each entity and edition in chapter and paragraph order.
 
-    The rank filter runs before the shuffle too, so an entity sends at most k rows per task.
+    Editions are numbered apart, as they are never ordered against each other. The rank filter runs before the shuffle too, so an entity sends at most k rows per task.
     """
-    order = W.partitionBy(entity).orderBy("edition", "chapter_no", "para", "event_id")
+    order = W.partitionBy(entity, "edition").orderBy("chapter_no", "para", "event_id")
     return observations.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def gaps(records: DataFrame, first: int, last: int, key: str = "chapter_no") -> DataFrame:
-    """Numbers from first to last that no record carries."""
-    expected = records.sparkSession.range(first, last + 1).select(F.col("id").cast("int").alias(key))
-    return expected.join(records.select(F.col(key).cast("int").alias(key)).distinct(), key, "left_anti")
+def gaps(
+    records: DataFrame, first: int, last: int, key: str = "chapter_no", edition: str = "edition"
+) -> DataFrame:
+    """Numbers from first to last that no record of an edition carries, for every edition with records."""
+    seen = records.select(edition, F.col(key).cast("int").alias(key)).distinct()
+    numbers = F.explode(F.sequence(F.lit(first), F.lit(last))).alias(key)
+    return seen.select(edition).distinct().select(edition, numbers).join(seen, [edition, key], "left_anti")

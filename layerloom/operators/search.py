@@ -31,17 +31,32 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, length, term): one row per word of a document."""
-    listed = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("_words"))
-    return explode_rows(
-        listed, "_words", "doc_id", F.size("_words").alias("length"), item="term"
-    ).drop("_at")
+def _counted(found: Column) -> Column:
+    """(term, tf) of an array of words: they are sorted, and each run's length is a count."""
+
+    def runs(ordered: Column) -> Column:
+        size = F.size(ordered)
+        places = F.filter(
+            F.sequence(F.lit(1), size),
+            lambda i: (i == 1) | (F.element_at(ordered, i) != F.get(ordered, i - 2)),
+        )
+        return F.get(F.transform(F.array(places), lambda starts: F.transform(starts, lambda i, at: F.struct(
+            F.element_at(ordered, i).alias("term"),
+            (F.coalesce(F.get(starts, at + 1), size + 1) - i).cast("bigint").alias("tf"),
+        ))), F.lit(0))
+
+    none = F.array().cast("array<struct<term:string,tf:bigint>>")
+    return F.get(
+        F.transform(F.array(F.sort_array(found)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none)),
+        F.lit(0),
+    )
 
 
-def postings(token_rows: DataFrame) -> DataFrame:
-    """(doc_id, length, term, tf). A document is one row, so its words combine before the shuffle."""
-    return token_rows.groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
+def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, length, term, tf). A document is one row, so its words are counted without a shuffle."""
+    listed = worked_out(docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("_words")))
+    rows = explode_rows(listed, _counted(F.col("_words")), "doc_id", F.size("_words").alias("length"), item="_p")
+    return rows.select("doc_id", "length", "_p.term", "_p.tf")
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -59,7 +74,7 @@ def doc_sizes(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Inverted index with document frequency: (term, doc_id, length, tf, df)."""
-    index = postings(tokens(docs, doc_id, text))
+    index = postings(docs, doc_id, text)
     stats = term_stats(index)
     # The document frequency is the number of postings per word: words hold their own skew.
     rows = stats.withColumnRenamed("df", "rows")
@@ -105,10 +120,10 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, doc_id: str = "doc_id", te
     """Best k documents per query, straight from text; other words never reach a shuffle."""
     wanted = query_terms(queries)
     asked = join_dimension(
-        tokens(docs, doc_id, text), wanted.select("term").distinct(), ["term"], "left_semi",
+        postings(docs, doc_id, text), wanted.select("term").distinct(), ["term"], "left_semi",
         salt_by=["doc_id"],
     )
-    return _ranked(bm25_scores(postings(asked), doc_sizes(docs, text), wanted), k, "doc_id")
+    return _ranked(bm25_scores(asked, doc_sizes(docs, text), wanted), k, "doc_id")
 
 
 def bm25_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -124,7 +139,7 @@ def bm25_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
 
 def _nearest(vectors: DataFrame, rows: list, k: int) -> DataFrame:
-    """Best k of every batch for a bounded list of queries; the caller merges the batches."""
+    """Best k of every task for a bounded list of queries; the caller merges the tasks."""
 
     # Nested, so that the tasks need nothing but numpy and pandas.
     def unit(matrix: np.ndarray) -> np.ndarray:
@@ -134,18 +149,30 @@ def _nearest(vectors: DataFrame, rows: list, k: int) -> DataFrame:
     ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
     wanted = unit(np.array([r["vector"] for r in rows], dtype=np.float64))
 
+    def best(have: np.ndarray, cosine: np.ndarray) -> np.ndarray:
+        # All that reach the k-th score are ordered, so ties at the border go to the lower id.
+        if len(have) > k:
+            border = np.partition(cosine, len(have) - k)[len(have) - k]
+            kept = np.flatnonzero(cosine >= border)
+        else:
+            kept = np.arange(len(have))
+        return kept[np.lexsort((have[kept], -cosine[kept]))[:k]]
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [(np.empty(0, dtype=np.int64), np.empty(0))] * len(ids)
         for batch in batches:
             if batch.empty:
                 continue
             have = batch["vec_id"].to_numpy()
             cosine = np.round(unit(np.stack(batch["vector"]).astype(np.float64)) @ wanted.T, SCORE_DIGITS)
-            best = [np.lexsort((have, -cosine[:, q]))[:k] for q in range(len(ids))]
-            taken = np.concatenate(best)
-            column = np.repeat(np.arange(len(ids)), [len(b) for b in best])
-            yield pd.DataFrame(
-                {"query_id": ids[column], "vec_id": have[taken], "score": cosine[taken, column] + 0.0}
-            )
+            for q in range(len(ids)):
+                all_ids = np.concatenate([held[q][0], have])
+                scores = np.concatenate([held[q][1], cosine[:, q]])
+                top = best(all_ids, scores)
+                held[q] = (all_ids[top], scores[top])
+        for query_id, (found, scores) in zip(ids, held):
+            if len(found):
+                yield pd.DataFrame({"query_id": query_id, "vec_id": found, "score": scores + 0.0})
 
     return vectors.mapInPandas(score, "query_id bigint, vec_id bigint, score double")
 
@@ -155,7 +182,7 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, k: int, query_batch: int
 
     ``vectors`` is (vec_id bigint, vector array), ``queries`` (query_id bigint, vector array). The
     queries travel to the vectors in batches of bounded size; the vectors are never shuffled, only
-    k rows per Arrow batch and query are.
+    k rows per task and query are.
     """
     total = queries.count()
     passes = max(1, math.ceil(total / (query_batch / 2))) if total > query_batch else 1

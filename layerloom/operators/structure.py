@@ -101,6 +101,7 @@ def typed_mysteries(pages: DataFrame) -> DataFrame:
     return _typed_base(pages).select(
         _value("id").alias("mystery_id"),
         _value("title").alias("title"),
+        tx.heading_text(F.col("body")).alias("heading"),
         F.to_date(_value("created")).alias("created"),
         _value("mystery_status").alias("mystery_status"),
         _value("spoiler_after").alias("spoiler_after"),
@@ -179,8 +180,9 @@ def episode_entities(episodes: DataFrame) -> DataFrame:
 
 
 def body_elements(body: Column) -> Column:
-    """Element ids listed as bullets in a page body, in order."""
-    return F.regexp_extract_all(body, F.lit(r"(?m)^- \[\[(E_[^\]|#]+)"), F.lit(1))
+    """Element ids listed as bullets in a page body, linked or plain, in order."""
+    found = F.regexp_extract_all(body, F.lit(r"(?m)^- (?:\[\[)?(E_[^\]|#\r\n]+)"), F.lit(1))
+    return F.transform(found, lambda e: F.rtrim(e))
 
 
 def extract_quotes(pages: DataFrame, page_id: str = "page_id", body: str = "body") -> DataFrame:

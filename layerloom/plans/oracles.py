@@ -48,8 +48,10 @@ NL = "chr(10)"
 OBS = f"""obs AS (
   SELECT event_id, ts, user_id, event_type, value,
     CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-    CAST(dayofyear(ts) AS BIGINT) AS chapter_no,
-    'ch' || CAST(5000 + dayofyear(ts) AS VARCHAR) AS chapter,
+    CASE WHEN dayofyear(ts) > 300 THEN 1 ELSE 2 END::BIGINT AS edition,
+    CASE WHEN dayofyear(ts) > 300 THEN dayofyear(ts) - 300 ELSE dayofyear(ts) END::BIGINT AS chapter_no,
+    CASE WHEN dayofyear(ts) > 300 THEN dayofyear(ts) - 300 ELSE 5000 + dayofyear(ts) END::BIGINT AS number,
+    'ch' || lpad(CAST(number AS VARCHAR), 4, '0') AS chapter,
     'user_' || user_id AS subject,
     {case("event_type", EVENT_VERBS.items())} AS verb,
     'key_' || CAST(json_extract_string(props, '$.k') AS BIGINT) AS object,
@@ -73,7 +75,7 @@ MYSTERIES = """mysteries AS (
   SELECT conv_id, turn, 'ch' || CAST(5001 + conv_id % 30 AS VARCHAR) AS chapter, text AS question,
     'c' || conv_id || '_t' || turn AS title,
     'MY_ch' || CAST(5001 + conv_id % 30 AS VARCHAR) || '_c' || conv_id || '_t' || turn AS mystery_id
-  FROM conversations WHERE role = 'user')"""
+  FROM conversations)"""
 
 CHAPTERS = """chapters AS (
   SELECT DISTINCT 'ch' || CAST(5000 + p_size AS VARCHAR) AS chapter FROM part)"""
@@ -96,6 +98,10 @@ ANCHORS = f"""anchors AS (
   FROM (SELECT page_id, url, regexp_extract_all(html, {lit(ANCHOR)}, 1) AS targets,
       regexp_extract_all(html, {lit(ANCHOR)}, 2) AS displays FROM pages))"""
 
+# The links of both parts of a crawled page: its anchors, and its address in the front matter.
+CITED = f"""{ANCHORS}, cited AS (
+  SELECT page_id, pos, target FROM anchors UNION ALL SELECT page_id, 1, string_split(url, '#')[1] FROM pages)"""
+
 KNOWN = """known AS (
   SELECT DISTINCT target FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS target FROM benchmark)
   WHERE target <> '')"""
@@ -185,7 +191,7 @@ FROM claims""")
 put("typed_references", f"""SELECT 'ME_' || page_id AS ref_id, 't' AS title, 'popular_culture' AS subtype,
   'c_ME_' || page_id AS canonical_name, 'Contemporary Culture' AS "domain", 'llm_verified' AS review_status,
   CAST(len(regexp_extract_all(html, {lit(ANCHOR)}, 1)) AS BIGINT) AS declared_count FROM pages""")
-put("typed_mysteries", f"""WITH {MYSTERIES} SELECT mystery_id, '2026-10-21' AS created,
+put("typed_mysteries", f"""WITH {MYSTERIES} SELECT mystery_id, title AS heading, '2026-10-21' AS created,
   'candidate' AS mystery_status, chapter AS spoiler_after, chapter AS introduced, 'a_' || conv_id AS proposed_id,
   md5(question) AS question_md5, 'turn ' || turn AS payoff_hint, 2::BIGINT AS n_quotes,
   md5(replace(question, {NL}, ' ')) AS first_quote_md5, turn + 2 AS p_end FROM mysteries""")
@@ -213,7 +219,7 @@ put("extract_links", f"""WITH {ANCHORS}
 SELECT page_id, pos, display, target AS url, 'markdown' AS kind FROM anchors
 UNION ALL SELECT page_id, pos, display, '/' || target, 'html' FROM anchors""")
 put("parse_ids", f"""WITH {CLAIMS} SELECT event_id, claim_id, predicate, 'p' || user_id AS locator,
-  'key_' || k AS slug, 2::BIGINT AS edition, chapter_no, chapter FROM claims""")
+  'key_' || k AS slug, edition, chapter_no, chapter FROM claims""")
 put("spo_observations", f"WITH {OBS} SELECT event_id, chapter, subject, verb, object, para FROM obs")
 put("quote_locators", f"""WITH {OBS}, cited AS (
   SELECT event_id AS page_id, 1::BIGINT AS ordinal, '（' || event_type || '） by ' || subject AS text, event_id % 5 AS form, para
@@ -234,7 +240,7 @@ put("predicate_labels", f"WITH {CLAIMS} SELECT event_id, predicate, label FROM c
 # --- filters -------------------------------------------------------------------------------------
 
 put("spoiler_gate", f"""WITH {CLAIMS} SELECT event_id, claim_id, chapter AS spoiler_after FROM claims
-WHERE chapter_no <= 15""")
+WHERE edition = 2 AND chapter_no <= 15""")
 put("evidence_filter", f"""WITH {CLAIMS} SELECT event_id, claim_id, evidence_strength,
   CAST(list_position([{", ".join(lit(x) for x in EVIDENCE_LEVELS)}], evidence_strength) AS BIGINT) AS evidence_rank
 FROM claims WHERE value >= 20""")
@@ -245,9 +251,9 @@ FROM customer LEFT JOIN events ON user_id = c_custkey GROUP BY c_custkey HAVING
 
 # --- joins ---------------------------------------------------------------------------------------
 
-put("resolve_links", f"""WITH {ANCHORS}, {KNOWN} SELECT page_id, pos, target,
-  CASE WHEN target IN (SELECT target FROM known) THEN 'ok' ELSE 'dead' END AS status FROM anchors""")
-put("dead_links", f"""WITH {ANCHORS}, {KNOWN} SELECT page_id, pos, target FROM anchors
+put("resolve_links", f"""WITH {CITED}, {KNOWN} SELECT page_id, pos, target,
+  CASE WHEN target IN (SELECT target FROM known) THEN 'ok' ELSE 'dead' END AS status FROM cited""")
+put("dead_links", f"""WITH {CITED}, {KNOWN} SELECT page_id, pos, target FROM cited
 WHERE target NOT IN (SELECT target FROM known)""")
 # Rebuilt from the text between anchors and the anchors themselves.
 put("unlink_missing", f"""WITH {ANCHORS}, {KNOWN}, shown AS (
@@ -258,8 +264,19 @@ gaps AS (
   FROM (SELECT page_id, string_split_regex(html, {lit(ANCHOR)}) AS parts FROM pages))
 SELECT page_id, md5(string_agg(coalesce(link, '') || gap, '' ORDER BY pos)) AS body_md5
 FROM gaps LEFT JOIN shown USING (page_id, pos) GROUP BY page_id""")
+put("unlink_missing_in_layer", f"""WITH {ANCHORS}, layers AS (
+  SELECT page_id, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS layer FROM pages), known AS (
+  SELECT DISTINCT layer, unnest(string_split_regex(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+')) AS target
+  FROM pages JOIN layers USING (page_id)), shown AS (
+  SELECT a.page_id, pos, CASE WHEN k.target IS NULL THEN display ELSE '[[' || a.target || '|' || display || ']]' END AS link
+  FROM anchors a JOIN layers l USING (page_id) LEFT JOIN known k ON k.layer = l.layer AND k.target = a.target),
+gaps AS (
+  SELECT page_id, unnest(range(0, len(parts))) AS pos, unnest(parts) AS gap
+  FROM (SELECT page_id, string_split_regex(html, {lit(ANCHOR)}) AS parts FROM pages))
+SELECT page_id, md5(string_agg(coalesce(link, '') || gap, '' ORDER BY pos)) AS body_md5
+FROM gaps LEFT JOIN shown USING (page_id, pos) GROUP BY page_id""")
 put("unlink_cites", f"""WITH {OBS}, {ARCS} SELECT event_id AS page_id, subject || ' ' ||
-  CASE WHEN EXISTS (SELECT 1 FROM arcs WHERE 5000 + chapter_no BETWEEN lo AND hi)
+  CASE WHEN EXISTS (SELECT 1 FROM arcs WHERE number BETWEEN lo AND hi)
     THEN '[`' || chapter || '¶' || para || '`](https://pages.example.org/site/L1/episodes/' || chapter || ')'
     ELSE '`' || chapter || '¶' || para || '`' END || ' and [`' || chapter || '`](./x)' AS body FROM obs""")
 put("backlinks", f"WITH {CLAIMS} SELECT object_id AS ref_id, claim_id, statement FROM claims")
@@ -270,7 +287,7 @@ put("chapter_index", f"""{GRAPH}, entries AS (
 SELECT * FROM entries WHERE chapter IN (SELECT chapter FROM chapters)
 UNION ALL SELECT chapter, 'none', '', '', '' FROM chapters WHERE chapter NOT IN (SELECT chapter FROM entries)""")
 put("arc_of_chapter", f"""WITH {OBS}, {ARCS} SELECT event_id, chapter, coalesce(arc_id, '') AS arc_id
-FROM obs LEFT JOIN arcs ON 5000 + chapter_no BETWEEN lo AND hi""")
+FROM obs LEFT JOIN arcs ON number BETWEEN lo AND hi""")
 put("layer_lineage", f"""WITH {DOCS} SELECT page_id,
   CASE layer WHEN 'fr' THEN lower(path) WHEN 'es' THEN 'gone/' || path ELSE path END AS normalized_from,
   CASE layer WHEN 'fr' THEN 'case' WHEN 'es' THEN 'none' ELSE 'exact' END AS match,
@@ -314,8 +331,8 @@ put("layer_counts", """SELECT coalesce(lang, '') AS layer, coalesce(source, '')
 FROM documents GROUP BY ROLLUP (lang, source)""")
 put("section_index", f"""WITH {DOCS} SELECT layer, section, page_id,
   count(*) OVER (PARTITION BY layer, section) AS pages FROM docs""")
-put("entity_stats", f"""WITH {OBS} SELECT subject AS entity, 2::BIGINT AS edition, min(chapter_no) AS first_chapter_no,
-  count(*) AS observations, count(DISTINCT chapter_no) AS chapters FROM obs GROUP BY subject""")
+put("entity_stats", f"""WITH {OBS} SELECT subject AS entity, edition, min(chapter_no) AS first_chapter_no,
+  count(*) AS observations, count(DISTINCT chapter_no) AS chapters FROM obs GROUP BY subject, edition""")
 put("claim_facets", f"""WITH {CLAIMS} SELECT coalesce(predicate, '') AS predicate,
   coalesce(evidence_strength, '') AS evidence_strength, count(*) AS claims
 FROM claims GROUP BY CUBE (predicate, evidence_strength)""")
@@ -347,19 +364,20 @@ put("index_drift", f"""WITH {DOCS} SELECT page_id, CAST(length(text) % 20 AS BIG
   CAST(len(string_split(text, {NL})) AS BIGINT) AS actual FROM docs
 WHERE length(text) % 20 <> len(string_split(text, {NL}))""")
 put("select_layer", f"WITH {DOCS} SELECT page_id, layer, section FROM docs WHERE layer = 'en' AND section = 'src1'")
-put("resolve_links_in_layer", f"""WITH {ANCHORS}, layers AS (
+put("resolve_links_in_layer", f"""WITH {CITED}, layers AS (
   SELECT page_id, regexp_extract(url, 'example\\.([a-z]+)/', 1) AS layer FROM pages), known AS (
   SELECT DISTINCT layer, unnest(string_split_regex(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+')) AS target
   FROM pages JOIN layers USING (page_id))
 SELECT page_id, layer, pos, target, CASE WHEN known.target IS NULL THEN 'dead' ELSE 'ok' END AS status
-FROM anchors JOIN layers USING (page_id) LEFT JOIN known USING (layer, target)""")
-put("casefold_collisions", f"""WITH {ANCHORS} SELECT lower(target) AS folded, count(DISTINCT target) AS spellings,
+FROM cited JOIN layers USING (page_id) LEFT JOIN known USING (layer, target)""")
+put("casefold_collisions", f"""WITH {CITED} SELECT lower(target) AS folded, count(DISTINCT target) AS spellings,
   min(target) AS first_spelling, max(target) AS last_spelling
-FROM anchors GROUP BY lower(target) HAVING count(DISTINCT target) > 1""")
-put("chapter_gaps", f"""WITH {OBS} SELECT range AS chapter_no FROM range(1, 367)
-WHERE range NOT IN (SELECT chapter_no FROM obs)""")
+FROM cited GROUP BY lower(target) HAVING count(DISTINCT target) > 1""")
+put("chapter_gaps", f"""WITH {OBS} SELECT edition, range AS chapter_no
+FROM (SELECT DISTINCT edition FROM obs), range(1, 367)
+WHERE (edition, range) NOT IN (SELECT (edition, chapter_no) FROM obs)""")
 
-SAMPLE = "sample AS (SELECT * FROM labels ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 400)"
+SAMPLE = "sample AS (SELECT * FROM labels ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id LIMIT 50)"
 
 put("audit_sample", f"""WITH {SAMPLE} SELECT doc_id, CAST(quality AS BIGINT) AS quality,
   CAST(toxic AS BIGINT) AS toxic FROM sample""")
@@ -373,8 +391,8 @@ UNION ALL SELECT 'subject', subject, count(*) FROM obs GROUP BY subject""")
 
 # --- windows and order ---------------------------------------------------------------------------
 
-put("top_quotes", f"""WITH {OBS} SELECT subject, chapter, para, event_id, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY subject ORDER BY chapter_no, para, event_id) AS rank FROM obs)
+put("top_quotes", f"""WITH {OBS} SELECT subject, edition, chapter, para, event_id, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY subject, edition ORDER BY chapter_no, para, event_id) AS rank FROM obs)
 WHERE rank <= 2""")
 
 TODO = """todo AS (
@@ -390,8 +408,8 @@ SELECT page_id, minute || '_v' || k AS run, k AS version FROM (
   SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY minute DESC, k DESC) AS rn FROM runs) WHERE rn = 1""")
 put("chapter_listing", f"""WITH {CLAIMS} SELECT chapter, claim_id,
   row_number() OVER (PARTITION BY chapter ORDER BY claim_id) AS position FROM claims""")
-put("chapter_listing_nocase", f"""WITH {ANCHORS} SELECT page_id, target,
-  row_number() OVER (PARTITION BY page_id ORDER BY lower(target), target) AS position FROM anchors""")
+put("chapter_listing_nocase", f"""WITH {CITED} SELECT page_id, target,
+  row_number() OVER (PARTITION BY page_id ORDER BY lower(target), target) AS position FROM cited""")
 put("top_references", f"""WITH {CLAIMS} SELECT object_id AS ref_id, count(*) AS backlinks FROM claims
 GROUP BY object_id ORDER BY backlinks DESC, ref_id LIMIT 20""")
 put("log_tail", f"""WITH {DOCS}, split AS (
@@ -406,8 +424,8 @@ UNION ALL SELECT 'l2', page_id, md5(body) FROM done""")
 put("layer_coverage", """SELECT CASE WHEN doc_id IS NULL THEN 'only_l2' WHEN vec_id IS NULL THEN 'only_l1'
   ELSE 'both' END AS coverage, count(*) AS pages
 FROM labels FULL JOIN embeddings ON doc_id = vec_id GROUP BY 1""")
-put("cited_minus_existing", f"""WITH {ANCHORS}, {KNOWN}
-SELECT target FROM anchors EXCEPT SELECT target FROM known""")
+put("cited_minus_existing", f"""WITH {CITED}, {KNOWN}
+SELECT target FROM cited EXCEPT SELECT target FROM known""")
 
 LIST_DRIFT = f"""{OBS}, list_drift AS (
   SELECT 'O_' || event_id || '_summary' AS episode_id,
@@ -461,52 +479,55 @@ NAV_LINES = " UNION ALL ".join(
         lines(3, "counts", "''", "'description: 第' || chapter[3:] || '話のアナロジー ' || claims || ' 件・伏線 ' "
               "|| mysteries || ' 件・外部参照 ' || refs || ' 件'"),
         lines(4, "counts", "''", "'---'"),
-        *[lines(r, "counts", "''", "''") for r in (5, 7, 11, 13, 21, 23, 31)],
+        *[lines(r, "counts", "''", "''") for r in (5, 7, 11, 21, 23, 31, 33, 41)],
         lines(6, "counts", "''", "'# Chapter ' || chapter"),
-        lines(10, "counts", "''", f"{lit(CLAIM_HEADING)} || claims || {lit(COUNT_END)}"),
-        lines(12, "claims", "claim_id", "'- [[' || claim_id || '|' || title || ']] `[' || label || ']`'"),
-        lines(20, "counts", "''", f"{lit(MYSTERY_HEADING)} || mysteries || {lit(COUNT_END)}"),
-        lines(22, "mysteries", "mystery_id", "'- [[' || mystery_id || '|' || title || ']]'"),
-        lines(30, "counts", "''", f"{lit(REFERENCE_HEADING)} || refs || {lit(COUNT_END)}"),
-        lines(32, "(SELECT DISTINCT chapter, object_id FROM claims)", "object_id", "'- [[' || object_id || ']]'"),
+        lines(8, "(SELECT * FROM counts WHERE chapter < 'ch5030')", "''", "'## Part of ' || chapter"),
+        lines(9, "(SELECT * FROM counts WHERE chapter < 'ch5030')", "''", "''"),
+        lines(10, "counts", "''", "'up from ' || chapter"),
+        lines(20, "counts", "''", f"{lit(CLAIM_HEADING)} || claims || {lit(COUNT_END)}"),
+        lines(22, "claims", "claim_id", "'- [[' || claim_id || '|' || title || ']] `[' || label || ']`'"),
+        lines(30, "counts", "''", f"{lit(MYSTERY_HEADING)} || mysteries || {lit(COUNT_END)}"),
+        lines(32, "mysteries", "mystery_id", "'- [[' || mystery_id || '|' || title || ']]'"),
+        lines(40, "counts", "''", f"{lit(REFERENCE_HEADING)} || refs || {lit(COUNT_END)}"),
+        lines(42, "(SELECT DISTINCT chapter, object_id FROM claims)", "object_id", "'- [[' || object_id || ']]'"),
     ]
 )
 
 
-def joined(page: str) -> str:
-    return f"""SELECT page AS {page}, (n - 1) // 10000 AS part, md5(string_agg(line, {NL} ORDER BY n)) AS text_md5 FROM (
-  SELECT *, row_number() OVER (PARTITION BY page ORDER BY rank, key, line) AS n FROM lines) GROUP BY page, (n - 1) // 10000"""
+def numbered(page: str) -> str:
+    return f"SELECT page AS {page}, row_number() OVER (PARTITION BY page ORDER BY rank, key, line) AS n, line FROM lines"
 
 
 put("render_chapter", f"""{GRAPH}, {COUNTS}, lines AS (
-  SELECT * FROM ({NAV_LINES}) WHERE page IN (SELECT chapter FROM chapters)) {joined("chapter")}""")
+  SELECT * FROM ({NAV_LINES}) WHERE page IN (SELECT chapter FROM chapters)) {numbered("chapter")}""")
 
 REF_LINES = " UNION ALL ".join(
     [
         lines(0, "refs", "''", "'# ' || object", "object_id"),
-        lines(1, "refs", "''", "''", "object_id"),
-        lines(2, "refs", "''", f"{lit(BACKLINK_HEADING)} || n || {lit(BACKLINK_HEADING_END)}", "object_id"),
-        lines(3, "refs", "''", "''", "object_id"),
-        lines(4, "claims", "claim_id", f"'- [[' || claim_id || ']]' || {lit(BACKLINK_DASH)} || statement", "object_id"),
+        *[lines(r, "refs", "''", "''", "object_id") for r in (1, 3, 5)],
+        lines(2, "refs", "''", "'What cites this.'", "object_id"),
+        lines(4, "refs", "''", f"{lit(BACKLINK_HEADING)} || n || {lit(BACKLINK_HEADING_END)}", "object_id"),
+        lines(6, "claims", "claim_id", f"'- [[' || claim_id || ']]' || {lit(BACKLINK_DASH)} || statement", "object_id"),
     ]
 )
 put("render_reference", f"""WITH {CLAIMS}, refs AS (
   SELECT object_id, object, count(*) AS n FROM claims GROUP BY object_id, object), lines AS ({REF_LINES})
-{joined("ref_id")}""")
+{numbered("ref_id")}""")
 
 # --- quality -------------------------------------------------------------------------------------
 
 PLAIN = f"""{DOCS}, plain AS (SELECT *, {unmarked(marked("text"))} AS new_text FROM docs)"""
 
-put("changed_pages", f"WITH {PLAIN} SELECT path, md5(new_text) AS text_md5 FROM plain WHERE new_text <> text")
-put("change_log", f"""WITH {PLAIN} SELECT path, 'T1' AS rule,
-  CASE layer WHEN 'es' THEN 'added' WHEN 'de' THEN 'removed' ELSE 'changed' END AS change,
-  md5(CASE layer WHEN 'es' THEN '' ELSE text END) AS before_md5,
-  md5(CASE layer WHEN 'de' THEN '' ELSE new_text END) AS after_md5
-FROM plain WHERE layer IN ('es', 'de') OR new_text <> text""")
-put("lint_findings", f"""WITH {CLAIMS}, {ANCHORS}, {KNOWN}, {DOCS}, {DRIFT}, list_drift AS (
+put("changed_pages", f"""WITH {PLAIN} SELECT path, md5(new_text) AS text_md5 FROM plain
+WHERE layer = 'fr' OR new_text <> text""")
+put("change_log", f"""WITH {PLAIN}
+SELECT 'old/' || path AS path, 'T1' AS rule, 'removed' AS change, md5(text) AS before_md5, md5('') AS after_md5
+  FROM plain WHERE layer = 'es'
+UNION ALL SELECT path, 'T1', 'added', md5(''), md5(new_text) FROM plain WHERE layer = 'es'
+UNION ALL SELECT path, 'T1', 'changed', md5(text), md5(new_text) FROM plain WHERE layer <> 'es' AND new_text <> text""")
+put("lint_findings", f"""WITH {CLAIMS}, {CITED}, {KNOWN}, {DOCS}, {DRIFT}, list_drift AS (
   SELECT 'O_' || event_id || '_summary' AS episode_id, event_type FROM obs)
-SELECT 'LNK003' AS rule, 'error' AS severity, CAST(page_id AS VARCHAR) AS path, target AS detail FROM anchors
+SELECT 'LNK003' AS rule, 'error' AS severity, CAST(page_id AS VARCHAR) AS path, target AS detail FROM cited
   WHERE target NOT IN (SELECT target FROM known)
 UNION ALL SELECT 'ID001', 'error', string_split(url, '/')[-1], CAST(page_id AS VARCHAR) FROM pages
   WHERE string_split(url, '/')[-1] <> CAST(page_id AS VARCHAR)
@@ -567,7 +588,7 @@ def ranked(source: str, item: str, k: int) -> str:
 put("bm25_topk", f"""WITH {bm25("SELECT item_id AS query_id, text AS query FROM benchmark")}
 SELECT query_id, doc_id, score, rank FROM {ranked("scores", "doc_id", 10)}""")
 put("vector_topk", f"WITH {CENTROIDS} SELECT query_id, vec_id, score, rank FROM {ranked('near', 'vec_id', 10)}")
-put("hybrid_topk", f"""WITH {bm25("SELECT item_id AS query_id, text AS query FROM benchmark WHERE item_id IN (SELECT label FROM embeddings)")},
+put("hybrid_topk", f"""WITH {bm25("SELECT item_id AS query_id, text AS query FROM benchmark")},
 {CENTROIDS}, fused AS (
   SELECT query_id, doc_id, round(sum(1.0 / (60 + rank)), 6) AS score FROM (
     SELECT query_id, doc_id, rank FROM {ranked("scores", "doc_id", 50)}

@@ -18,6 +18,9 @@ from layerloom.sources import readers
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Below the number of labels at every scale factor, so that the sample is one.
+SAMPLE_ROWS = 50
+
 SITE = "https://pages.example.org/site"
 
 
@@ -126,13 +129,13 @@ def typed_mysteries(spark, d):
     )
     one_line = F.regexp_replace("question", r"\n", " ")
     body = si.text(
-        "\n# ", F.col("title"), "\n\n", F.col("question"), "\n\n**回収示唆**: turn ", F.col("turn"),
+        "\n# ", F.col("heading"), "\n\n", F.col("question"), "\n\n**回収示唆**: turn ", F.col("turn"),
         "\n\n> ", one_line, "（p", F.col("turn"), "-p", F.col("turn") + 2, "）\n> second\n",
     )
     typed = st.typed(made.withColumns({"front_matter": front, "body": body}), "mysteries")
     first = F.col("quotes")[0]
     return typed.select(
-        "mystery_id", F.col("created").cast("string").alias("created"), "mystery_status", "spoiler_after",
+        "mystery_id", "heading", F.col("created").cast("string").alias("created"), "mystery_status", "spoiler_after",
         "introduced", F.col("proposed_by.id").alias("proposed_id"), F.md5("question").alias("question_md5"),
         "payoff_hint", F.size("quotes").cast("bigint").alias("n_quotes"),
         F.md5(first["text"]).alias("first_quote_md5"),
@@ -293,13 +296,13 @@ def thin_units(spark, d):
 
 @query
 def resolve_links(spark, d):
-    found = links.extract_wikilinks(si.web_pages(spark, d)).filter("part = 'body'")
+    found = links.extract_wikilinks(si.web_pages(spark, d))
     return links.resolve_links(found, si.known_words(spark, d)).select("page_id", "pos", "target", "status")
 
 
 @query
 def dead_links(spark, d):
-    found = links.extract_wikilinks(si.web_pages(spark, d)).filter("part = 'body'")
+    found = links.extract_wikilinks(si.web_pages(spark, d))
     return links.dead_links(found, si.known_words(spark, d)).select("page_id", "pos", "target")
 
 
@@ -309,6 +312,13 @@ def unlink_missing(spark, d):
     return done.select("page_id", F.md5("body").alias("body_md5"))
 
 
+@query
+def unlink_missing_in_layer(spark, d):
+    pages = si.web_pages(spark, d)
+    done = links.unlink_missing(pages, links.existing_ids(si.words_shown(pages)), links.WIKI)
+    return done.select("page_id", F.md5("body").alias("body_md5"))
+
+
 @query
 def unlink_cites(spark, d):
     cite = si.text(
@@ -503,35 +513,33 @@ def select_layer(spark, d):
 @query
 def resolve_links_in_layer(spark, d):
     pages = si.web_pages(spark, d)
-    words = F.explode(F.split(F.regexp_replace("html", r"<[^>]*>", " "), r"\s+"))
-    existing = pages.select("layer", words.alias("page_id")).filter("page_id <> ''")
-    found = links.extract_wikilinks(pages, keep=["layer"]).filter("part = 'body'")
-    return links.resolve_links(found, links.existing_ids(existing)).select(
+    found = links.extract_wikilinks(pages, keep=["layer"])
+    return links.resolve_links(found, links.existing_ids(si.words_shown(pages))).select(
         "page_id", "layer", "pos", "target", "status"
     )
 
 
 @query
 def casefold_collisions(spark, d):
-    targets = links.extract_wikilinks(si.web_pages(spark, d)).filter("part = 'body'")
+    targets = links.extract_wikilinks(si.web_pages(spark, d))
     return quality.casefold_collisions(targets, "target")
 
 
 @query
 def chapter_gaps(spark, d):
-    return rollup.gaps(si.observations(spark, d), 1, 366).select(big("chapter_no"))
+    return rollup.gaps(si.observations(spark, d), 1, 366).select(big("edition"), big("chapter_no"))
 
 
 @query
 def audit_sample(spark, d):
-    return quality.audit_sample(si.table(spark, d, "labels"), 400, "doc_id").select(
+    return quality.audit_sample(si.table(spark, d, "labels"), SAMPLE_ROWS, "doc_id").select(
         "doc_id", big("quality"), big("toxic")
     )
 
 
 @query
 def audit_agreement(spark, d):
-    sample = quality.audit_sample(si.table(spark, d, "labels"), 400, "doc_id")
+    sample = quality.audit_sample(si.table(spark, d, "labels"), SAMPLE_ROWS, "doc_id")
     return quality.agreement(sample.withColumn("expected", 1 - F.col("toxic")), "quality", "expected")
 
 
@@ -551,7 +559,7 @@ def observation_histogram(spark, d):
 @query
 def top_quotes(spark, d):
     return rollup.top_quotes(si.observations(spark, d), 2).select(
-        "subject", "chapter", "para", "event_id", big("rank")
+        "subject", big("edition"), "chapter", "para", "event_id", big("rank")
     )
 
 
@@ -581,7 +589,7 @@ def chapter_listing(spark, d):
 
 @query
 def chapter_listing_nocase(spark, d):
-    targets = links.extract_wikilinks(si.web_pages(spark, d)).filter("part = 'body'")
+    targets = links.extract_wikilinks(si.web_pages(spark, d))
     return rollup.listing(targets.select("page_id", "target"), "target", ["page_id"], ignore_case=True)
 
 
@@ -617,7 +625,7 @@ def layer_coverage(spark, d):
 
 @query
 def cited_minus_existing(spark, d):
-    found = links.extract_wikilinks(si.web_pages(spark, d)).filter("part = 'body'")
+    found = links.extract_wikilinks(si.web_pages(spark, d))
     return links.cited_minus_existing(found, si.known_words(spark, d))
 
 
@@ -711,14 +719,14 @@ def unwiki_fields(spark, d):
 @query
 def render_chapter(spark, d):
     made = render.render_nav(si.chapters(spark, d), si.claims(spark, d), si.mysteries(spark, d))
-    return made.select("chapter", "part", F.md5("text").alias("text_md5"))
+    return made.select("chapter", "n", "line")
 
 
 @query
 def render_reference(spark, d):
     refs = si.references(spark, d)
-    made = render.render_reference(refs, rollup.backlinks(si.claims(spark, d), refs))
-    return made.select("ref_id", "part", F.md5("text").alias("text_md5"))
+    made = render.render_reference(refs, rollup.backlinks(si.claims(spark, d), refs), intro="What cites this.")
+    return made.select("ref_id", "n", "line")
 
 
 # --- quality --------------------------------------------------------------------------------
@@ -726,17 +734,21 @@ def render_reference(spark, d):
 
 @query
 def changed_pages(spark, d):
-    old = si.document_pages(spark, d).select("path", "text")
-    new = ledger.substitute(old, si.word_ledger(spark), "path", "text").select("path", "text")
+    pages = si.document_pages(spark, d)
+    # French pages are new: their old version lay elsewhere.
+    moved = F.when(F.col("layer") == "fr", si.text("old/", F.col("path"))).otherwise(F.col("path"))
+    old = pages.select(moved.alias("path"), "text")
+    new = ledger.substitute(pages, si.word_ledger(spark), "path", "text").select("path", "text")
     return lineage.changed_pages(old, new).select("path", F.md5("text").alias("text_md5"))
 
 
 @query
 def change_log(spark, d):
-    old = si.document_pages(spark, d).filter("layer <> 'es'").select("path", "text")
-    new = ledger.substitute(
-        si.document_pages(spark, d).filter("layer <> 'de'"), si.word_ledger(spark), "path", "text"
-    ).select("path", "text")
+    pages = si.document_pages(spark, d)
+    # Spanish pages are renamed: each is removed at its old path and added at its new one.
+    moved = F.when(F.col("layer") == "es", si.text("old/", F.col("path"))).otherwise(F.col("path"))
+    old = pages.select(moved.alias("path"), "text")
+    new = ledger.substitute(pages, si.word_ledger(spark), "path", "text").select("path", "text")
     return lineage.change_log(old, new, "T1").select(
         "path", "rule", "change", F.md5(F.coalesce("before", F.lit(""))).alias("before_md5"),
         F.md5(F.coalesce("after", F.lit(""))).alias("after_md5"),
@@ -746,7 +758,7 @@ def change_log(spark, d):
 @query
 def lint_findings(spark, d):
     web = si.web_pages(spark, d)
-    body_links = links.extract_wikilinks(web).filter("part = 'body'")
+    body_links = links.extract_wikilinks(web)
     named = web.select(
         F.element_at(F.split("url", "/"), -1).alias("page_id"), F.col("page_id").cast("string").alias("fm_id")
     )
@@ -814,8 +826,7 @@ def vector_topk(spark, d):
 @query
 def hybrid_topk(spark, d):
     asked = si.centroids(spark, d)
-    words = si.text_queries(spark, d).join(asked.select("query_id"), "query_id", "left_semi")
-    by_word = search.bm25(si.table(spark, d, "documents"), words, 50)
+    by_word = search.bm25(si.table(spark, d, "documents"), si.text_queries(spark, d), 50)
     by_vector = search.vector_topk(si.vectors(spark, d), asked, 50).withColumnRenamed("vec_id", "doc_id")
     fused = search.reciprocal_rank_fusion([by_word, by_vector], 10)
     return fused.select("query_id", "doc_id", "score", big("rank"))

@@ -42,23 +42,13 @@ PAGE_SECTIONS = ["The", "the", "and", "of", "la", "que", "de", "die", "der", "en
 ANCHOR = r'<a href="/([^"]*)">([^<]*)</a>'
 
 
-# Tables whose rows carry a whole text or vector, with a column that spreads them evenly.
-SPREAD_BY = {"documents": "doc_id", "pages": "page_id", "embeddings": "vec_id"}
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a scan with fewer splits than cores more tasks, at most eightfold.
-
-    A large scan already has more splits than cores and is left as it is, without a shuffle.
-    """
-    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
-    return df if splits >= cores else df.repartition(min(cores, 8 * splits), key)
+# Days after this one stand for the first edition, so that both editions occur.
+FIRST_EDITION_AFTER = 300
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder."""
-    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(found, SPREAD_BY[name]) if name in SPREAD_BY else found
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text(*parts: Column | str) -> Column:
@@ -77,12 +67,14 @@ def arcs(spark: SparkSession) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     verbs = F.create_map(*[F.lit(x) for pair in EVENT_VERBS.items() for x in pair])
     day = F.dayofyear("ts")
+    edition = F.when(day > FIRST_EDITION_AFTER, 1).otherwise(2)
+    number = F.when(edition == 1, day - FIRST_EDITION_AFTER).otherwise(day)
     made = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.lit(2).alias("edition"),
-        day.alias("chapter_no"),
-        F.concat(F.lit("ch"), F.format_string("%04d", 5000 + day)).alias("chapter"),
+        edition.alias("edition"),
+        number.alias("chapter_no"),
+        F.concat(F.lit("ch"), F.format_string("%04d", F.when(edition == 2, 5000 + number).otherwise(number))).alias("chapter"),
         text("user_", F.col("user_id")).alias("subject"),
         verbs[F.col("event_type")].alias("verb"),
         (F.col("event_id") % 500).alias("para"),
@@ -131,7 +123,7 @@ def locator_text(para: Column, form: Column) -> Column:
 def claim_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims written out as pages (``front_matter``, ``body``)."""
     c = F.col
-    made = spread(claims(spark, sf_dir), "event_id")
+    made = claims(spark, sf_dir)
     front = text(
         'schema_version: "5.1"\nid: ', c("claim_id"), "\ntitle: ", c("title"),
         '\n\ntype: analytical_claim\ncreated: "', c("created"), '"\nsubject: "[[', c("observation_id"),
@@ -149,12 +141,14 @@ def claim_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mysteries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as a mystery; those of odd turns have a heading and no title."""
     number = (5001 + F.col("conv_id") % 30).cast("int")
     chapter = F.concat(F.lit("ch"), F.format_string("%04d", number))
-    asked = table(spark, sf_dir, "conversations").filter("role = 'user'").withColumn("chapter", chapter)
+    asked = table(spark, sf_dir, "conversations").withColumn("chapter", chapter)
     name = text("c", F.col("conv_id"), "_t", F.col("turn"))
     return asked.select(
-        "conv_id", "turn", "chapter", F.col("text").alias("question"), name.alias("title"),
+        "conv_id", "turn", "chapter", F.col("text").alias("question"), name.alias("heading"),
+        F.when(F.col("turn") % 2 == 0, name).alias("title"),
         text("MY_", F.col("chapter"), "_", name).alias("mystery_id"), F.col("chapter").alias("spoiler_after"),
     )
 
@@ -164,7 +158,13 @@ def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = (5000 + F.col("p_size")).cast("int")
     code = F.concat(F.lit("ch"), F.format_string("%04d", number))
     listed = table(spark, sf_dir, "part").select(code.alias("chapter")).distinct()
-    return listed.withColumn("title", text("Chapter ", F.col("chapter")))
+    return listed.withColumns(
+        {
+            "title": text("Chapter ", F.col("chapter")),
+            "heading": F.when(F.col("chapter") < "ch5030", text("Part of ", F.col("chapter"))),
+            "breadcrumb": text("up from ", F.col("chapter")),
+        }
+    )
 
 
 def references(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +234,12 @@ def known_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(listed.alias("target")).filter("target <> ''").distinct()
 
 
+def words_shown(pages: DataFrame) -> DataFrame:
+    """Ids per layer: every word that a crawled page of the layer shows."""
+    words = F.explode(F.split(F.regexp_replace("html", r"<[^>]*>", " "), r"\s+"))
+    return pages.select("layer", words.alias("page_id")).filter("page_id <> ''")
+
+
 def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that print a backlink count; capitalised targets were unlinked earlier."""
     targets = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1))
@@ -251,7 +257,7 @@ def reference_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def episode_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One episode page per observation; errors show another order and signups miss an element."""
     c = F.col
-    made = spread(observations(spark, sf_dir), "event_id")
+    made = observations(spark, sf_dir)
     listed = [
         text("E_char_", c("subject")), text("E_term_key_", c("k")), text("E_item_user_", c("k")),
         text("E_item_key_", c("para")),
@@ -266,6 +272,7 @@ def episode_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = (
         F.when(c("event_type") == "error", text(bullets[1], bullets[0], bullets[2], bullets[3]))
         .when(c("event_type") == "signup", text(bullets[0], bullets[1], bullets[2]))
+        .when(c("event_type") == "view", text(bullets[0], "- ", listed[1], "\n", bullets[2], "- ", listed[3], " \n"))
         .otherwise(text(*bullets))
     )
     body = text("# ", c("chapter"), "\n\n## このエピソードの要素\n\n", shown)

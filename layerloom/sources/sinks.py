@@ -7,14 +7,44 @@ from pyspark.sql import functions as F
 
 from layerloom.operators.lineage import changed_pages
 
+# Most lines of one text part of a rendered page, and the most files of one layer and section.
+PART_LINES = 10_000
+FILES_PER_SECTION = 32
+
 
 def write_pages(pages: DataFrame, path: str) -> None:
     """Write pages as Parquet by layer and section, so later reads prune to what they need."""
-    pages.write.mode("errorifexists").partitionBy("layer", "section").parquet(path)
+    placed = pages.repartition("layer", "section", F.pmod(F.xxhash64("path"), F.lit(FILES_PER_SECTION)))
+    placed.write.mode("errorifexists").partitionBy("layer", "section").parquet(path)
+
+
+def current_pages(base: DataFrame, versions: list[DataFrame], key: str = "path") -> DataFrame:
+    """The pages as they are now: the newest version of every path, ``versions`` oldest first.
+
+    Only paths that a later version holds are looked up, so each layer of changes is one anti join.
+    """
+    now = base
+    for version in versions:
+        now = now.join(version.select(key), key, "left_anti").unionByName(version, allowMissingColumns=True)
+    return now
+
+
+def page_text(lines: DataFrame, page: str, part_lines: int = PART_LINES) -> DataFrame:
+    """Text of rendered pages (``n``, ``line``) as (page, part, text) for writing out.
+
+    A page may hold any number of lines, so a text part holds ``part_lines`` lines at most; the
+    parts of a page in order, joined by line breaks, are the page.
+    """
+    part = F.floor((F.col("n") - 1) / part_lines).cast("bigint")
+    return (
+        lines.groupBy(page, part.alias("part"))
+        .agg(F.sort_array(F.collect_list(F.struct("n", "line"))).alias("_lines"))
+        .select(page, "part", F.array_join(F.transform("_lines", lambda n: n["line"]), "\n").alias("text"))
+    )
 
 
 def write_changed(old: DataFrame, new: DataFrame, path: str, key: str = "path", text: str = "text") -> None:
-    """Write only the pages whose text differs, as a new version; nothing is edited in place."""
+    """Write only the new pages and those whose text differs, as a new version; nothing is edited in place."""
     write_pages(changed_pages(old, new, key, text), path)
 
 

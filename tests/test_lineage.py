@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from layerloom.operators import lineage
+from layerloom.sources.sinks import current_pages
 
 
 def frame(spark, schema, *made):
@@ -66,12 +67,34 @@ def test_latest_run_by_time_then_version(spark):
 def test_changes(spark):
     old = frame(spark, "path string, text string", ("a", "1"), ("b", "2"), ("gone", "x"))
     new = frame(spark, "path string, text string", ("a", "1"), ("b", "3"), ("new", "y"))
-    assert rows(lineage.changed_pages(old, new)) == [("b", "3")]
+    assert rows(lineage.changed_pages(old, new)) == [("b", "3"), ("new", "y")]
     assert rows(lineage.change_log(old, new, "T1")) == [
         ("b", "T1", "changed", "2", "3"), ("gone", "T1", "removed", "x", None), ("new", "T1", "added", None, "y"),
     ]
 
 
+def test_lineage_without_a_parent(spark):
+    l1 = frame(spark, "path string", ("l1/a.md",))
+    l2 = frame(spark, "page_id string, normalized_from string", ("x", None), ("y", "l1/a.md"))
+    assert rows(lineage.lineage(l2, l1).select("page_id", "match", "l1_path")) == [
+        ("x", "none", None), ("y", "exact", "l1/a.md"),
+    ]
+
+
+def test_null_text_is_a_text_of_its_own(spark):
+    old = frame(spark, "path string, text string", ("a", None), ("b", None))
+    new = frame(spark, "path string, text string", ("a", None), ("b", "1"))
+    assert rows(lineage.changed_pages(old, new)) == [("b", "1")]
+    assert rows(lineage.change_log(old, new, "T1").select("path", "change")) == [("b", "changed")]
+
+
+def test_current_pages_are_the_newest_versions(spark):
+    schema = "path string, text string"
+    base = frame(spark, schema, ("a", "1"), ("b", "2"))
+    first, second = frame(spark, schema, ("a", "3"), ("c", "4")), frame(spark, schema, ("c", "5"))
+    assert rows(current_pages(base, [first, second])) == [("a", "3"), ("b", "2"), ("c", "5")]
+
+
 def test_run_summary(spark):
     log = frame(spark, "unit string, rc int", ("a", 0), ("a", 1), ("b", 0))
     assert rows(lineage.run_summary(log)) == [("a", 2, 1, 1), ("b", 1, 1, 0)]

@@ -1,8 +1,10 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from layerloom import schemas
 from layerloom.operators import render, rollup
+from layerloom.sources.sinks import page_text
 
 
 @pytest.fixture(scope="module")
@@ -97,7 +99,7 @@ def test_entities(observations):
     assert rows(rollup.observation_histogram(observations)) == [
         ("subject", "a", 3), ("subject", "b", 1), ("verb", "says", 3), ("verb", "uses", 1),
     ]
-    assert rows(rollup.gaps(observations, 1, 5)) == [(3,), (5,)]
+    assert rows(rollup.gaps(observations, 1, 5)) == [(2, 3), (2, 5)]
 
 
 NAV = """---
@@ -127,20 +129,52 @@ description: 第5004話のアナロジー 3 件・伏線 2 件・外部参照 2
 
 @pytest.mark.parametrize("group_rows", [1_000_000, 3])
 def test_chapter_page_in_one_part_or_many(chapters, claims, mysteries, group_rows):
-    whole = render.render_nav(chapters, claims, mysteries, group_rows=group_rows)
-    text = {r["chapter"]: r["text"] for r in whole.collect()}
+    lines = render.render_nav(chapters, claims, mysteries, group_rows=group_rows)
+    text = {r["chapter"]: r["text"] for r in page_text(lines, "chapter").collect()}
     assert text["ch5004"] == NAV
     assert "## 伏線（0 件）" in text["ch5001"] and set(text) == {"ch5001", "ch5004"}
-    parts = render.render_nav(chapters, claims, mysteries, part_lines=5, group_rows=group_rows)
-    mine = sorted((r["part"], r["text"]) for r in parts.collect() if r["chapter"] == "ch5004")
+    parts = page_text(lines, "chapter", part_lines=5).collect()
+    mine = sorted((r["part"], r["text"]) for r in parts if r["chapter"] == "ch5004")
     assert len(mine) > 1 and "\n".join(t for _, t in mine) == NAV
 
 
+def test_chapter_page_with_headings_and_untitled_entries(spark, claims):
+    chapters = spark.createDataFrame(
+        [("ch5004", "four", "part two", "up | down"), ("ch5001", None, None, None)],
+        "chapter string, title string, heading string, breadcrumb string",
+    )
+    mysteries = spark.createDataFrame(
+        [("ch5004", "MY_a", None, "Lost key"), ("ch5004", "MY_b", None, None)],
+        "chapter string, mystery_id string, title string, heading string",
+    )
+    bare = claims.withColumn("title", F.lit(None).cast("string")).withColumn("predicate", F.lit(None).cast("string"))
+    lines = render.render_nav(chapters, bare, mysteries)
+    assert lines.filter("line IS NULL").count() == 0
+    text = {r["chapter"]: r["text"] for r in page_text(lines, "chapter").collect()}
+    assert "# four\n\n## part two\n\nup | down\n\n## " in text["ch5004"]
+    assert "- [[MY_a|Lost key]]\n- [[MY_b|MY_b]]\n" in text["ch5004"]
+    assert "- [[A_2|A_2]] `[]`" in text["ch5004"]
+    assert "# ch5001\n\n## アナロジークレーム（0 件）" in text["ch5001"]
+
+
 def test_reference_page(spark, claims):
-    refs = spark.createDataFrame([("ME_a", "a"), ("ME_z", "z")], "ref_id string, canonical_name string")
-    made = render.render_reference(refs, rollup.backlinks(claims, refs))
-    text = {r["ref_id"]: r["text"] for r in made.collect()}
+    refs = spark.createDataFrame([("ME_a", "a"), ("ME_z", None)], "ref_id string, canonical_name string")
+    links = rollup.backlinks(claims, refs)
+    text = {r["ref_id"]: r["text"] for r in page_text(render.render_reference(refs, links), "ref_id").collect()}
     assert text["ME_a"] == (
         "# a\n\n## 本作からの参照 (3 件)\n\n- [[A_1]] — s1\n- [[A_1]] — s1\n- [[A_3]] — s3"
     )
-    assert text["ME_z"] == "# z\n\n## 本作からの参照 (0 件)\n"
+    assert text["ME_z"] == "# ME_z\n\n## 本作からの参照 (0 件)\n"
+    made = page_text(render.render_reference(refs, links, intro="Cited here."), "ref_id")
+    assert {r["ref_id"]: r["text"] for r in made.collect()}["ME_z"] == (
+        "# ME_z\n\nCited here.\n\n## 本作からの参照 (0 件)\n"
+    )
+
+
+def test_editions_are_kept_apart(spark):
+    seen = spark.createDataFrame(
+        [(1, "a", 1, 9, 1), (2, "a", 2, 1, 1)], "event_id int, subject string, edition int, chapter_no int, para int"
+    )
+    assert rows(rollup.top_quotes(seen, 1).select("edition", "event_id", "rank")) == [(1, 1, 1), (2, 2, 1)]
+    assert rows(rollup.gaps(seen, 8, 10).filter("edition = 1")) == [(1, 10), (1, 8)]
+    assert rows(rollup.gaps(seen, 1, 2).filter("edition = 2")) == [(2, 2)]

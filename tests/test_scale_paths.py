@@ -10,9 +10,9 @@ from layerloom.operators import ledger
 # Queries that join, number or replace; the others do not depend on a limit.
 AFFECTED = [
     "alias_groups", "arc_of_chapter", "audit_rows", "audit_totals", "backlinks", "batches", "bm25_topk",
-    "build_layer", "canonical_entities", "chapter_index", "chapter_listing", "dead_links", "ground_quotes",
+    "build_layer", "changed_pages", "change_log", "canonical_entities", "chapter_index", "chapter_listing", "dead_links", "ground_quotes",
     "inverted_index", "ledger_chains", "lint_findings", "progress", "render_chapter", "render_reference",
-    "resolve_links", "resolve_links_in_layer", "section_index", "unlink_cites", "unlink_missing",
+    "resolve_links", "resolve_links_in_layer", "section_index", "unlink_cites", "unlink_missing", "unlink_missing_in_layer",
     "unresolved_notes",
 ]
 
@@ -21,7 +21,6 @@ AFFECTED = [
 def test_large_data_ways_give_the_same(spark, sf_dir, database, name, monkeypatch):  # noqa: F811
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(skew, "HOT_ROWS", 5)
-    monkeypatch.setattr(skew, "SALTS", 3)
     monkeypatch.setattr(skew, "GROUP_ROWS", 7)
     monkeypatch.setattr(ledger, "INLINE_NAMES", 0)
     mine = test_oracles.QUERIES[name](spark, sf_dir).toPandas()

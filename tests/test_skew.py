@@ -36,10 +36,16 @@ def test_large_side_is_not_broadcast(facts, dimension):
 
 
 def test_hot_key_is_spread_over_salts(facts, dimension):
-    salted = facts.withColumn("s", F.pmod(F.xxhash64("id", "k"), F.lit(skew.SALTS)))
-    spread = salted.filter("k = 0").groupBy("s").count()
-    assert spread.count() == skew.SALTS
-    assert spread.agg(F.max("count")).first()[0] < 200
+    joined = skew.join_dimension(facts, dimension, ["k"], small=False, salt_by=["id"], hot_rows=100)
+    shuffled = joined.withColumn("task", F.spark_partition_id()).filter("k = 0").groupBy("task").count()
+    assert joined.filter("k = 0").count() == facts.filter("k = 0").count()
+    assert shuffled.agg(F.max("count")).first()[0] < 1000
+
+
+def test_rows_without_a_key_are_kept_and_spread(spark, dimension):
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 30).alias("k"))
+    joined = skew.join_dimension(facts, dimension, ["k"], "left", small=False, hot_rows=100)
+    assert rows(joined) == rows(facts.join(dimension, "k", "left"))
 
 
 @pytest.mark.parametrize("group", [["k"], []])
