@@ -69,4 +69,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+# The mix in SQL: sources by the ratio of their stop to their weight fill up first; the level of the
+# others is what is left over their weights.
+MIX_SQL = r"""WITH sized AS (
+  SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS s,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(concat_ws('/', CAST(doc_id AS VARCHAR), coalesce(text, ''))) AS o FROM documents),
+totals AS (SELECT none, s, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY none, s),
+weighed AS (
+  SELECT none, s, source_size, 2.0::DOUBLE * source_size AS stop,
+    CAST([5, 2, 1][n % 3 + 1] AS DOUBLE) AS w, CAST([1.5, 1.0, 0.5][n % 3 + 1] AS DOUBLE) AS a
+  FROM (SELECT *, row_number() OVER (ORDER BY none, s) - 1 AS n FROM totals)),
+levels AS (
+  SELECT *, stop / w AS ratio, row_number() OVER by_ratio AS place,
+    (1.5::DOUBLE * (SELECT sum(source_size) FROM totals)
+      - coalesce(sum(stop) OVER (by_ratio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (by_ratio ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed WINDOW by_ratio AS (ORDER BY stop / w, none, s)),
+goals AS (
+  SELECT none, s, source_size, a,
+    least(stop, w * (SELECT arg_min(level, place) FROM levels WHERE level <= ratio)) AS target FROM levels),
+begun AS (
+  SELECT *, CAST(floor(target) AS BIGINT) AS due, CAST(coalesce(sum(size) OVER (PARTITION BY none, s
+    ORDER BY o, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first
+  FROM sized JOIN goals USING (none, s)),
+turns AS (
+  SELECT *, greatest(least(due - first, size), 0) AS once, greatest(least(due - first - source_size, size), 0) AS again,
+    CASE WHEN target > 0 THEN least((first + once / 2) / target, 1) ELSE 0 END AS y FROM begun)
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(once + again AS BIGINT) AS taken,
+  CASE WHEN once = 0 THEN NULL WHEN a = 1 THEN round(y, 9)
+    ELSE round((sqrt(greatest(a * a + 4 * (1 - a) * y, 0)) - a) / (2 * (1 - a)), 9) END AS first_position
+FROM turns"""
+
+ORACLES: dict[str, str] = {"op8_source_mix": MIX_SQL}

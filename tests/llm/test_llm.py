@@ -5,11 +5,13 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas
 import pytest
 from pyspark.sql import functions as F
 
-from layerloom.llm import curriculum, divergence, latent, line_dedup, pii, ring, secret_scan, simhash, toxicity, weak_labels
+from layerloom.llm import curriculum, divergence, latent, line_dedup, pii, queries, ring, secret_scan, simhash, toxicity, weak_labels
 from layerloom.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, size string, spans string"
@@ -267,3 +269,12 @@ def test_pipeline_decisions_take_effect(spark, sf_dir):
     groups = simhash.near_duplicates(good).collect()
     assert {r.doc_id for r in one.collect()} == {r.component_id for r in groups}
     assert corpus_pipeline.run(spark, sf_dir).columns == [*docs.columns, "shard", "slot"]
+
+
+def test_queries_with_sql_equal_it(spark, sf_dir):
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name, sql in queries.ORACLES.items():
+        mine = queries.QUERIES[name](spark, sf_dir).toPandas().sort_values("doc_id").reset_index(drop=True)
+        theirs = database.execute(sql).fetchdf()[mine.columns].sort_values("doc_id").reset_index(drop=True)
+        pandas.testing.assert_frame_equal(mine, theirs, check_dtype=False, rtol=0, atol=1e-6)
