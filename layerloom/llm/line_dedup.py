@@ -3,8 +3,10 @@
 Two lines link when at most ``TAU`` edits apart. A line is cut into ``TAU + 1`` segments; of two
 linked lines at least one segment of the shorter occurs unchanged in the longer, at a place that
 the lengths and the number of edits allow. Segments are indexed by (length, number, characters),
-longer lines probe the few substrings that can match, and candidates are verified by a bit-parallel
-edit distance that holds a band of ``2 * TAU + 1`` diagonals in one number. Built-in functions only.
+longer lines probe the few substrings that can match; probes that no line has as a segment fall out
+against a bitmap of all segments before anything is written. Candidates are verified by the built-in
+edit distance with threshold ``TAU``, which is exact up to it; ``within_edits`` is the same test as a
+bit-parallel band of ``2 * TAU + 1`` diagonals, against which it is held. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -19,9 +21,14 @@ from layerloom.functions.skew import measured_small
 from layerloom.llm.common import SPACE, durable, let, text_of
 from layerloom.llm.components import components
 
-TAU = 1
+TAU = 2
 # Shorter lines are compared exactly: an edit would often make a different line of them.
 MIN_LENGTH = 24
+# Bits of the segment bitmap per segment, and its bounds in numbers of 64 bits. A bitmap that is full
+# for its bound lets more probes through and loses none.
+FILTER_BITS = 12
+FILTER_CHUNKS = 1 << 10
+MOST_FILTER_WORDS = 1 << 21
 # Eight frequent letters.
 LETTERS = "etaonirs"
 
@@ -34,8 +41,8 @@ def _segment(length: Column, i: int) -> tuple[Column, Column]:
     return 1 + small * i + longer, small + F.when(rest >= parts - i, 1).otherwise(0)
 
 
-def _signatures(line: Column, length: Column) -> tuple[Column, Column]:
-    """Keys of a line's own segments, and of its substrings that may equal a segment of a line as long or shorter."""
+def _signatures(line: Column, length: Column) -> tuple[Column, list[Column]]:
+    """Keys of a line's own segments, and of its other substrings that may equal a segment of a line as long or shorter."""
     key = lambda size, i, part: F.xxhash64(size, F.lit(i), part)
     own, probes = [], []
     for i in range(TAU + 1):
@@ -46,8 +53,36 @@ def _signatures(line: Column, length: Column) -> tuple[Column, Column]:
             start, n = _segment(size, i)
             # Edits left of the segment shift it by at most i, edits right of it by TAU - i.
             for shift in range(max(-i, shorter - (TAU - i)), min(i, shorter + (TAU - i)) + 1):
-                probes.append(key(size, i, F.substring(line, start + shift, n)))
-    return F.array(*own), F.array_distinct(F.array(*probes))
+                if shorter or shift:
+                    probes.append(key(size, i, F.substring(line, start + shift, n)))
+    return F.array(*own), probes
+
+
+def _filter_words(n: int) -> int:
+    """Numbers of 64 bits for the bitmap of ``n`` lines, a power of two."""
+    wanted = max(n * (TAU + 1) * FILTER_BITS // 64, FILTER_CHUNKS)
+    return min(1 << (wanted - 1).bit_length(), MOST_FILTER_WORDS)
+
+
+def _bitmap(keys: DataFrame, words: int) -> DataFrame:
+    """One row: an array of ``words`` numbers of 64 bits, in which bit ``key mod (64 * words)`` is 1 for every key."""
+    place = F.pmod("key", F.lit(64 * words))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    found = keys.select(F.shiftright(place, 6).alias("word"), bit.alias("bits"))
+    every = keys.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    each = found.union(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # Joined in two steps, so that the last task reads a fixed number of chunks.
+    joined = lambda k, v: F.array_sort(F.collect_list(F.struct(k, v)))
+    chunks = each.groupBy(F.floor(F.col("word") / (words // FILTER_CHUNKS)).alias("chunk")).agg(
+        F.transform(joined("word", "bits"), lambda x: x["bits"]).alias("part")
+    )
+    return chunks.agg(F.flatten(F.transform(joined("chunk", "part"), lambda x: x["part"])).alias("bitmap"))
+
+
+def _in_bitmap(bitmap: Column, key: Column, words: int) -> Column:
+    place = F.pmod(key, F.lit(64 * words))
+    word = F.get(bitmap, F.shiftright(place, 6).cast("int"))
+    return F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
 
 
 def within_edits(a: Column, b: Column) -> Column:
@@ -120,13 +155,19 @@ def line_links(all_lines: DataFrame) -> DataFrame:
     """Pairs ``a``, ``b`` of hashes of different lines at most ``TAU`` edits apart, each pair once."""
     long = all_lines.filter(F.length("line") >= MIN_LENGTH)
     own, probes = _signatures(F.col("line"), F.length("line"))
-    sketch = F.struct(
-        word_parity(F.col("line")).alias("p"), letter_counts(F.col("line")).alias("l"), own.alias("own"), probes.alias("probes")
-    )
+    bounds = [word_parity(F.col("line")).alias("p"), letter_counts(F.col("line")).alias("l")]
     # Equal lines have equal sketches; from here on a line is its hash, its text stays where it is.
-    sized = durable(long.select("h", sketch.alias("s")).groupBy("h").agg(F.first("s").alias("s")))
-    index = sized.select(F.col("h").alias("a"), F.col("s.p").alias("pa"), F.col("s.l").alias("la"), F.explode("s.own").alias("key"))
-    probe = sized.select(F.col("h").alias("b"), F.col("s.p").alias("pb"), F.col("s.l").alias("lb"), F.explode("s.probes").alias("key"))
+    sized = durable(long.select("h", F.struct(*bounds, own.alias("keys")).alias("s")).groupBy("h").agg(F.first("s").alias("s")))
+    words = _filter_words(sized.count())
+    bitmap = _bitmap(sized.select(F.explode("s.keys").alias("key")), words).scalar()
+    # Most probes equal no segment of any line: they go here, before they meet a shuffle.
+    probed = worked_out(long.select("h", "line", F.array(*probes).alias("_probes")))
+    each = [F.get("_probes", F.lit(k)) for k in range(len(probes))]
+    hit = F.array_distinct(F.array_compact(F.array(*[F.when(_in_bitmap(bitmap, key, words), key) for key in each])))
+    hits = worked_out(probed.select("h", "line", hit.alias("keys"))).filter(F.size("keys") > 0)
+    hits = durable(hits.select("h", F.struct(*bounds, "keys").alias("s")).groupBy("h").agg(F.first("s").alias("s")))
+    index = sized.select(F.col("h").alias("a"), F.col("s.p").alias("pa"), F.col("s.l").alias("la"), F.explode("s.keys").alias("key"))
+    probe = sized.union(hits).select(F.col("h").alias("b"), F.col("s.p").alias("pb"), F.col("s.l").alias("lb"), F.explode("s.keys").alias("key"))
     # Lines that share a segment but have too many other words or letters fall out inside the join.
     alike = (
         (index["key"] == probe["key"])
@@ -141,9 +182,7 @@ def line_links(all_lines: DataFrame) -> DataFrame:
     near = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b"
     )
-    # The built-in distance turns away most candidates at little cost; the band verifies the rest.
-    close = near.filter(F.levenshtein("x", "y", TAU) >= 0)
-    return close.filter(within_edits(F.col("x"), F.col("y"))).select("a", "b")
+    return near.filter(F.levenshtein("x", "y", TAU) >= 0).select("a", "b")
 
 
 def line_classes(docs: DataFrame) -> DataFrame:

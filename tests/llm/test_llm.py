@@ -136,6 +136,14 @@ def test_lines_within_an_edit(spark):
     assert verified.count() == 0
 
 
+def test_lines_two_edits_apart_are_one(spark):
+    line = "Licensed under terms of 2019: " + prose(77, 30)
+    far = line.replace("2019", "2058").replace("Licensed", "Licenced")
+    rows = [(1, line), (2, line.replace("2019", "2035")), (3, line[:60] + line[62:]), (4, "xy" + line), (5, far), (6, prose(78, 30))]
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_table(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0, 6: 0}
+
+
 def test_repeated_lines_go(spark):
     docs = spark.createDataFrame([(1, "alpha\nbeta\nalpha"), (2, "beta\ngamma"), (3, None)], "doc_id bigint, text string")
     assert {r.doc_id: r.text for r in line_dedup.without_repeats(docs).collect()} == {1: "alpha\nbeta", 2: "gamma", 3: None}
