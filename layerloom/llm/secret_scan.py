@@ -1,7 +1,8 @@
 """Secret scans: fixed forms, and values in a credential context that are costly to guess.
 
 The guess cost of a value is the least over all its segmentations into words, dates, repeats,
-keyboard walks and brute-force stretches, found by dynamic programming. A value that stands where
+keyboard walks and brute-force stretches, found by dynamic programming. Words are ranked by the
+number of documents that have them outside credential contexts. A value that stands where
 a credential stands and costs at least ``MIN_COST`` (log10 of guesses) is a span of kind
 ``guess``. Texts are scanned whole, each in its own task row.
 """
@@ -30,8 +31,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 # A credential word, a separator, an optional quote, and the value up to a space or quote.
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_ -]?key|access[_ -]?key|credentials?|private[_ -]?key|bearer|auth)"""
-    r"""["']?(?:\x20*[:=]>?\x20*|\x20+(?:is|was)\x20+|\x20+)["'`]?([^\s"'`<>]{6,200})""",
+    r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_ -]?key|access[_ -]?key|credentials?|private[_ -]?key|bearer|auth)"""
+    r"""["']?(?:\x20*[:=]>?\x20*|\x20+(?:is|was)\x20+|\x20+)["'`]?([^\s"'`<>]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
 # log10 of the guesses from which a value counts as a secret.
@@ -45,6 +46,10 @@ WORDS = (
     "server client service account email phone number date time data file path type code null none true false"
 ).split()
 RANK = {w: k + 1 for k, w in enumerate(WORDS)}
+# Words of the corpus that get a rank, the most frequent ones, and their greatest length. A word beyond
+# them costs more than log10 of RANKED anyway.
+RANKED = 100_000
+LONGEST_WORD = 24
 # The rows and columns of a keyboard.
 WALKS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "1qaz", "2wsx", "3edc", "4rfv", "5tgb", "6yhn", "7ujm", "abcdefghijklmnopqrstuvwxyz")
 DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:[0-2]\d|3[01])|(?:[0-2]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
@@ -56,13 +61,13 @@ def _alphabet(text: str) -> int:
     return max(size, 10)
 
 
-def _segments(value: str) -> Iterator[tuple[int, int, float]]:
+def _segments(value: str, rank: dict[str, int]) -> Iterator[tuple[int, int, float]]:
     """Stretches that are cheaper than brute force: (from, to, log10 of guesses)."""
     low = value.lower()
     for a in range(len(value)):
-        for b in range(a + 3, min(len(value), a + 16) + 1):
-            if low[a:b] in RANK:
-                yield a, b, math.log10(RANK[low[a:b]] * (1 if value[a:b] == low[a:b] else 2)) + 0.5
+        for b in range(a + 3, min(len(value), a + LONGEST_WORD) + 1):
+            if low[a:b] in rank:
+                yield a, b, math.log10(rank[low[a:b]] * (1 if value[a:b] == low[a:b] else 2)) + 0.5
     for m in DATE.finditer(value):
         yield m.start(), m.end(), math.log10(365 * 120)
     for size in (1, 2, 3, 4):
@@ -87,12 +92,12 @@ def _segments(value: str) -> Iterator[tuple[int, int, float]]:
                     a = b
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, rank: dict[str, int] = RANK) -> float:
     """log10 of the guesses for the cheapest segmentation; values beyond 64 characters are cut into pieces of 64."""
     if len(value) > LONGEST_VALUE:
-        return sum(guess_cost(value[k : k + LONGEST_VALUE]) for k in range(0, len(value), LONGEST_VALUE))
+        return sum(guess_cost(value[k : k + LONGEST_VALUE], rank) for k in range(0, len(value), LONGEST_VALUE))
     into: dict[int, list[tuple[int, float]]] = {}
-    for a, b, cost in _segments(value):
+    for a, b, cost in _segments(value, rank):
         into.setdefault(b, []).append((a, cost))
     best = [0.0]
     for b in range(1, len(value) + 1):
@@ -103,8 +108,30 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
-def spans_of(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of all spans, sorted; code points, end exclusive."""
+def costly(value: str, rank: dict[str, int] = RANK) -> bool:
+    """Whether a value costs at least ``MIN_COST``; a long one is read until it does."""
+    cost = 0.0
+    for k in range(0, len(value), LONGEST_VALUE):
+        cost += guess_cost(value[k : k + LONGEST_VALUE], rank)
+        if cost >= MIN_COST:
+            return True
+    return False
+
+
+def _inside(start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
+    """Whether sorted spans cover all of a stretch."""
+    for a, _, b in spans:
+        if a > start or start >= end:
+            break
+        start = max(start, b)
+    return start >= end
+
+
+def spans_of(text: str, rank: dict[str, int] = RANK) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of all spans, sorted; code points, end exclusive.
+
+    A value that base spans cover in part is a span of its own beside them.
+    """
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -113,8 +140,7 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
         start, end = m.span(1)
         while end > start and text[end - 1] in ".,;:!?)]}":
             end -= 1
-        overlapped = any(a < end and start < b for a, _, b in base)
-        if end - start >= 6 and not overlapped and guess_cost(text[start:end]) >= MIN_COST:
+        if end - start >= 6 and not _inside(start, end, base) and costly(text[start:end], rank):
             found.append((start, 3, end))
     return sorted(found)
 
@@ -122,9 +148,20 @@ def spans_of(text: str) -> list[tuple[int, int, int]]:
 _SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.LongType())])
 
 
-@F.pandas_udf(T.ArrayType(_SPAN))
-def _spans(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: [{"start": a, "kind": k, "end": b} for a, k, b in spans_of(t)])
+def word_ranks(text: Column, docs: DataFrame) -> dict[str, int]:
+    """Ranks of words: the fixed ones, then those of the corpus by the number of documents that have them.
+
+    What stands where a credential stands is not counted, so copies of a secret do not make it a word.
+    """
+    bare = text
+    for form in (CONTEXT, ASSIGN):
+        bare = F.regexp_replace(bare, "(?i)" + form.pattern, " ")
+    words = F.array_distinct(F.split(F.lower(bare), r"[^\p{L}]+"))
+    fit = F.filter(words, lambda w: F.length(w).between(3, LONGEST_WORD))
+    counts = docs.select(F.explode(fit).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    # At most RANKED rows, whatever the corpus.
+    top = counts.filter(~F.col("w").isin(*WORDS)).orderBy(F.desc("n"), "w").limit(RANKED).collect()
+    return RANK | {r["w"]: len(WORDS) + k + 1 for k, r in enumerate(top)}
 
 
 def find_secrets(docs: DataFrame, text: Column | None = None) -> DataFrame:
@@ -132,7 +169,14 @@ def find_secrets(docs: DataFrame, text: Column | None = None) -> DataFrame:
 
     A null text is empty and has none; repeated rows have the same spans; other columns stay.
     """
-    return docs.withColumn("secret_spans", _spans(text_of() if text is None else text))
+    text = text_of() if text is None else text
+    rank = docs.sparkSession.sparkContext.broadcast(word_ranks(text, docs))
+
+    @F.pandas_udf(T.ArrayType(_SPAN))
+    def spans(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"start": a, "kind": k, "end": b} for a, k, b in spans_of(t, rank.value)])
+
+    return docs.withColumn("secret_spans", spans(text))
 
 
 def secret_table(docs: DataFrame) -> DataFrame:
@@ -156,12 +200,13 @@ def secret_table(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with every span in their text replaced; overlapping spans are one."""
+    rank = docs.sparkSession.sparkContext.broadcast(word_ranks(text_of(), docs))
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         def one(text: str) -> str:
             out, at = [], 0
-            for start, _, end in spans_of(text):
+            for start, _, end in spans_of(text, rank.value):
                 if start >= at:
                     out += [text[at:start], mark]
                 at = max(at, end)

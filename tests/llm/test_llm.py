@@ -211,6 +211,21 @@ def test_secrets_and_guess_costs(spark):
     assert max(weak) < 8 < secret_scan.guess_cost("xK9#vQ2!mZ7p")
 
 
+def test_secret_values_are_whole(spark):
+    token = "".join(random.Random(6).choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_") for _ in range(403))
+    texts = [
+        f"Authorization: Bearer {token} end", 'password = "S3cure!Pass#2024zQ" end', "DB_PASSWORD=P@ss!w0rd#9xQ end",
+        "the secret ingredient end", "an ingredient of the soup", "the secret qzvkwjxhpt end", "the secret qzvkwjxhpt end",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs, "#").collect()}
+    assert got[0] == "Authorization: Bearer # end"
+    assert got[1] == "#\" end" and got[2] == "DB_PASSWORD=# end" and got[3] == texts[3] and got[4] == texts[4]
+    assert got[5] == got[6] == "the secret # end"
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_table(docs).collect()}
+    assert spans[1] == "assign:0:18,guess:12:30"
+
+
 def test_private_spans_by_regular_expression(spark):
     forms = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
