@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.explode import worked_out
-from layerloom.llm.common import let, text_of, words_of
+from layerloom.llm.common import let, stored, text_of, words_of
 
 # Frequent function words of the languages that have a reference.
 COMMON_WORDS = {
@@ -159,16 +159,16 @@ def _histograms(df: DataFrame) -> DataFrame:
     return df.withColumns({"_classes": class_histogram(F.col("_text")), "_common": word_histogram(F.col("_text"), lang)})
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """One row per language (five at most): the summed histograms of its documents.
+def references(measured: DataFrame) -> DataFrame:
+    """One row per language (five at most): the summed histograms of its documents that pass the base rules.
 
-    Each document counts with its shares, not its length, so a few long texts do not set the
-    reference. Texts below the minimum lengths are left out, as they are never compared.
+    Takes ``_lang``, ``base_failed`` and the histograms. Each document counts with its shares, not
+    its length, so a few long texts do not set the reference. Texts below the minimum lengths are
+    left out, as they are never compared.
     """
-    lang = language_of(F.col("lang")) if "lang" in docs.columns else F.lit(OTHER)
-    ready = worked_out(_histograms(docs.select(text_of().alias("_text"), lang.alias("_lang"))).drop("_text"))
     size = lambda name: F.aggregate(F.col(name), F.lit(0.0), lambda x, y: x + y)
-    ready = ready.withColumns({"_chars": size("_classes"), "_n": size("_common")}).filter(
+    passed = measured.filter(~F.col("base_failed")).select("_lang", "_classes", "_common")
+    ready = passed.withColumns({"_chars": size("_classes"), "_n": size("_common")}).filter(
         (F.col("_chars") >= MIN_CHARS) & (F.col("_n") >= MIN_HISTOGRAM_WORDS)
     )
     longest = max(len({w for ws in COMMON_WORDS.values() for w in ws}), *map(len, COMMON_WORDS.values())) + 1
@@ -185,8 +185,9 @@ def judge(
     class_limit: tuple[float, float] = CLASS_LIMIT,
     word_limit: tuple[float, float] = WORD_LIMIT,
     joint_limit: tuple[float, float] = JOINT_LIMIT,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Every document with its base counts, both distances and ``kept``.
+    """Every document with its base counts, both distances and ``kept``; of its own columns those in ``keep``, or all.
 
     A null text is empty and fails the base rules; a null or unknown language is compared with the
     reference of all such texts; a language without a reference keeps its documents; repeated rows
@@ -197,9 +198,12 @@ def judge(
                "class_distance", "word_distance", "kept"]
     own = docs.drop(*results, "_text", "_words", "_lang", "_classes", "_common", "_ref_classes", "_ref_common")
     lang = language_of(F.col("lang")) if "lang" in docs.columns else F.lit(OTHER)
-    measured = worked_out(_histograms(base_counts(own).withColumn("_lang", lang)).drop("_text"))
+    kept = own.columns if keep is None else keep
+    counted = worked_out(_histograms(base_counts(own).withColumn("_lang", lang)).drop("_text"))
+    # The texts are read once: the references and the distances both come from what is stored here.
+    measured = stored(counted.select(*kept, *results[:6], "_lang", "_classes", "_common"))
     # At most five rows: the listed languages and the rest.
-    joined = measured.join(F.broadcast(references(docs)), "_lang", "left")
+    joined = measured.join(F.broadcast(references(measured)), "_lang", "left")
     distances = {
         "class_distance": F.coalesce(js_distance(F.col("_classes"), F.col("_ref_classes")), F.lit(0.0)),
         "word_distance": F.coalesce(js_distance(F.col("_common"), F.col("_ref_common")), F.lit(0.0)),
@@ -215,7 +219,7 @@ def judge(
     return (
         joined.withColumns(distances)
         .withColumn("kept", ~F.col("base_failed") & ~far)
-        .select(*own.columns, *results)
+        .select(*kept, *results)
     )
 
 

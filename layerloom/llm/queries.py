@@ -35,7 +35,7 @@ def op6_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(documents(spark, sf_dir)).select(
+    return divergence.judge(documents(spark, sf_dir), keep=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 

@@ -202,6 +202,17 @@ def test_quality_counts_by_definition(spark):
     assert (got.n_dup_lines, got.n_repeat_words) == (1, len(inside)) and len(inside) == 16
 
 
+def test_junk_that_fails_the_base_rules_shapes_no_reference(spark):
+    good = [(k, prose(k, 80), "en") for k in range(60)]
+    junk = [(1000 + k, f"## 9{k} $$ 77 || 4#4 && 1*1 " * 30, "en") for k in range(30)]
+    wanted = lambda rows: {
+        r.doc_id: (r.base_failed, round(r.class_distance, 9), round(r.word_distance, 9), r.kept)
+        for r in divergence.judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    }
+    both, alone = wanted(good + junk), wanted(good)
+    assert all(both[k][0] for k, _, _ in junk) and {k: both[k] for k, _, _ in good} == alone
+
+
 def test_secrets_and_guess_costs(spark):
     text = 'x Password: "abcdef12" AKIA' + "A" * 16 + " " + "0a" * 12 + " the passphrase is xK9#vQ2!mZ7p"
     row = secret_scan.secret_table(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
