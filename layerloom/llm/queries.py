@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerloom.llm import curriculum, divergence, latent, line_dedup, pii, ring, secret_scan, simhash, toxicity, weak_labels
+from layerloom.llm import (
+    curriculum,
+    divergence,
+    fill_middle,
+    latent,
+    line_dedup,
+    pii,
+    ring,
+    secret_scan,
+    simhash,
+    toxicity,
+    treap_search,
+    url_rules,
+    weak_labels,
+)
 from layerloom.llm.common import documents
 
 
@@ -53,6 +67,19 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES))
+
+
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return treap_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mix,
         op9_private_spans,
         op10_benchmark_leaks,
+        op11_url_verdicts,
+        op12_treap_search,
+        op13_fill_in_middle,
     )
 }
 
@@ -101,4 +131,57 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(once + again
     ELSE round((sqrt(greatest(a * a + 4 * (1 - a) * y, 0)) - a) / (2 * (1 - a)), 9) END AS first_position
 FROM turns"""
 
-ORACLES: dict[str, str] = {"op8_source_mix": MIX_SQL}
+URL_SQL = r"""WITH rules(rule_host, rule_path, decided) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+rest AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+fits AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(decided, length(rule_host || rule_path)) AS verdict
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (n)"""
+
+SEARCH_SQL = r"""WITH listed AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sizes AS (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n FROM listed WHERE len(terms) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+counted AS (SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, unnest(terms) AS term FROM listed) GROUP BY ALL),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * CAST(docs AS DOUBLE) + 2) / (2 * CAST(df AS DOUBLE) + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), whole),
+scores AS (
+  SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (row), whole GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+MIDDLE_SQL = r"""WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hash FROM documents),
+drawn AS (
+  SELECT *, CAST(len(lines) AS BIGINT) AS n,
+    CAST('0x' || hash[1:8] AS BIGINT) AS h1, CAST('0x' || hash[9:16] AS BIGINT) AS h2, CAST('0x' || hash[25:32] AS BIGINT) AS h4 FROM cut),
+parts AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(lines[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+    array_to_string(lines[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+    array_to_string(lines[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS s FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts"""
+
+ORACLES: dict[str, str] = {
+    "op8_source_mix": MIX_SQL,
+    "op11_url_verdicts": URL_SQL,
+    "op12_treap_search": SEARCH_SQL,
+    "op13_fill_in_middle": MIDDLE_SQL,
+}
