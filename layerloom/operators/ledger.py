@@ -1,15 +1,14 @@
 """The name ledger: one-pass replacement with a full audit, notes and checks of the ledger itself.
 
-A ledger row is ``(name, representative, confidence)``, one row per name; an optional ``ord``
-column fixes the order notes are printed in.
+A ledger row is ``(name, representative, confidence)``; an optional ``ord`` column fixes the order
+notes are printed in.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +26,11 @@ from layerloom.fixed_values import (
 )
 from layerloom.functions.explode import explode_rows
 from layerloom.functions.rewrite import pieces
-from layerloom.functions.skew import join_dimension, measured_small
+from layerloom.functions.skew import join_dimension
 from layerloom.operators.filters import applied
+from layerloom.operators.name_search import noted, one_per_name, substituted
 
-# Up to this many names (measured) the ledger becomes part of the query; beyond it is joined.
+# Up to this many rows (measured) the ledger becomes part of the query; beyond it is searched in the tasks.
 INLINE_NAMES = 2_000
 
 # Link targets, link addresses and the ledger's own block are never rewritten.
@@ -76,97 +76,13 @@ def _with_inline_ledger(pages: DataFrame, rows: list) -> DataFrame:
     )
 
 
-def _search_names(offered: DataFrame, names: list[str], schema: str) -> DataFrame:
-    """Which of a bounded list of names each text holds, all of them found in one scan of it."""
-    shared = offered.sparkSession.sparkContext.broadcast(names)
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import ahocorasick
-
-        wanted = ahocorasick.Automaton()
-        for name in shared.value:
-            wanted.add_word(name, name)
-        wanted.make_automaton()
-        for batch in batches:
-            hits = [
-                (key, name)
-                for key, text in zip(batch["page_id"], batch["text"])
-                for name in {name for _, name in wanted.iter(text)}
-            ]
-            yield pd.DataFrame(hits, columns=["page_id", "name"])
-
-    return offered.mapInPandas(search, schema)
-
-
-def _offer_substrings(offered: DataFrame, lengths: list[int], schema: str) -> DataFrame:
-    """Distinct substrings of each text in the given lengths."""
-
-    def substrings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, found = [], []
-        for batch in batches:
-            for key, text in zip(batch["page_id"], batch["text"]):
-                for n in lengths:
-                    seen = {text[i : i + n] for i in range(len(text) - n + 1)}
-                    keys.extend([key] * len(seen))
-                    found.extend(seen)
-                    if len(found) > 100_000:
-                        yield pd.DataFrame({"page_id": keys, "name": found})
-                        keys, found = [], []
-        if found:
-            yield pd.DataFrame({"page_id": keys, "name": found})
-
-    return offered.mapInPandas(substrings, schema)
-
-
-def names_in_text(
-    pages: DataFrame, ledger: DataFrame, page_id: str = "page_id", text: str = "body"
-) -> DataFrame:
-    """Ledger rows whose name occurs anywhere in each page.
-
-    Names measured small enough to broadcast are searched for in the tasks. Beyond that every page
-    offers its distinct substrings of the lengths that occur among the names, and an equi-join
-    keeps the ones that are names.
-    """
-    schema = f"page_id {dict(pages.dtypes)[page_id]}, name string"
-    offered = pages.filter(F.col(text).isNotNull()).select(
-        F.col(page_id).alias("page_id"), F.col(text).alias("text")
-    )
-    names = ledger.select("name")
-    small = measured_small(names)
-    if small:
-        found = _search_names(offered, [r[0] for r in names.collect()], schema)
-    else:
-        lengths = [r[0] for r in ledger.select(F.length("name")).distinct().collect()]
-        found = _offer_substrings(offered, lengths, schema)
-    known = join_dimension(found, ledger, ["name"], "inner", salt_by=["page_id"], small=small)
-    return known.withColumnRenamed("page_id", page_id)
-
-
-def _with_joined_ledger(pages: DataFrame, ledger: DataFrame, page_id: str, text: str) -> DataFrame:
-    entry = _entry(F.col("representative"), F.col("confidence"))
-    # Names of one page, so the list is bounded by the text of that page.
-    per_page = (
-        names_in_text(pages, ledger, page_id, text)
-        .groupBy(page_id)
-        .agg(F.collect_list(F.struct(F.length("name").alias("n"), "name", entry.alias("e"))).alias("_found"))
-    )
-    longest_first = F.sort_array("_found", asc=False)
-    escaped = F.transform(
-        longest_first,
-        lambda f: F.regexp_replace(f["name"], r"([^\p{L}\p{N}])", r"\\$1"),
-    )
-    alternatives = F.array_join(escaped, "|")
-    return pages.join(per_page, page_id, "left").withColumns(
-        {
-            "_pattern": F.when(
-                F.size("_found") > 0, F.concat(F.lit(PROTECTED + "|"), alternatives)
-            ).otherwise(F.lit(PROTECTED)),
-            "_entries": F.coalesce(
-                F.map_from_entries(F.transform("_found", lambda f: F.struct(f["name"], f["e"]))),
-                F.create_map().cast("map<string,struct<representative:string,confidence:string>>"),
-            ),
-        }
-    ).drop("_found")
+def _first(rows: list, name: str, *columns: str) -> list:
+    """One row per name, of rows alike in it the one with the smallest columns; a null is smallest."""
+    smallest = lambda r: [(r[c] is not None, r[c]) for c in columns]
+    chosen: dict[str, object] = {}
+    for row in sorted(rows, key=smallest):
+        chosen.setdefault(row[name], row)
+    return list(chosen.values())
 
 
 def substitute(
@@ -180,17 +96,21 @@ def substitute(
 
     One pass from left to right, longest name first; replacements are never looked at again, so
     chains in the ledger are not followed. Audit rows come by falling count, ties in the order the
-    names first occur.
+    names first occur. Of ledger rows alike in name the one with the smallest representative counts;
+    empty names and rows without a representative do not. Page ids need not be unique.
+
+    Up to ``inline_names`` rows become a pattern in the query, more are searched in the tasks; both
+    ways give the same.
     """
     inline_names = INLINE_NAMES if inline_names is None else inline_names
-    usable = applied(ledger).select("name", "representative", "confidence")
+    usable = applied(ledger).filter("name <> '' AND representative IS NOT NULL").select("name", "representative", "confidence")
     head = usable.limit(inline_names + 1).collect()
     if not head:
         return pages.withColumn("audit", F.array().cast(AUDIT_TYPE))
-    if len(head) <= inline_names:
-        prepared = _with_inline_ledger(pages, head)
-    else:
-        prepared = _with_joined_ledger(pages, usable, page_id, text)
+    if len(head) > inline_names:
+        names = one_per_name(usable, ["representative", "confidence"])
+        return substituted(pages, names, text, PROTECTED)
+    prepared = _with_inline_ledger(pages, _first(head, "name", "representative", "confidence"))
     cut = prepared.withColumn("_pieces", pieces(F.col(text), F.col("_pattern")))
     hit = cut.withColumn(
         "_hits", F.filter("_pieces", lambda p: F.map_contains_key("_entries", p))
@@ -233,34 +153,29 @@ def add_notes(
     """Add a ``notes`` array: unverified names that occur in the (already rewritten) text."""
     inline_names = INLINE_NAMES if inline_names is None else inline_names
     order = "ord" if "ord" in ledger.columns else "name"
-    open_names = ledger.filter(F.col("confidence") == UNVERIFIED).select(
+    open_names = ledger.filter((F.col("confidence") == UNVERIFIED) & (F.col("name") != "")).select(
         F.col(order).alias("at"), "name", "representative"
     )
     head = open_names.limit(inline_names + 1).collect()
     if not head:
         return pages.withColumn("notes", F.array().cast(NOTE_TYPE))
     if len(head) <= inline_names:
-        rows = sorted(head, key=lambda r: (r["at"], r["name"]))
+        rows = sorted(_first(head, "name", "at", "representative"), key=lambda r: (r["at"] is not None, r["at"], r["name"]))
         literal = F.array(
             *[
-                F.struct(F.lit(r["name"]).alias("name"), F.lit(r["representative"]).alias("representative"))
+                F.struct(F.lit(r["name"]).alias("name"), F.lit(r["representative"]).cast("string").alias("representative"))
                 for r in rows
             ]
         )
-        return pages.withColumn(
-            "notes", F.filter(literal, lambda n: F.contains(F.col(text), n["name"]))
-        )
-    per_page = (
-        names_in_text(pages, open_names, page_id, text)
-        .groupBy(page_id)
-        .agg(F.sort_array(F.collect_list(F.struct("at", "name", "representative"))).alias("_n"))
-    )
-    notes = F.transform("_n", lambda n: n.dropFields("at"))
-    return (
-        pages.join(per_page, page_id, "left")
-        .withColumn("notes", F.coalesce(notes, F.array().cast(NOTE_TYPE)))
-        .drop("_n")
-    )
+        found = F.filter(literal, lambda n: F.contains(F.col(text), n["name"]))
+        return pages.withColumn("notes", F.coalesce(found, F.array().cast(NOTE_TYPE)))
+    names = one_per_name(open_names, ["at", "representative"])
+    # The order as text that sorts alike: whole numbers are moved above zero and filled up.
+    number = dict(names.dtypes)["at"] in ("tinyint", "smallint", "int", "bigint")
+    moved = F.lpad((F.col("at").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0") if number else F.col("at").cast("string")
+    names = names.select("name", F.coalesce(moved, F.lit("")).alias("at"), "representative")
+    listed = F.transform("_notes", lambda n: n.dropFields("at"))
+    return noted(pages, names, text).withColumn("notes", F.coalesce(listed, F.array().cast(NOTE_TYPE))).drop("_notes")
 
 
 def normalize_names(

@@ -439,6 +439,39 @@ put("list_drift", f"WITH {LIST_DRIFT} SELECT * FROM list_drift")
 put("normalize_names", f"""WITH {LEDGER_PAGES} SELECT page_id, md5(body) AS body_md5,
   CAST(length(body) AS BIGINT) AS body_chars,
   coalesce((SELECT CAST(sum(replaced) AS BIGINT) FROM hits h WHERE h.page_id = done.page_id), 0) AS replaced FROM done""")
+# Names are words behind a space, so each space begins at most one, the longest word that begins what follows.
+put("normalize_names_large", f"""WITH {DOCS}, words AS (
+  SELECT DISTINCT w, length(w) AS n FROM (SELECT unnest(string_split(text, ' ')) AS w FROM docs)
+  WHERE regexp_full_match(w, '[a-z]+')),
+tokens AS (
+  SELECT page_id, unnest(range(1, len(t) + 1)) AS i, unnest(t) AS token FROM (
+    SELECT page_id, string_split('then ' || layer || ']]' || {NL} || text || {NL}, ' ') AS t FROM docs)),
+runs AS (SELECT DISTINCT regexp_extract(token, '^[a-z]+') AS run FROM tokens),
+best AS (
+  SELECT run, arg_max(w, words.n) AS w FROM (SELECT run, unnest(range(1, length(run) + 1)) AS n FROM runs) r
+  JOIN words ON w = substr(run, 1, r.n) WHERE words.n % 4 <> 0 GROUP BY run),
+hits AS (
+  SELECT page_id, i, token, CASE WHEN i > 1 THEN w END AS w
+  FROM tokens LEFT JOIN best ON run = regexp_extract(token, '^[a-z]+')),
+bodies AS (
+  SELECT page_id, '[[the_' || doc_id || '|' || free || '<!-- AUTO-GENERATED:l2ref -->' || {NL} || 'the ' || section
+    || {NL} || '<!-- /AUTO-GENERATED:l2ref -->' AS body
+  FROM docs JOIN (SELECT page_id, string_agg(CASE WHEN w IS NULL THEN token
+    ELSE reverse(w) || '~' || substr(token, length(w) + 1) END, ' ' ORDER BY i) AS free FROM hits GROUP BY page_id) USING (page_id)),
+counted AS (SELECT page_id, w, count(*) AS c, min(i) AS first FROM hits WHERE w IS NOT NULL GROUP BY page_id, w),
+audits AS (
+  SELECT page_id, CAST(sum(c) AS BIGINT) AS replaced, string_agg(' ' || w || '=' || c, ',' ORDER BY c DESC, first) AS shown
+  FROM counted GROUP BY page_id),
+after AS (
+  SELECT DISTINCT page_id, regexp_extract(token, '^[a-z]+') AS run
+  FROM (SELECT page_id, unnest(string_split(body, ' ')[2:]) AS token FROM bodies)),
+noted AS (
+  SELECT page_id, string_agg(' ' || w, ',' ORDER BY w) AS shown FROM (
+    SELECT DISTINCT page_id, w FROM (SELECT page_id, run, unnest(range(1, length(run) + 1)) AS n FROM after) a
+    JOIN words ON w = substr(run, 1, a.n) WHERE words.n % 4 = 0) GROUP BY page_id)
+SELECT page_id, md5(body) AS body_md5, coalesce(replaced, 0) AS replaced, md5(coalesce(audits.shown, '')) AS audit_md5,
+  md5(coalesce(noted.shown, '')) AS notes_md5
+FROM bodies LEFT JOIN audits USING (page_id) LEFT JOIN noted USING (page_id)""")
 put("normalize_audit", f"WITH {LEDGER_PAGES} SELECT * FROM audit")
 put("unresolved_notes", f"WITH {LEDGER_PAGES} SELECT * FROM notes")
 put("audit_rows", f"""WITH {LEDGER_PAGES} SELECT page_id, {lit(RUN)} AS run, seq, name, representative, confidence,

@@ -652,6 +652,18 @@ def normalize_names(spark, d):
     )
 
 
+@query
+def normalize_names_large(spark, d):
+    done = ledger.normalize_names(si.ledger_pages(spark, d), si.vocabulary_ledger(spark, d))
+    shown = F.transform("audit", lambda a: F.concat(a["name"], F.lit("="), a["replaced"]))
+    return done.select(
+        "page_id", F.md5("body").alias("body_md5"),
+        F.aggregate("audit", F.lit(0).cast("bigint"), lambda t, a: t + a["replaced"]).alias("replaced"),
+        F.md5(F.array_join(shown, ",")).alias("audit_md5"),
+        F.md5(F.array_join(F.transform("notes", lambda n: n["name"]), ",")).alias("notes_md5"),
+    )
+
+
 @query
 def normalize_audit(spark, d):
     done = ledger.substitute(si.ledger_pages(spark, d), si.word_ledger(spark))

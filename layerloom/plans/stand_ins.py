@@ -60,6 +60,19 @@ def word_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(WORD_LEDGER, schemas.LEDGER)
 
 
+def vocabulary_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name per word in the documents, with the space before it; words of four, eight, ... letters are unverified.
+
+    Many names begin others, so the longest one has to be found.
+    """
+    words = F.explode(F.split("text", " "))
+    listed = table(spark, sf_dir, "documents").select(words.alias("word")).filter(F.col("word").rlike("^[a-z]+$")).distinct()
+    confidence = F.when(F.length("word") % 4 == 0, UNVERIFIED).otherwise(EXPLICIT)
+    return listed.select(
+        text(" ", F.col("word")).alias("name"), text(" ", F.reverse("word"), "~").alias("representative"), confidence.alias("confidence")
+    )
+
+
 def arcs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(ARC_RANGES, schemas.ARCS)
 

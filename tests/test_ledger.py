@@ -8,6 +8,7 @@ from layerloom import schemas
 from layerloom.fixed_values import EXPLICIT, SAME_SPELLING, UNVERIFIED
 from layerloom.functions import skew
 from layerloom.operators import ledger as lg
+from layerloom.operators import name_search
 from layerloom.plans.layers import build_l2
 
 
@@ -26,11 +27,13 @@ def run(spark, entries, body, **limits):
     return done["body"], audit, [n["name"] for n in done["notes"]]
 
 
-@pytest.fixture(params=["inline", "searched", "joined"])
+@pytest.fixture(params=["inline", "one shard", "many shards"])
 def limits(request, monkeypatch):
-    """The ways a ledger is applied: written into the query, broadcast, or joined when very large."""
-    if request.param == "joined":
+    """The ways a ledger is applied: written into the query, searched in one shard, or in shards of one name each."""
+    if request.param == "many shards":
         monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(skew, "HOT_ROWS", 1)
+        monkeypatch.setattr(name_search, "SHARD_NAMES", 1)
     return {} if request.param == "inline" else {"inline_names": 0}
 
 
@@ -89,6 +92,42 @@ def test_names_with_regex_characters(spark, limits):
     assert body == "dot axb ring cash d"
 
 
+def test_a_name_may_begin_before_a_protected_span(spark, limits):
+    entries = [("a[[", "A", EXPLICIT), ("b", "B", EXPLICIT)]
+    body, audit, _ = run(spark, entries, "a[[b|b]] [[b|b](b) ]b", **limits)
+    assert body == "AB|B]] [[b|B](b) ]B"
+    assert audit == [("b", "B", 4), ("a[[", "A", 1)]
+
+
+def test_repeated_page_ids_and_names_and_null_texts(spark, limits):
+    source = [("p", "a b"), ("p", "a b"), ("p", "b c"), (None, "c"), ("q", None), ("r", "")]
+    book = ledger(
+        spark, ("a", "2", EXPLICIT), ("a", "1", SAME_SPELLING), ("a", "0", UNVERIFIED), ("b", "x", EXPLICIT),
+        ("b", None, EXPLICIT), ("c", "z", UNVERIFIED), ("c", "y", UNVERIFIED), ("", "e", EXPLICIT), (None, "e", EXPLICIT),
+    )
+    done = lg.normalize_names(spark.createDataFrame(source, "page_id string, body string"), book, **limits)
+    got = [(r["page_id"], r["body"], [tuple(a) for a in r["audit"]], [tuple(n) for n in r["notes"]]) for r in done.collect()]
+    both = [("a", "1", SAME_SPELLING, 1), ("b", "x", EXPLICIT, 1)]
+    # The note's representative is that of the lowest ord.
+    assert sorted(got, key=repr) == sorted([
+        ("p", "1 x", both, []), ("p", "1 x", both, []), ("p", "x c", [("b", "x", EXPLICIT, 1)], [("c", "z")]),
+        (None, "c", [], [("c", "z")]), ("q", None, [], []), ("r", "", [], []),
+    ], key=repr)
+
+
+def test_one_shard_and_eight_give_the_same(spark, monkeypatch):
+    rng = random.Random(11)
+    names = {"".join(rng.choices("abc", k=rng.randint(1, 6))): rng.choice([EXPLICIT, UNVERIFIED]) for _ in range(160)}
+    book = ledger(spark, *[(n, f"<{n}>", c) for n, c in names.items()])
+    source = pages(spark, *["".join(rng.choices("abcd[|](", k=200)) for _ in range(30)])
+    found = []
+    for size in (1_000, len(names) // 8):
+        monkeypatch.setattr(name_search, "SHARD_NAMES", size)
+        found.append(rows(lg.normalize_names(source, book, inline_names=0).selectExpr("page_id", "body", "string(audit)", "string(notes)")))
+    assert found[0] == found[1]
+    assert found[0] == rows(lg.normalize_names(source, book).selectExpr("page_id", "body", "string(audit)", "string(notes)"))
+
+
 def test_empty_ledger(spark):
     body, audit, notes = run(spark, [], "text")
     assert (body, audit, notes) == ("text", [], [])
