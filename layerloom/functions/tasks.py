@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """The rows, computed now and kept in the shared folder: lost executors do not lose them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The rows, computed now and kept as Parquet in the shared folder: lost executors do not lose them."""
+    path = f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

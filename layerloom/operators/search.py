@@ -7,23 +7,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from layerloom.functions.explode import explode_rows, worked_out
-from layerloom.functions.skew import join_dimension, measured_small
+from layerloom.functions.skew import join_dimension
+from layerloom.functions.tasks import kept
+from layerloom.operators import blocks, cells
 
 K1 = 1.2
 B = 0.75
 RRF_OFFSET = 60
 WORD = r"[\p{L}\p{N}]+"
 
-# Query vectors held in memory at once; more queries are answered in further passes.
+# Queries held in memory at once; more are answered in further passes.
 QUERY_BATCH = 1_024
 
 # Scores are rounded before ranking, so ranks do not depend on the order sums are taken in.
-SCORE_DIGITS = 6
+SCORE_DIGITS = blocks.SCORE_DIGITS
+
+RANKED = "query_id bigint, doc_id bigint, score double"
 
 
 def words(text: Column) -> Column:
@@ -74,7 +80,8 @@ def doc_sizes(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Inverted index with document frequency: (term, doc_id, length, tf, df)."""
-    index = postings(docs, doc_id, text)
+    # Counted once: the document frequencies and the index both come from the kept postings.
+    index = kept(postings(docs, doc_id, text))
     stats = term_stats(index)
     # The document frequency is the number of postings per word: words hold their own skew.
     rows = stats.withColumnRenamed("df", "rows")
@@ -89,53 +96,119 @@ def _ranked(scores: DataFrame, k: int, item: str) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    """Distinct (query_id, term) of queries (query_id, query)."""
-    found = F.array_distinct(words(F.col("query")))
-    return explode_rows(queries, found, "query_id", item="term").drop("_at")
+def _share(n_terms: Column, mean: float) -> Column:
+    """What a posting adds to a score, before the weight of its term."""
+    return F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * n_terms / mean))
 
 
-def bm25_scores(hits: DataFrame, sizes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """BM25 of every (query, document) pair that shares a word.
+def _weight(n: int, df: int) -> float:
+    return math.log(1 + (n - df + 0.5) / (df + 0.5))
 
-    ``hits`` are the postings of the wanted words, ``sizes`` is ``doc_sizes`` and ``wanted`` is
-    ``query_terms``.
-    """
-    size = sizes.select(F.struct("n", "mean")).scalar()
-    n, mean = size["n"], size["mean"]
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = wanted.join(term_stats(hits), "term").select("query_id", "term", idf.alias("idf"))
-    # One weighted row per wanted word, so measuring those is enough.
-    small = measured_small(wanted)
-    # A posting's own share is worked out before it meets the queries that ask for its word.
-    norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / mean)
-    shares = worked_out(hits.select("term", "doc_id", (F.col("tf") * (K1 + 1) / norm).alias("share")))
-    pairs = join_dimension(shares, weighted, ["term"], "inner", salt_by=["doc_id"], small=small)
-    return pairs.groupBy("query_id", "doc_id").agg(
-        F.round(F.sum(F.col("idf") * F.col("share")), SCORE_DIGITS).alias("score")
-    )
 
+def _query_batches(queries: DataFrame, size: int) -> Iterator[dict[int, list[str]]]:
+    """The distinct terms of the queries, about ``size`` queries at a time."""
+    total = queries.count()
+    parts = max(1, math.ceil(total / (size / 2))) if total > size else 1
+    share = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+    terms = F.array_distinct(words(F.col("query"))).alias("terms")
+    for part in range(parts):
+        rows = queries.filter(share == part).select("query_id", terms).collect()
+        asked: dict[int, list[str]] = {}
+        for r in rows:
+            asked.setdefault(r["query_id"], []).extend(r["terms"] or [])
+        if any(asked.values()):
+            yield asked
 
-def bm25(docs: DataFrame, queries: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Best k documents per query, straight from text; other words never reach a shuffle."""
-    wanted = query_terms(queries)
-    asked = join_dimension(
-        postings(docs, doc_id, text), wanted.select("term").distinct(), ["term"], "left_semi",
-        salt_by=["doc_id"],
-    )
-    return _ranked(bm25_scores(asked, doc_sizes(docs, text), wanted), k, "doc_id")
 
+def _weights(asked: dict[int, list[str]], n: int, df: dict[str, int]) -> dict[int, dict[str, float]]:
+    return {q: {t: _weight(n, df[t]) for t in terms if t in df} for q, terms in asked.items()}
 
-def bm25_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The same from a stored ``build_index`` table."""
-    sizes = index.select("doc_id", "length").distinct().agg(
-        F.count("*").alias("n"), F.avg("length").alias("mean")
-    )
-    wanted = query_terms(queries)
-    hits = join_dimension(
-        index.drop("df"), wanted.select("term").distinct(), ["term"], "left_semi", salt_by=["doc_id"]
-    )
-    return _ranked(bm25_scores(hits, sizes, wanted), k, "doc_id")
+
+def _hits(docs: DataFrame, terms: list[str], doc_id: str, text: str) -> DataFrame:
+    """(doc_id, length, term, tf) of wanted terms, and of the empty term once per document with words.
+
+    One pass over the text. Words are cut in the JVM; a batch of them is counted at once, so that only wanted
+    ones leave the task.
+    """
+    wanted = ["", *terms]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(wanted, pa.string())
+        for batch in batches:
+            listed = batch.column("words")
+            lengths = listed.value_lengths().to_numpy(zero_copy_only=False)
+            code = pc.fill_null(pc.index_in(listed.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            hit = code > 0
+            found, tf = np.unique(owner[hit] * len(wanted) + code[hit], return_counts=True)
+            filled = np.flatnonzero(lengths)
+            rows = np.concatenate([filled, found // len(wanted)])
+            term = np.concatenate([np.zeros(len(filled), np.int64), found % len(wanted)])
+            columns = [batch.column("doc_id").take(pa.array(rows)), pa.array(lengths[rows].astype(np.int64)), known.take(pa.array(term))]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(np.concatenate([np.ones(len(filled), np.int64), tf]))], names=["doc_id", "length", "term", "tf"]
+            )
+
+    none = F.array().cast("array<string>")
+    listed = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(words(F.col(text)), none).alias("words"))
+    return listed.mapInArrow(count, "doc_id bigint, length bigint, term string, tf bigint")
+
+
+def bm25(
+    docs: DataFrame, queries: DataFrame, k: int, doc_id: str = "doc_id", text: str = "text", query_batch: int = QUERY_BATCH,
+) -> DataFrame:
+    """Best k documents per query, straight from text; ids are unique.
+
+    The postings of the wanted words are counted in one pass and kept; sizes and document frequencies follow
+    from them. Scores are worked out per range of documents (``blocks``), so k rows per range and query are
+    shuffled, not one per query and document. More than ``query_batch`` queries take further passes.
+    """
+    best = docs.sparkSession.createDataFrame([], RANKED)
+    for asked in _query_batches(queries, query_batch):
+        terms = sorted({t for found in asked.values() for t in found})
+        hits = kept(_hits(docs, terms, doc_id, text))
+        stats = {r["term"]: r for r in hits.groupBy("term").agg(F.count("*").alias("docs"), F.sum("length").alias("length")).collect()}
+        whole = stats.pop("", None)
+        if not stats:
+            continue
+        df = {t: r["docs"] for t, r in stats.items()}
+        share = _share(F.col("length"), whole["length"] / whole["docs"])
+        # As many hits as documents that hold each term.
+        ranges = blocks.ranges_for(sum(df.values()), _tasks(docs))
+        cut = blocks.posting_blocks(hits.filter("term <> ''"), share, ranges)
+        best = best.unionByName(blocks.top_by_range(cut, _weights(asked, whole["docs"], df), k))
+    return _ranked(best, k, "doc_id")
+
+
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def index_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """A stored form of the index: the posting blocks of every term, beside the number of documents ``n``.
+
+    Write it by ``range`` and sorted by ``term``: a search reads the blocks of its own terms.
+    """
+    found = kept(postings(docs, doc_id, text))
+    sizes = doc_sizes(docs, text).first()
+    ranges = blocks.ranges_for(found.count(), _tasks(docs))
+    cut = blocks.posting_blocks(found, _share(F.col("length"), sizes["mean"] or 1.0), ranges)
+    return cut.withColumn("n", F.lit(sizes["n"]))
+
+
+def bm25_indexed(index: DataFrame, queries: DataFrame, k: int, query_batch: int = QUERY_BATCH) -> DataFrame:
+    """``bm25`` from an ``index_blocks`` table: only blocks of the queries' terms are read, and of them only as
+    many scored as the bounds ask for."""
+    best = index.sparkSession.createDataFrame([], RANKED)
+    for asked in _query_batches(queries, query_batch):
+        terms = sorted({t for found in asked.values() for t in found})
+        wanted = index.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+        mine = index.join(F.broadcast(wanted), "term", "left_semi")
+        rows = mine.groupBy("term").agg(F.sum(F.size("docs")).alias("df"), F.max("n").alias("n")).collect()
+        if rows:
+            weights = _weights(asked, rows[0]["n"], {r["term"]: r["df"] for r in rows})
+            best = best.unionByName(blocks.top_by_range(mine, weights, k))
+    return _ranked(best, k, "doc_id")
 
 
 def _nearest(vectors: DataFrame, rows: list, k: int) -> DataFrame:
@@ -198,6 +271,12 @@ def vector_topk(vectors: DataFrame, queries: DataFrame, k: int, query_batch: int
     return _ranked(best, k, "vec_id")
 
 
+def vector_topk_indexed(vectors: DataFrame, queries: DataFrame, k: int, n_cells: int | None = None) -> DataFrame:
+    """``vector_topk`` over k-means cells: the same rows, queries stay rows and meet only cells whose bound allows."""
+    vectors, queries = vectors.select(F.col("vec_id").cast("bigint"), "vector"), queries.select(F.col("query_id").cast("bigint"), "vector")
+    return _ranked(cells.nearest(vectors, queries, k, n_cells), k, "vec_id")
+
+
 def reciprocal_rank_fusion(rankings: list[DataFrame], k: int) -> DataFrame:
     """Fuse rankings of (query_id, doc_id, rank) by summed 1 / (60 + rank)."""
     together = rankings[0].select("query_id", "doc_id", "rank")

@@ -620,7 +620,9 @@ def ranked(source: str, item: str, k: int) -> str:
 
 put("bm25_topk", f"""WITH {bm25("SELECT item_id AS query_id, text AS query FROM benchmark")}
 SELECT query_id, doc_id, score, rank FROM {ranked("scores", "doc_id", 10)}""")
+put("bm25_topk_indexed", ORACLES["bm25_topk"])
 put("vector_topk", f"WITH {CENTROIDS} SELECT query_id, vec_id, score, rank FROM {ranked('near', 'vec_id', 10)}")
+put("vector_topk_indexed", ORACLES["vector_topk"])
 put("hybrid_topk", f"""WITH {bm25("SELECT item_id AS query_id, text AS query FROM benchmark")},
 {CENTROIDS}, fused AS (
   SELECT query_id, doc_id, round(sum(1.0 / (60 + rank)), 6) AS score FROM (

@@ -829,12 +829,25 @@ def bm25_topk(spark, d):
     return found.select("query_id", "doc_id", "score", big("rank"))
 
 
+@query
+def bm25_topk_indexed(spark, d):
+    index = search.index_blocks(si.table(spark, d, "documents"))
+    found = search.bm25_indexed(index, si.text_queries(spark, d), 10)
+    return found.select("query_id", "doc_id", "score", big("rank"))
+
+
 @query
 def vector_topk(spark, d):
     found = search.vector_topk(si.vectors(spark, d), si.centroids(spark, d), 10)
     return found.select("query_id", "vec_id", "score", big("rank"))
 
 
+@query
+def vector_topk_indexed(spark, d):
+    found = search.vector_topk_indexed(si.vectors(spark, d), si.centroids(spark, d), 10)
+    return found.select("query_id", "vec_id", "score", big("rank"))
+
+
 @query
 def hybrid_topk(spark, d):
     asked = si.centroids(spark, d)
