@@ -45,6 +45,13 @@ def chapter_drift(nav: DataFrame, page_id: str = "page_id") -> DataFrame:
     return worked_out(counted).filter(differs)
 
 
+def heading_drift(references: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """Reference pages whose first heading is not their canonical name, such as one left in template brackets."""
+    shown = F.regexp_extract("body", r"(?m)^# (.*)$", 1)
+    counted = references.select(F.col(page_id).alias("page_id"), F.col("canonical_name").alias("expected"), shown.alias("shown"))
+    return worked_out(counted).filter("expected IS NOT NULL AND expected <> shown")
+
+
 def index_drift(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     """Index pages whose printed total differs from their bullets."""
     counted = pages.select(
@@ -182,6 +189,10 @@ def lint_counts(drift: DataFrame) -> DataFrame:
     return finding("CNT001", "warning", drift, "page_id", shown)
 
 
+def lint_headings(drift: DataFrame) -> DataFrame:
+    return finding("HDG001", "warning", drift, "page_id", F.col("shown"))
+
+
 def lint_lists(drift: DataFrame) -> DataFrame:
     rows = drift.filter("drift <> 'none'")
     return finding("LST001", "warning", rows, "episode_id", F.col("drift"))

@@ -75,9 +75,11 @@ def render_nav(
         (2, F.concat(F.lit("id: nav/"), F.col("chapter"))), (3, announced), (4, F.lit("---")),
         (5, empty), (6, F.concat(F.lit("# "), F.col("title"))), (7, empty),
         (20, counted(CLAIM_HEADING, "claims")), (21, empty), (23, empty),
-        (30, counted(MYSTERY_HEADING, "mysteries")), (31, empty), (33, empty),
-        (40, counted(REFERENCE_HEADING, "refs")), (41, empty),
+        (30, counted(MYSTERY_HEADING, "mysteries")), (31, empty),
     ]
+    # Claims and mysteries are announced at any count, references only where there are some.
+    cited = [(33, empty), (40, counted(REFERENCE_HEADING, "refs")), (41, empty)]
+    fixed += [(rank, F.when(F.col("refs") > 0, line)) for rank, line in cited]
     for rank, name, mark in ((8, "heading", "## "), (10, "breadcrumb", "")):
         if name in optional:
             fixed += [(rank, F.concat(F.lit(mark), F.col(name))), (rank + 1, F.when(F.col(name).isNotNull(), ""))]

@@ -360,6 +360,8 @@ put("chapter_drift", f"""WITH counted AS (
     CAST(len(list_filter(t, lambda x: regexp_matches(x, '^[A-Z]'))) AS BIGINT) AS actual_mysteries,
     0::BIGINT AS actual_refs FROM counted)
 SELECT * FROM drift WHERE declared_claims <> actual_claims OR declared_mysteries <> actual_mysteries""")
+put("heading_drift", f"""WITH {DOCS} SELECT page_id, page_id AS expected, '{{' || page_id || '}}' AS shown
+FROM docs WHERE layer = 'fr'""")
 put("index_drift", f"""WITH {DOCS} SELECT page_id, CAST(length(text) % 20 AS BIGINT) AS declared,
   CAST(len(string_split(text, {NL})) AS BIGINT) AS actual FROM docs
 WHERE length(text) % 20 <> len(string_split(text, {NL}))""")
@@ -512,7 +514,8 @@ NAV_LINES = " UNION ALL ".join(
         lines(3, "counts", "''", "'description: 第' || chapter[3:] || '話のアナロジー ' || claims || ' 件・伏線 ' "
               "|| mysteries || ' 件・外部参照 ' || refs || ' 件'"),
         lines(4, "counts", "''", "'---'"),
-        *[lines(r, "counts", "''", "''") for r in (5, 7, 11, 21, 23, 31, 33, 41)],
+        *[lines(r, "counts", "''", "''") for r in (5, 7, 11, 21, 23, 31)],
+        *[lines(r, "(SELECT * FROM counts WHERE refs > 0)", "''", "''") for r in (33, 41)],
         lines(6, "counts", "''", "'# Chapter ' || chapter"),
         lines(8, "(SELECT * FROM counts WHERE chapter < 'ch5030')", "''", "'## Part of ' || chapter"),
         lines(9, "(SELECT * FROM counts WHERE chapter < 'ch5030')", "''", "''"),
@@ -521,7 +524,7 @@ NAV_LINES = " UNION ALL ".join(
         lines(22, "claims", "claim_id", "'- [[' || claim_id || '|' || title || ']] `[' || label || ']`'"),
         lines(30, "counts", "''", f"{lit(MYSTERY_HEADING)} || mysteries || {lit(COUNT_END)}"),
         lines(32, "mysteries", "mystery_id", "'- [[' || mystery_id || '|' || title || ']]'"),
-        lines(40, "counts", "''", f"{lit(REFERENCE_HEADING)} || refs || {lit(COUNT_END)}"),
+        lines(40, "(SELECT * FROM counts WHERE refs > 0)", "''", f"{lit(REFERENCE_HEADING)} || refs || {lit(COUNT_END)}"),
         lines(42, "(SELECT DISTINCT chapter, object_id FROM claims)", "object_id", "'- [[' || object_id || ']]'"),
     ]
 )

@@ -496,6 +496,14 @@ def chapter_drift(spark, d):
     )
 
 
+@query
+def heading_drift(spark, d):
+    # French pages still show their name in template brackets.
+    name = F.when(F.col("layer") == "fr", si.text("{", F.col("page_id"), "}")).otherwise(F.col("page_id"))
+    pages = si.document_pages(spark, d).withColumns({"canonical_name": F.col("page_id"), "body": si.text("<!-- note -->\n\n# ", name, "\n\n", F.col("text"))})
+    return quality.heading_drift(pages)
+
+
 @query
 def index_drift(spark, d):
     shown = F.regexp_replace("text", r"(?m)^", "- [x](./x.md) ")
