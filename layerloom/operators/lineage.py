@@ -89,7 +89,7 @@ def latest_run(pages: DataFrame, key: str = "page_id", run: str = "run") -> Data
     return pages.groupBy(key).agg(F.max_by(row, order).alias("_row")).select(key, "_row.*")
 
 
-def _moved(old: DataFrame, new: DataFrame, key: str, text: str) -> DataFrame:
+def moved_keys(old: DataFrame, new: DataFrame, key: str, text: str) -> DataFrame:
     """Keys whose texts differ, with ``_old`` and ``_new``: whether each side has the key."""
 
     def marked(df: DataFrame, name: str) -> DataFrame:
@@ -108,7 +108,7 @@ def changed_pages(old: DataFrame, new: DataFrame, key: str = "path", text: str =
     Keys and checksums are compared first; texts of unchanged pages are not shuffled while the list
     of changed keys is measured small.
     """
-    moved = _moved(old, new, key, text).filter("_new").select(key)
+    moved = moved_keys(old, new, key, text).filter("_new").select(key)
     return join_dimension(new, moved, [key], "left_semi")
 
 
@@ -120,7 +120,7 @@ def change_log(
     Keys and checksums are compared first; texts are fetched for the differing keys only.
     """
     change = F.when(~F.col("_old"), "added").when(~F.col("_new"), "removed").otherwise("changed")
-    moved = _moved(old, new, key, text).select(key, change.alias("change"))
+    moved = moved_keys(old, new, key, text).select(key, change.alias("change"))
     before, after = (
         join_dimension(df.select(key, F.col(text).alias(name)), moved.select(key), [key], "left_semi")
         for df, name in ((old, "before"), (new, "after"))

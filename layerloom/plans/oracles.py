@@ -550,6 +550,26 @@ put("render_reference", f"""WITH {CLAIMS}, refs AS (
   SELECT object_id, object, count(*) AS n FROM claims GROUP BY object_id, object), lines AS ({REF_LINES})
 {numbered("ref_id")}""")
 
+# --- upkeep --------------------------------------------------------------------------------------
+
+# The stored aggregates and their deltas must give what a recount gives.
+put("chapter_counts_delta", ORACLES["chapter_counts"])
+put("backlinks_delta", f"""WITH {CLAIMS} SELECT object_id AS ref_id, claim_id, statement, count(*) AS uses
+FROM claims GROUP BY object_id, claim_id, statement""")
+put("manifest_diff", f"""WITH {DOCS}, sums AS (
+  SELECT *, 'sha256:' || sha256(text) AS now, 'sha256:' || sha256(text || '.') AS dotted FROM docs)
+SELECT path, 'changed' AS change, dotted AS before, now AS after FROM sums WHERE layer = 'fr'
+UNION ALL SELECT path, 'added', '', now FROM sums WHERE layer = 'es' AND doc_id % 3 <> 2
+UNION ALL SELECT path || '.old', 'removed', now, '' FROM sums WHERE layer = 'es' AND doc_id % 3 = 1""")
+put("ledger_closure", f"""WITH RECURSIVE {OBS}, {ENTITY_LEDGER}, onward AS (SELECT * FROM ledger WHERE name <> representative), walk AS (
+  SELECT name, name AS node, 0::BIGINT AS steps FROM ledger
+  UNION ALL SELECT walk.name, onward.representative, steps + 1 FROM walk JOIN onward ON onward.name = walk.node
+    WHERE steps <= 2 * (SELECT count(*) FROM ledger)),
+ends AS (SELECT name, node, steps FROM walk WHERE node NOT IN (SELECT name FROM onward)),
+loops AS (SELECT name, min(node) AS low FROM walk WHERE steps >= (SELECT count(*) FROM ledger) GROUP BY name)
+SELECT ledger.name, coalesce(ends.node, loops.low) AS end_name, coalesce(ends.steps, -1) AS depth, ends.node IS NULL AS in_cycle
+FROM ledger LEFT JOIN ends USING (name) LEFT JOIN loops USING (name)""")
+
 # --- quality -------------------------------------------------------------------------------------
 
 PLAIN = f"""{DOCS}, plain AS (SELECT *, {unmarked(marked("text"))} AS new_text FROM docs)"""
@@ -561,6 +581,7 @@ SELECT 'old/' || path AS path, 'T1' AS rule, 'removed' AS change, md5(text) AS b
   FROM plain WHERE layer = 'es'
 UNION ALL SELECT path, 'T1', 'added', md5(''), md5(new_text) FROM plain WHERE layer = 'es'
 UNION ALL SELECT path, 'T1', 'changed', md5(text), md5(new_text) FROM plain WHERE layer <> 'es' AND new_text <> text""")
+put("change_hunks", f"WITH {PLAIN} SELECT path, md5(new_text) AS text_md5 FROM plain WHERE new_text <> text")
 put("lint_findings", f"""WITH {CLAIMS}, {CITED}, {KNOWN}, {DOCS}, {DRIFT}, list_drift AS (
   SELECT 'O_' || event_id || '_summary' AS episode_id, event_type FROM obs)
 SELECT 'LNK003' AS rule, 'error' AS severity, CAST(page_id AS VARCHAR) AS path, target AS detail FROM cited

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from layerloom.functions import rewrite as rw
 from layerloom.functions import text as tx
-from layerloom.operators import filters, ledger, lineage, links, quality, render, rollup, search
+from layerloom.operators import closure, delta, filters, hunks, ledger, lineage, links, manifest, quality, render, rollup, search
 from layerloom.operators import structure as st
 from layerloom.plans import stand_ins as si
 from layerloom.plans.layers import build_l2
@@ -749,6 +749,71 @@ def render_reference(spark, d):
     return made.select("ref_id", "n", "line")
 
 
+# --- upkeep ---------------------------------------------------------------------------------
+
+
+def _claim_versions(spark, d):
+    """Claims as they were and as they are: some are new, some were cited elsewhere, some are gone."""
+    columns = ["event_id", "chapter", "object_id", "claim_id", "statement"]
+    now = si.claims(spark, d).select(*columns)
+    number = F.col("event_id")
+    before = now.filter(number % 7 != 0).withColumns({
+        "chapter": F.when(number % 11 == 0, "ch5001").otherwise(F.col("chapter")),
+        "object_id": F.when(number % 5 == 0, "ME_old").otherwise(F.col("object_id")),
+    })
+    gone = now.filter(number % 13 == 0).withColumns({"event_id": -1 - number, "object_id": F.lit("ME_gone")})
+    return before.unionByName(gone), now, columns[1:]
+
+
+@query
+def chapter_counts_delta(spark, d):
+    before, now, columns = _claim_versions(spark, d)
+    asked = si.mysteries(spark, d).select("mystery_id", "chapter")
+    then = asked.filter(F.xxhash64("mystery_id") % 3 != 0)
+    claims = delta.signed_changes(before, now, "event_id", columns)
+    mysteries = delta.signed_changes(then, asked, "mystery_id", ["chapter"])
+    totals = delta.fold(delta.entry_counts(before, "claims"), delta.entry_counts(claims, "claims"), ["chapter"], ["claims"])
+    opened = delta.fold(delta.entry_counts(then, "mysteries"), delta.entry_counts(mysteries, "mysteries"), ["chapter"], ["mysteries"])
+    uses = delta.fold(delta.reference_uses(before), delta.reference_uses(claims), ["chapter", "ref_id"], ["uses"])
+    return delta.chapter_counts(si.chapters(spark, d), totals, opened, uses)
+
+
+@query
+def backlinks_delta(spark, d):
+    before, now, columns = _claim_versions(spark, d)
+    changes = delta.signed_changes(before, now, "event_id", columns)
+    return delta.fold(delta.backlink_uses(before), delta.backlink_uses(changes), ["ref_id", "claim_id", "statement"], ["uses"])
+
+
+@query
+def manifest_diff(spark, d):
+    now = si.document_pages(spark, d).select("doc_id", "layer", "section", "path", "text")
+    spanish = F.col("layer") == "es"
+    # French pages had another text, some Spanish ones are new and others gone; the rest is as it was.
+    before = now.filter(~spanish | (F.col("doc_id") % 3 != 0)).withColumns({
+        "text": F.when(F.col("layer") == "fr", F.concat("text", F.lit("."))).otherwise(F.col("text")),
+        "path": F.when(spanish & (F.col("doc_id") % 3 == 1), F.concat("path", F.lit(".old"))).otherwise(F.col("path")),
+    })
+    return manifest.manifest_diff(manifest.leaves(before), manifest.leaves(now)).select("path", "change", blank("before"), blank("after"))
+
+
+@query
+def ledger_closure(spark, d):
+    return closure.ledger_closure(si.entity_ledger(spark, d)).select(
+        "name", "end_name", F.coalesce("depth", F.lit(-1)).alias("depth"), "in_cycle"
+    )
+
+
+@query
+def change_hunks(spark, d):
+    old = si.document_pages(spark, d).select("path", "text")
+    new = ledger.substitute(old, si.word_ledger(spark), "path", "text").select("path", "text")
+    found = hunks.change_hunks(lineage.change_log(old, new, "T1"))
+    # What the hunks make of the old text must be the new one.
+    made = hunks.patched(old.join(found.select("path"), "path", "left_semi"), found)
+    return made.select("path", F.md5("text").alias("text_md5"))
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
