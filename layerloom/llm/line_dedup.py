@@ -162,8 +162,8 @@ def line_links(all_lines: DataFrame) -> DataFrame:
     bitmap = _bitmap(sized.select(F.explode("s.keys").alias("key")), words).scalar()
     # Most probes equal no segment of any line: they go here, before they meet a shuffle.
     probed = worked_out(long.select("h", "line", F.array(*probes).alias("_probes")))
-    each = [F.get("_probes", F.lit(k)) for k in range(len(probes))]
-    hit = F.array_distinct(F.array_compact(F.array(*[F.when(_in_bitmap(bitmap, key, words), key) for key in each])))
+    # The bitmap is named once: every name of a scalar would travel with each task as a copy of its own.
+    hit = let(bitmap, lambda bits: F.array_distinct(F.filter("_probes", lambda key: _in_bitmap(bits, key, words))))
     hits = worked_out(probed.select("h", "line", hit.alias("keys"))).filter(F.size("keys") > 0)
     hits = durable(hits.select("h", F.struct(*bounds, "keys").alias("s")).groupBy("h").agg(F.first("s").alias("s")))
     index = sized.select(F.col("h").alias("a"), F.col("s.p").alias("pa"), F.col("s.l").alias("la"), F.explode("s.keys").alias("key"))
