@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,11 +24,22 @@ from layerloom.functions.text import text_or_null
 
 @dataclass(frozen=True)
 class LinkForm:
-    """How one kind of link is written: its pattern and the groups of its parts."""
+    """How one kind of link is written: its pattern, the groups of its parts, and what it points to.
+
+    ``points_to`` reads the id from the target and the display, null for links of another kind; without it
+    the target is the id.
+    """
 
     pattern: str
     target: int
     display: int
+    points_to: Callable[[Column, Column], Column] | None = None
+
+    def parts(self, link: Column) -> tuple[Column, Column]:
+        """The id that a written link points to, and its display."""
+        target = F.regexp_extract(link, self.pattern, self.target)
+        display = F.regexp_extract(link, self.pattern, self.display)
+        return self.points_to(target, display) if self.points_to else target, display
 
 
 WIKI = LinkForm(WIKILINK, target=1, display=3)
@@ -37,12 +47,20 @@ MARKDOWN = LinkForm(MARKDOWN_LINK, target=2, display=1)
 
 
 def cite_form(site: str) -> LinkForm:
-    """Paragraph cites `` [`ch12¶3`](<site>/L1/episodes/ch12) ``; the target is the chapter."""
-    return LinkForm(
-        rf"\[(`ch\d+¶\d+`)\]\({re.escape(site)}/(?:L1/|L2/)?episodes/(ch\d+)/?\)",
-        target=2,
-        display=1,
-    )
+    """Markdown links that cite a paragraph: shown as code, with the address of an episode below ``site``.
+
+    The id is the last step of the address, where the step before it is the episodes folder and the display
+    names the same chapter before its paragraph mark.
+    """
+
+    def chapter(address: Column, display: Column) -> Column:
+        below = F.startswith(address, F.lit(site.rstrip("/") + "/"))
+        steps = F.filter(F.split(address, "/"), lambda step: step != "")
+        last, folder = F.try_element_at(steps, F.lit(-1)), F.try_element_at(steps, F.lit(-2))
+        shown = F.startswith(display, F.concat(F.lit("`"), last, F.lit("¶"))) & F.endswith(display, F.lit("`"))
+        return F.when(below & (folder == "episodes") & shown, last)
+
+    return LinkForm(MARKDOWN_LINK, target=2, display=1, points_to=chapter)
 
 
 def extract_wikilinks(
@@ -131,10 +149,11 @@ def unlink_missing(
 ) -> DataFrame:
     """Turn links to missing targets into their display text; other text is untouched.
 
-    A link is looked up in its page's own layer when ``existing`` names layers. Only ids are joined: the page text travels at most once, beside its own short list of dead
-    targets. Plain text holds no link, so a second run changes nothing.
+    A link is looked up in its page's own layer when ``existing`` names layers. Only ids are joined: the
+    page text travels at most once, beside its own short list of dead targets. Plain text holds no link, so a second run changes nothing.
     """
-    found = F.regexp_extract_all(F.col(text), F.lit(form.pattern), F.lit(form.target))
+    written = F.regexp_extract_all(F.col(text), F.lit(form.pattern), F.lit(0))
+    found = F.array_compact(F.transform(written, lambda link: form.parts(link)[0]))
     on = [c for c in ("layer", "target") if c in existing.columns]
     page = [page_id, *[c for c in on if c != "target"]]
     cited = explode_rows(pages, F.array_distinct(found), *page, item="target").drop("_at")
@@ -144,10 +163,9 @@ def unlink_missing(
     shown = pages.join(per_page, page, "left")
 
     def plain(link: Column) -> Column:
-        target = F.regexp_extract(link, form.pattern, form.target)
-        display = text_or_null(F.regexp_extract(link, form.pattern, form.display))
+        target, display = form.parts(link)
         dead = F.array_contains("_missing", target)
-        return F.when(dead, F.coalesce(display, target)).otherwise(link)
+        return F.when(dead, F.coalesce(text_or_null(display), target)).otherwise(link)
 
     changed = rewrite_pieces(F.col(text), form.pattern, plain)
     return shown.withColumn(

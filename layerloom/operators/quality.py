@@ -220,6 +220,14 @@ def lint_enums(claims: DataFrame) -> DataFrame:
     return finding("REF001", "error", claims.filter(bad_predicate | bad_evidence), "claim_id", detail)
 
 
+def lint_fixable(pages: DataFrame, fixes: Sequence[Fix], key: str = "page_id", text: str = "text") -> DataFrame:
+    """A finding per page and fix whose rewrite would change it; nothing is rewritten here."""
+    rules = F.array(*[F.struct(F.lit(f.rule).alias("rule"), f.rewrite(F.col(text)).alias("after")) for f in fixes])
+    touched = F.filter(rules, lambda r: r["after"] != F.col(text))
+    rows = pages.select(key, F.explode(F.transform(touched, lambda r: r["rule"])).alias("rule"))
+    return rows.select("rule", F.lit("warning").alias("severity"), F.col(key).cast("string").alias("path"), F.lit("fixable").alias("detail"))
+
+
 def lint(findings: Sequence[DataFrame]) -> DataFrame:
     """One findings table from the rule queries."""
     table = findings[0]
@@ -267,8 +275,8 @@ def plan_fixes(
     )
     if findings is None:
         return plan
-    found = findings.select(F.col("path").alias(key), "rule").distinct()
-    return plan.join(found, [key, "rule"], "left_semi")
+    found = findings.select(F.col("path").cast(dict(pages.dtypes)[key]).alias(key), "rule").distinct()
+    return join_dimension(plan, found, [key, "rule"], "left_semi")
 
 
 def apply_fixes(

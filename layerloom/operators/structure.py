@@ -17,7 +17,7 @@ from layerloom.fixed_values import (
 )
 from layerloom.functions import front_matter as fm
 from layerloom.functions import text as tx
-from layerloom.functions.explode import explode_rows
+from layerloom.functions.explode import explode_rows, worked_out
 
 FRONT_MATTER = r"(?s)\A---\n(.*?)\n---\n"
 
@@ -54,14 +54,14 @@ def quote_lines(body: Column) -> Column:
 def _typed_base(pages: DataFrame) -> DataFrame:
     """Parts read from a page by several columns, each taken out of the text once."""
     front = F.col("front_matter")
-    return pages.withColumns(
+    return worked_out(pages.withColumns(
         {
             "_fm": fm.entries(front),
             "_proposed": fm.inline_map(front, "proposed_by"),
             "_reviewed": fm.inline_map(front, "reviewed_by"),
             "_quotes": tx.quotes(quote_lines(F.col("body"))),
         }
-    )
+    ))
 
 
 def _value(key: str) -> Column:

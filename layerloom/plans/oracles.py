@@ -603,6 +603,12 @@ put("fix_plan", f"""WITH {INDEXED}, plans AS (
   UNION ALL SELECT page_id, 'WS001', 'safe', t, {SPACES} FROM indexed
   UNION ALL SELECT page_id, 'AMP001', 'review', t, replace(t, '&amp;', '&') FROM indexed)
 SELECT page_id, rule, safety, md5(before) AS before_md5, md5(after) AS after_md5 FROM plans WHERE before <> after""")
+put("fix_plan_by_findings", f"""WITH {INDEXED}, plans AS (
+  SELECT page_id, 'LNK-DEPTH' AS rule, 'safe' AS safety, t AS before, {DEPTH} AS after FROM indexed
+  UNION ALL SELECT page_id, 'WS001', 'safe', t, {SPACES} FROM indexed
+  UNION ALL SELECT page_id, 'AMP001', 'review', t, replace(t, '&amp;', '&') FROM indexed)
+SELECT page_id, rule, safety, md5(before) AS before_md5, md5(after) AS after_md5 FROM plans
+JOIN pages USING (page_id) WHERE before <> after AND regexp_extract(url, 'example\\.([a-z]+)/', 1) <> 'org'""")
 put("apply_fixes", f"""WITH {INDEXED} SELECT page_id, md5({SPACES}) AS text_md5
 FROM (SELECT page_id, {DEPTH} AS t FROM indexed)""")
 

@@ -879,6 +879,16 @@ def fix_plan(spark, d):
     )
 
 
+@query
+def fix_plan_by_findings(spark, d):
+    pages = si.web_pages(spark, d)
+    # The rules were run over two of three layers, so pages of the third get no proposal.
+    findings = quality.lint_fixable(pages.filter("layer <> 'org'"), FIXES, "page_id", "indexed")
+    return quality.plan_fixes(pages, FIXES, "page_id", "indexed", findings).select(
+        "page_id", "rule", "safety", F.md5("before").alias("before_md5"), F.md5("after").alias("after_md5")
+    )
+
+
 @query
 def apply_fixes(spark, d):
     return quality.apply_fixes(si.web_pages(spark, d), FIXES, ("safe",), "indexed").select(

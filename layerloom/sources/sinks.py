@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.functions.skew import join_dimension
 from layerloom.operators.lineage import changed_pages
 
-# Most lines of one text part of a rendered page, and the most files of one layer and section.
+# Most lines of one text part of a rendered page, and about the bytes of text of one written file.
 PART_LINES = 10_000
-FILES_PER_SECTION = 32
+FILE_BYTES = 256 * 1024 * 1024
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Write pages as Parquet by layer and section, so later reads prune to what they need."""
-    placed = pages.repartition("layer", "section", F.pmod(F.xxhash64("path"), F.lit(FILES_PER_SECTION)))
-    placed.write.mode("errorifexists").partitionBy("layer", "section").parquet(path)
+def write_pages(pages: DataFrame, path: str, text: str = "text") -> None:
+    """Write pages as Parquet by layer and section, so later reads prune to what they need.
+
+    A section gets as many files as its measured text fills; small ones get one.
+    """
+    place = F.to_json(F.struct("layer", "section"), {"ignoreNullFields": "false"})
+    placed = pages.withColumn("_place", place)
+    size = F.sum(F.coalesce(F.octet_length(text), F.lit(0)))
+    files = placed.groupBy("_place").agg(F.greatest(F.ceil(size / FILE_BYTES), F.lit(1)).cast("int").alias("_files"))
+    dealt = join_dimension(placed, files, ["_place"], "left", salt_by=["path"]).drop("_place")
+    spread = dealt.repartition("layer", "section", F.pmod(F.xxhash64("path"), F.col("_files"))).drop("_files")
+    spread.write.mode("errorifexists").partitionBy("layer", "section").parquet(path)
 
 
 def current_pages(base: DataFrame, versions: list[DataFrame], key: str = "path") -> DataFrame:
@@ -45,7 +54,7 @@ def page_text(lines: DataFrame, page: str, part_lines: int = PART_LINES) -> Data
 
 def write_changed(old: DataFrame, new: DataFrame, path: str, key: str = "path", text: str = "text") -> None:
     """Write only the new pages and those whose text differs, as a new version; nothing is edited in place."""
-    write_pages(changed_pages(old, new, key, text), path)
+    write_pages(changed_pages(old, new, key, text), path, text)
 
 
 def append_run_log(log: DataFrame, path: str) -> None:
