@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from layerloom.fixed_values import ELEMENT_LISTS, EVIDENCE_LEVELS, PREDICATES
@@ -134,6 +135,32 @@ def agreement(sample: DataFrame, found: str, expected: str) -> DataFrame:
     )
 
 
+def audit_sample_strata(df: DataFrame, n: int, key: str, stratum: str) -> DataFrame:
+    """The n lowest id hashes of every stratum, the same for any number of partitions.
+
+    Each task keeps its own n lowest per stratum before the shuffle, so no stratum is sorted as a whole.
+    """
+    order = W.partitionBy(stratum).orderBy(F.md5(F.col(key).cast("string")), key)
+    return df.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= n).drop("_place")
+
+
+def agreement_by_stratum(sample: DataFrame, sizes: DataFrame, found: str, expected: str, stratum: str, z: float = 1.96) -> DataFrame:
+    """Per stratum the rows, those sampled and agreeing, the rate and its Wilson interval at ``z``.
+
+    ``sizes`` has the ``rows`` of every stratum.
+    """
+    same = F.col(found).eqNullSafe(F.col(expected))
+    counted = sample.groupBy(stratum).agg(F.count("*").alias("sampled"), F.count_if(same).alias("agreed"))
+    rate, n = F.col("agreed") / F.col("sampled"), F.col("sampled")
+    middle = (rate + z * z / (2 * n)) / (1 + z * z / n)
+    half = z * F.sqrt(rate * (1 - rate) / n + z * z / (4 * n * n)) / (1 + z * z / n)
+    bounds = [F.round(c, 6).alias(name) for name, c in (("rate", rate), ("low", middle - half), ("high", middle + half))]
+    # Strata without a value are one stratum.
+    key = F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_key")
+    joined = sizes.select(key, "rows").join(counted.withColumn("_key", key), "_key")
+    return joined.select(stratum, "rows", "sampled", "agreed", *bounds)
+
+
 def ground_quotes(quotes: DataFrame, paragraphs: DataFrame) -> DataFrame:
     """Does any cited paragraph contain the quote?
 

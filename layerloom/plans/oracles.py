@@ -385,6 +385,16 @@ put("audit_sample", f"""WITH {SAMPLE} SELECT doc_id, CAST(quality AS BIGINT) AS
   CAST(toxic AS BIGINT) AS toxic FROM sample""")
 put("audit_agreement", f"""WITH {SAMPLE} SELECT count(*) AS sampled, count(*) FILTER (quality = 1 - toxic) AS agreed,
   round(avg(CASE WHEN quality = 1 - toxic THEN 1.0 ELSE 0.0 END), 6) AS rate FROM sample""")
+put("audit_sample_strata", """WITH placed AS (
+  SELECT *, doc_id % 7 AS stratum, row_number() OVER (PARTITION BY doc_id % 7 ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) AS place,
+    count(*) OVER (PARTITION BY doc_id % 7) AS rows FROM labels),
+counted AS (
+  SELECT stratum, any_value(rows) AS rows, count(*) AS sampled, count(*) FILTER (quality = 1 - toxic) AS agreed,
+    CAST(count(*) FILTER (quality = 1 - toxic) AS DOUBLE) / count(*) AS p, CAST(count(*) AS DOUBLE) AS n FROM placed WHERE place <= 9 GROUP BY stratum)
+SELECT stratum, rows, sampled, agreed, round(p, 6) AS rate,
+  round((p + 3.8416 / (2 * n) - 1.96 * sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 6) AS low,
+  round((p + 3.8416 / (2 * n) + 1.96 * sqrt(p * (1 - p) / n + 3.8416 / (4 * n * n))) / (1 + 3.8416 / n), 6) AS high
+FROM counted""")
 put("alias_groups", f"""WITH {OBS}, {ENTITY_LEDGER} SELECT representative, name,
   count(*) OVER (PARTITION BY representative) AS names FROM ledger""")
 put("observation_histogram", f"""WITH {OBS}
@@ -550,6 +560,28 @@ put("render_reference", f"""WITH {CLAIMS}, refs AS (
   SELECT object_id, object, count(*) AS n FROM claims GROUP BY object_id, object), lines AS ({REF_LINES})
 {numbered("ref_id")}""")
 
+# --- places --------------------------------------------------------------------------------------
+
+put("locate_quotes", """WITH cut AS (
+  SELECT item_id || '_' || cut AS quote_id, CASE cut WHEN 0 THEN text ELSE text[1:cut] END AS quote
+  FROM benchmark, (VALUES (0), (12), (5)) AS cuts(cut)),
+held AS (SELECT quote_id, quote, source AS chapter, doc_id AS para, text FROM cut JOIN documents ON contains(text, quote)),
+tried AS (SELECT *, unnest(range(0, length(text) - length(quote) + 1)) AS place FROM held)
+SELECT quote_id, chapter, para, place FROM tried WHERE substr(text, place + 1, length(quote)) = quote""")
+put("link_sections", f"""WITH {ANCHORS}, sized AS (SELECT page_id, count(*) AS n FROM anchors GROUP BY page_id), parts AS (
+  SELECT * FROM (VALUES (0, '', ''), (1, 'top', ''), (2, 'top > part', 'links'), (3, 'top > part > inner', 'links'),
+    (4, 'top > part > inner', ''), (5, 'end', '')) AS p(part, path, block))
+SELECT page_id, pos + part * n AS pos, target, replace(path, 'top', 'top of ' || page_id) AS path, block
+FROM anchors JOIN sized USING (page_id), parts""")
+put("ranges_of_units", """WITH spans AS (
+  SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS low,
+    min(CAST(o_orderdate AS DATE)) + CAST(CASE WHEN o_custkey % 500 = 0 THEN 400 ELSE o_custkey % 3 END AS INTEGER) AS high
+  FROM orders GROUP BY o_custkey),
+shipped AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS day FROM lineitem)
+SELECT CAST(o_custkey AS BIGINT) AS o_custkey, count(*) AS shipped, CAST(min(day) - DATE '1970-01-01' AS BIGINT) AS first,
+  CAST(max(day) - DATE '1970-01-01' AS BIGINT) AS last, CAST(sum(l_orderkey) AS BIGINT) AS keys
+FROM spans JOIN shipped ON day BETWEEN low AND high GROUP BY o_custkey""")
+
 # --- upkeep --------------------------------------------------------------------------------------
 
 # The stored aggregates and their deltas must give what a recount gives.

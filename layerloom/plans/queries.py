@@ -9,7 +9,23 @@ from pyspark.sql import functions as F
 
 from layerloom.functions import rewrite as rw
 from layerloom.functions import text as tx
-from layerloom.operators import closure, delta, filters, hunks, ledger, lineage, links, manifest, quality, render, rollup, search
+from layerloom.operators import (
+    closure,
+    containment,
+    delta,
+    filters,
+    hunks,
+    intervals,
+    ledger,
+    lineage,
+    links,
+    manifest,
+    places,
+    quality,
+    render,
+    rollup,
+    search,
+)
 from layerloom.operators import structure as st
 from layerloom.plans import stand_ins as si
 from layerloom.plans.layers import build_l2
@@ -33,6 +49,10 @@ def big(name: str) -> Column:
     return F.col(name).cast("bigint").alias(name)
 
 
+def big_of(value: Column, name: str) -> Column:
+    return value.cast("bigint").alias(name)
+
+
 def blank(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
 
@@ -551,6 +571,14 @@ def audit_agreement(spark, d):
     return quality.agreement(sample.withColumn("expected", 1 - F.col("toxic")), "quality", "expected")
 
 
+@query
+def audit_sample_strata(spark, d):
+    labels = si.table(spark, d, "labels").withColumn("stratum", F.col("doc_id") % 7)
+    sample = quality.audit_sample_strata(labels, 9, "doc_id", "stratum").withColumn("expected", 1 - F.col("toxic"))
+    sizes = labels.groupBy("stratum").agg(F.count("*").alias("rows"))
+    return quality.agreement_by_stratum(sample, sizes, "quality", "expected", "stratum")
+
+
 @query
 def alias_groups(spark, d):
     return ledger.alias_groups(si.entity_ledger(spark, d))
@@ -749,6 +777,47 @@ def render_reference(spark, d):
     return made.select("ref_id", "n", "line")
 
 
+# --- places ---------------------------------------------------------------------------------
+
+
+@query
+def locate_quotes(spark, d):
+    items = si.table(spark, d, "benchmark")
+    # Whole passages, and their beginnings of twelve and five characters.
+    cut = F.explode(F.array(F.struct(F.lit(0).alias("cut"), F.col("text").alias("quote")),
+                            *[F.struct(F.lit(n).alias("cut"), F.left("text", F.lit(n)).alias("quote")) for n in (12, 5)]))
+    quotes = items.select("item_id", cut.alias("q")).select(F.concat_ws("_", "item_id", "q.cut").alias("quote_id"), "q.quote")
+    paragraphs = si.table(spark, d, "documents").select(F.col("source").alias("chapter"), F.col("doc_id").alias("para"), "text")
+    return places.locate_quotes(quotes, paragraphs)
+
+
+@query
+def link_sections(spark, d):
+    shown = F.col("body")
+    body = si.text(
+        shown, "\n# top of ", F.col("page_id"), "\n", shown, "\n## part\n<!-- AUTO-GENERATED:links -->\n", shown,
+        "\n### inner\n", shown, "\n<!-- /AUTO-GENERATED:links -->\n", shown, "\n# end\n", shown,
+    )
+    found = containment.link_sections(si.web_pages(spark, d).withColumn("body", body))
+    return found.select("page_id", "pos", "target", "path", blank("block"))
+
+
+@query
+def ranges_of_units(spark, d):
+    def day(c):
+        return F.datediff(F.to_date(c), F.to_date(F.lit("1970-01-01")))
+
+    first = si.table(spark, d, "orders").groupBy("o_custkey").agg(F.min(day("o_orderdate")).alias("low"))
+    # Short spans of days for most customers, more than a year for some.
+    width = F.when(F.col("o_custkey") % 500 == 0, 400).otherwise(F.col("o_custkey") % 3)
+    spans = first.withColumn("high", F.col("low") + width)
+    shipped = si.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("order_key"), day("l_shipdate").alias("unit"))
+    held = intervals.ranges_of_units(shipped, spans)
+    return held.groupBy("o_custkey").agg(
+        F.count("*").alias("shipped"), big_of(F.min("unit"), "first"), big_of(F.max("unit"), "last"), big_of(F.sum("order_key"), "keys")
+    ).select(big("o_custkey"), "shipped", "first", "last", "keys")
+
+
 # --- upkeep ---------------------------------------------------------------------------------
 
 
