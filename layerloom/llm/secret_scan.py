@@ -17,9 +17,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from layerloom.llm.common import text_of, travels
+from layerloom.llm.common import stored, text_of, travels
 
 travels(__name__)
 
@@ -37,7 +36,8 @@ CONTEXT = re.compile(
 )
 # log10 of the guesses from which a value counts as a secret.
 MIN_COST = 10.0
-LONGEST_VALUE = 64
+# Characters of a long value looked at first; more are taken until the limit is decided.
+FIRST_LOOK = 1_024
 
 # Frequent words and passwords, most frequent first.
 WORDS = (
@@ -92,30 +92,49 @@ def _segments(value: str, rank: dict[str, int]) -> Iterator[tuple[int, int, floa
                     a = b
 
 
-def guess_cost(value: str, rank: dict[str, int] = RANK) -> float:
-    """log10 of the guesses for the cheapest segmentation; values beyond 64 characters are cut into pieces of 64."""
-    if len(value) > LONGEST_VALUE:
-        return sum(guess_cost(value[k : k + LONGEST_VALUE], rank) for k in range(0, len(value), LONGEST_VALUE))
+def _prefix_costs(value: str, rank: dict[str, int]) -> tuple[list[float], list[tuple[int, int]]]:
+    """log10 of the guesses for the cheapest segmentation of every prefix, and the stretches of known form."""
     into: dict[int, list[tuple[int, float]]] = {}
     for a, b, cost in _segments(value, rank):
         into.setdefault(b, []).append((a, cost))
+    single = {c: math.log10(_alphabet(c)) for c in set(value)}
     best = [0.0]
     for b in range(1, len(value) + 1):
         # A character by brute force costs its own kind; a stretch of known form ends here at its own cost.
-        options = [best[b - 1] + math.log10(_alphabet(value[b - 1]))]
-        options += [best[a] + cost for a, cost in into.get(b, ())]
-        best.append(min(options))
-    return best[-1]
+        cost = best[b - 1] + single[value[b - 1]]
+        for a, more in into.get(b, ()):
+            cost = min(cost, best[a] + more)
+        best.append(cost)
+    return best, [(a, b) for b, starts in into.items() for a, _ in starts]
+
+
+def guess_cost(value: str, rank: dict[str, int] = RANK) -> float:
+    """log10 of the guesses for the cheapest segmentation of the whole value."""
+    return _prefix_costs(value, rank)[0][-1]
 
 
 def costly(value: str, rank: dict[str, int] = RANK) -> bool:
-    """Whether a value costs at least ``MIN_COST``; a long one is read until it does."""
-    cost = 0.0
-    for k in range(0, len(value), LONGEST_VALUE):
-        cost += guess_cost(value[k : k + LONGEST_VALUE], rank)
-        if cost >= MIN_COST:
-            return True
-    return False
+    """Whether the whole value costs at least ``MIN_COST``.
+
+    A place that no stretch crosses splits every segmentation, so the value costs at least what it costs up to
+    there. A long value is read from its begin until such a place decides it, else to its end.
+    """
+    size = FIRST_LOOK
+    while size < len(value):
+        best, stretches = _prefix_costs(value[:size], rank)
+        # Stretches that go on behind the part show in it already, but for words that begin in its last characters.
+        last = size - LONGEST_WORD
+        crossed = [0] * (size + 1)
+        for a, b in stretches:
+            crossed[a + 1] += 1
+            crossed[b] -= 1
+        depth = 0
+        for at in range(1, last + 1):
+            depth += crossed[at]
+            if depth == 0 and best[at] >= MIN_COST:
+                return True
+        size *= 2
+    return guess_cost(value, rank) >= MIN_COST
 
 
 def _inside(start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
@@ -127,25 +146,37 @@ def _inside(start: int, end: int, spans: list[tuple[int, int, int]]) -> bool:
     return start >= end
 
 
-def spans_of(text: str, rank: dict[str, int] = RANK) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of all spans, sorted; code points, end exclusive.
+def scanned(text: str, rank: dict[str, int] = RANK) -> tuple[list[tuple[int, int, int]], int, int]:
+    """(start, kind, end) of all spans, sorted, in code points, end exclusive; then the number of values in
+    credential context and of those among them that are cheap to guess.
 
-    A value that base spans cover in part is a span of its own beside them.
+    Values inside base spans are costed too. A costly value that base spans do not cover whole is a span of its
+    own beside them.
     """
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = sorted(found)
+    base, values, cheap = sorted(found), 0, 0
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
         while end > start and text[end - 1] in ".,;:!?)]}":
             end -= 1
-        if end - start >= 6 and not _inside(start, end, base) and costly(text[start:end], rank):
+        if end - start < 6:
+            continue
+        values += 1
+        if not costly(text[start:end], rank):
+            cheap += 1
+        elif not _inside(start, end, base):
             found.append((start, 3, end))
-    return sorted(found)
+    return sorted(found), values, cheap
+
 
+def spans_of(text: str, rank: dict[str, int] = RANK) -> list[tuple[int, int, int]]:
+    """The spans of ``scanned`` alone."""
+    return scanned(text, rank)[0]
 
-_SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("kind", T.IntegerType()), T.StructField("end", T.LongType())])
+
+_SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
 
 def word_ranks(text: Column, docs: DataFrame) -> dict[str, int]:
@@ -158,30 +189,42 @@ def word_ranks(text: Column, docs: DataFrame) -> dict[str, int]:
         bare = F.regexp_replace(bare, "(?i)" + form.pattern, " ")
     words = F.array_distinct(F.split(F.lower(bare), r"[^\p{L}]+"))
     fit = F.filter(words, lambda w: F.length(w).between(3, LONGEST_WORD))
-    counts = docs.select(F.explode(fit).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    # At most RANKED rows, whatever the corpus.
-    top = counts.filter(~F.col("w").isin(*WORDS)).orderBy(F.desc("n"), "w").limit(RANKED).collect()
-    return RANK | {r["w"]: len(WORDS) + k + 1 for k, r in enumerate(top)}
+    counts = stored(docs.select(F.explode(fit).alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter(~F.col("w").isin(*WORDS)))
+    # From the words at each count follows the count that at most RANKED words reach; they alone are sent.
+    least, total = None, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(RANKED).collect():
+        total += r["words"]
+        if total > RANKED:
+            break
+        least = r["n"]
+    top = counts.filter(F.col("n") >= least).collect() if least is not None else []
+    ordered = sorted(top, key=lambda r: (-r["n"], r["w"]))
+    return RANK | {r["w"]: len(WORDS) + k + 1 for k, r in enumerate(ordered)}
 
 
 def find_secrets(docs: DataFrame, text: Column | None = None) -> DataFrame:
-    """The rows with ``secret_spans``: start, kind (place in ``KINDS``) and end of each span.
+    """The rows with ``secret_spans`` (start, kind as place in ``KINDS``, and end of each span), ``secret_values``
+    (values in credential context) and ``secret_cheap`` (those among them that are cheap to guess).
 
     A null text is empty and has none; repeated rows have the same spans; other columns stay.
     """
     text = text_of() if text is None else text
     rank = docs.sparkSession.sparkContext.broadcast(word_ranks(text, docs))
 
-    @F.pandas_udf(T.ArrayType(_SPAN))
-    def spans(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"start": a, "kind": k, "end": b} for a, k, b in spans_of(t, rank.value)])
+    @F.pandas_udf(f"struct<spans:array<{_SPAN}>,vals:bigint,cheap:bigint>")
+    def spans(texts: pd.Series) -> pd.DataFrame:
+        found = [scanned(t, rank.value) for t in texts]
+        listed = [[{"start": a, "kind": k, "end": b} for a, k, b in spans] for spans, _, _ in found]
+        return pd.DataFrame({"spans": pd.Series(listed, dtype=object), "vals": [v for _, v, _ in found], "cheap": [c for _, _, c in found]})
 
-    return docs.withColumn("secret_spans", spans(text))
+    made = docs.withColumn("_secrets", spans(text))
+    names = {"secret_spans": "spans", "secret_values": "vals", "secret_cheap": "cheap"}
+    return made.withColumns({name: F.col(f"_secrets.{field}") for name, field in names.items()}).drop("_secrets")
 
 
 def secret_table(docs: DataFrame) -> DataFrame:
     """Per row: the counts of the base kinds, a digest of the base spans, and all spans as text."""
-    found = find_secrets(docs.select("doc_id", text_of().alias("text"))).select("doc_id", "secret_spans")
+    found = find_secrets(docs.select("doc_id", text_of().alias("text"))).select("doc_id", "secret_spans", "secret_values", "secret_cheap")
     names = F.array(*[F.lit(k) for k in KINDS])
     joined = lambda spans: F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
@@ -195,6 +238,8 @@ def secret_table(docs: DataFrame) -> DataFrame:
         count(2).alias("n_hex"),
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("secret_spans")).alias("spans"),
+        F.col("secret_values").alias("n_values"),
+        F.col("secret_cheap").alias("n_cheap"),
     )
 
 
