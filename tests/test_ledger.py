@@ -38,41 +38,41 @@ def limits(request, monkeypatch):
 
 
 def test_no_chaining(spark, limits):
-    entries = [("アキラ", "語り手", EXPLICIT), ("語り手", "シナモリアキラ", EXPLICIT)]
-    body, audit, _ = run(spark, entries, "アキラとアキラ。語り手。アキラ、アキラ", **limits)
-    assert body == "語り手と語り手。シナモリアキラ。語り手、語り手"
-    assert audit == [("アキラ", "語り手", 4), ("語り手", "シナモリアキラ", 1)]
+    entries = [("ノエル", "書き手", EXPLICIT), ("書き手", "ミナトノエル", EXPLICIT)]
+    body, audit, _ = run(spark, entries, "ノエルとノエル。書き手。ノエル、ノエル", **limits)
+    assert body == "書き手と書き手。ミナトノエル。書き手、書き手"
+    assert audit == [("ノエル", "書き手", 4), ("書き手", "ミナトノエル", 1)]
 
 
 def test_longest_match(spark, limits):
-    entries = [("虹犬", "異獣", EXPLICIT), ("虹犬の貴婦人", "ライラ・ラプス", SAME_SPELLING)]
-    body, audit, _ = run(spark, entries, "虹犬の貴婦人による", **limits)
-    assert body == "ライラ・ラプスによる" and audit == [("虹犬の貴婦人", "ライラ・ラプス", 1)]
+    entries = [("霧猫", "霧獣", EXPLICIT), ("霧猫の老商人", "メル・オルト", SAME_SPELLING)]
+    body, audit, _ = run(spark, entries, "霧猫の老商人による", **limits)
+    assert body == "メル・オルトによる" and audit == [("霧猫の老商人", "メル・オルト", 1)]
 
 
 def test_link_target_address_and_block_are_protected(spark, limits):
-    entries = [("アキラ", "語り手", EXPLICIT)]
-    block = "<!-- AUTO-GENERATED:l2ref -->\nアキラ\n<!-- /AUTO-GENERATED:l2ref -->"
-    text = f"[[MY_アキラの腕|アキラの腕]] [アキラ](./アキラ.md) [[アキラ]]\n{block}\nアキラ"
+    entries = [("ノエル", "書き手", EXPLICIT)]
+    block = "<!-- AUTO-GENERATED:l2ref -->\nノエル\n<!-- /AUTO-GENERATED:l2ref -->"
+    text = f"[[MY_ノエルの腕|ノエルの腕]] [ノエル](./ノエル.md) [[ノエル]]\n{block}\nノエル"
     body, audit, _ = run(spark, entries, text, **limits)
-    assert body == f"[[MY_アキラの腕|語り手の腕]] [語り手](./アキラ.md) [[アキラ]]\n{block}\n語り手"
-    assert audit == [("アキラ", "語り手", 3)]
+    assert body == f"[[MY_ノエルの腕|書き手の腕]] [書き手](./ノエル.md) [[ノエル]]\n{block}\n書き手"
+    assert audit == [("ノエル", "書き手", 3)]
 
 
 def test_block_without_end_is_ordinary_text(spark, limits):
-    text = "<!-- AUTO-GENERATED:l2ref -->\nアキラ"
-    body, _, _ = run(spark, [("アキラ", "語り手", EXPLICIT)], text, **limits)
-    assert body == text.replace("アキラ", "語り手")
+    text = "<!-- AUTO-GENERATED:l2ref -->\nノエル"
+    body, _, _ = run(spark, [("ノエル", "書き手", EXPLICIT)], text, **limits)
+    assert body == text.replace("ノエル", "書き手")
 
 
 def test_notes_scan_the_result(spark, limits):
     entries = [
-        ("アズ", "アズーリア", UNVERIFIED), ("アズーリア", "x", UNVERIFIED), ("呪術", "y", UNVERIFIED),
-        ("呪術儀式", "ライブ", EXPLICIT), ("ライ", "z", UNVERIFIED),
+        ("ルカ", "ルカーシャ", UNVERIFIED), ("ルカーシャ", "x", UNVERIFIED), ("潮見", "y", UNVERIFIED),
+        ("潮見祭礼", "カイト", EXPLICIT), ("カイ", "z", UNVERIFIED),
     ]
-    body, audit, notes = run(spark, entries, "アズーリアの呪術儀式", **limits)
-    assert body == "アズーリアのライブ" and audit == [("呪術儀式", "ライブ", 1)]
-    assert notes == ["アズ", "アズーリア", "ライ"]
+    body, audit, notes = run(spark, entries, "ルカーシャの潮見祭礼", **limits)
+    assert body == "ルカーシャのカイト" and audit == [("潮見祭礼", "カイト", 1)]
+    assert notes == ["ルカ", "ルカーシャ", "カイ"]
 
 
 def test_unverified_names_are_not_applied(spark, limits):
@@ -158,12 +158,12 @@ def test_random_ledgers_against_a_plain_replacer(spark, limits):
                 assert row["body"].count(a["representative"]) == a["replaced"]
 
 
-PAGE = "---\nid: MY_1\n---\n# t\n\nアキラ、語り手、コル\n"
+PAGE = "---\nid: MY_1\n---\n# t\n\nノエル、書き手、トト\n"
 
 
 def test_layer_page_and_its_audit_section(spark):
     book = ledger(
-        spark, ("アキラ", "語り手", EXPLICIT), ("語り手", "シナモリ", EXPLICIT), ("コル", "コル(仮)", UNVERIFIED)
+        spark, ("ノエル", "書き手", EXPLICIT), ("書き手", "ミナト", EXPLICIT), ("トト", "トト(仮)", UNVERIFIED)
     )
     source = spark.createDataFrame(
         [("l1/mysteries/MY_1.md", "MY_1", "mysteries", PAGE), ("l1/arcs/index.md", "index", "arcs", "何もない")],
@@ -173,21 +173,21 @@ def test_layer_page_and_its_audit_section(spark):
     assert made["MY_1"]["path"] == "l2/mysteries/MY_1.md"
     assert made["MY_1"]["text"] == (
         "---\nid: MY_1\nnormalized_from: l1/mysteries/MY_1.md\nl2_run: 20261116T1700_v144\n---\n"
-        "# t\n\n語り手、シナモリ、コル\n\n\n---\n\n## 名前正規化監査（L2 run 20261116T1700_v144）\n\n"
-        "| 元名義 | 代表名 | 確度 | 置換件数 |\n|---|---|---|---|\n| アキラ | 語り手 | 明言 | 1 |\n"
-        "| 語り手 | シナモリ | 明言 | 1 |\n\n\n注記（置換しない）:\n- 未置換（要検証）: 「コル」→ コル(仮)（要検証）"
+        "# t\n\n書き手、ミナト、トト\n\n\n---\n\n## 名前正規化監査（L2 run 20261116T1700_v144）\n\n"
+        "| 元名義 | 代表名 | 確度 | 置換件数 |\n|---|---|---|---|\n| ノエル | 書き手 | 明言 | 1 |\n"
+        "| 書き手 | ミナト | 明言 | 1 |\n\n\n注記（置換しない）:\n- 未置換（要検証）: 「トト」→ トト(仮)（要検証）"
     )
     assert made["index"]["text"] == "何もない"
     again = build_l2(source, book, "20261116T1700_v144")
     assert rows(lg.parse_audit(again).select("page_id", "run", "seq", "name", "replaced")) == [
-        ("MY_1", "20261116T1700_v144", 1, "アキラ", 1), ("MY_1", "20261116T1700_v144", 2, "語り手", 1),
+        ("MY_1", "20261116T1700_v144", 1, "ノエル", 1), ("MY_1", "20261116T1700_v144", 2, "書き手", 1),
     ]
-    assert rows(lg.parse_notes(again)) == [("MY_1", 1, "コル", "コル(仮)")]
+    assert rows(lg.parse_notes(again)) == [("MY_1", 1, "トト", "トト(仮)")]
 
 
 def test_header_is_kept_without_rows(spark):
-    book = ledger(spark, ("歌姫", "ハルベルト", UNVERIFIED))
-    done = lg.normalize_names(pages(spark, "歌姫"), book)
+    book = ledger(spark, ("灯守", "ヴィオラ", UNVERIFIED))
+    done = lg.normalize_names(pages(spark, "灯守"), book)
     text = done.select(lg.render_audit(F.col("audit"), F.col("notes"), F.lit("r")).alias("t")).first()["t"]
     assert "|---|---|---|---|\n\n\n注記" in text
 
