@@ -144,7 +144,7 @@ def test_episode_and_its_elements(split):
     assert e["characters"] == ["E_char_灯台守", "E_char_灯台"] and e["relationships"] == [] and e["motifs"] == []
     assert e["arc"] == "ARC_01_港の章"
     assert rows(st.episode_entities(episodes).select("kind", "name", "pos")) == [
-        ("char", "灯台守", 1), ("char", "灯台", 2), ("item", "ノエル", 3),
+        ("char", "灯台", 2), ("char", "灯台守", 1), ("item", "ノエル", 3),
     ]
 
 
