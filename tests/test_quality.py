@@ -59,9 +59,9 @@ def test_ids(spark):
 
 def test_kind_conflicts(spark):
     seen = frame(
-        spark, "kind string, name string", ("char", "アキラ"), ("item", "アキラ"), ("motif", "アキラ"), ("char", "人狼")
+        spark, "kind string, name string", ("char", "ノエル"), ("item", "ノエル"), ("motif", "ノエル"), ("char", "灯台守")
     )
-    assert rows(q.kind_conflicts(seen)) == [("アキラ", 3, "char,item,motif", 3)]
+    assert rows(q.kind_conflicts(seen)) == [("ノエル", 3, "char,item,motif", 3)]
 
 
 def test_sample_is_reproducible_and_agreement_counts(spark):

@@ -16,7 +16,7 @@ def put(root, name, text):
 
 @pytest.fixture
 def wiki(tmp_path):
-    put(tmp_path, "l1/claims/A_アキラ+1 x.md", "---\nid: A\n---\n一\n二\n")
+    put(tmp_path, "l1/claims/A_ノエル+1 x.md", "---\nid: A\n---\n一\n二\n")
     put(tmp_path, "l1/entities/terminology/E_term.md", "e")
     put(tmp_path, "l1/index.md", "top")
     put(tmp_path, "l2/claims/A.md", "l2")
@@ -28,7 +28,7 @@ def test_page_scan(spark, wiki):
     got = rows(readers.read_pages(spark, str(wiki)).select("layer", "section", "page_id", "path"))
     assert got == [
         ("l1", "", "index", "l1/index.md"),
-        ("l1", "claims", "A_アキラ+1 x", "l1/claims/A_アキラ+1 x.md"),
+        ("l1", "claims", "A_ノエル+1 x", "l1/claims/A_ノエル+1 x.md"),
         ("l1", "entities", "E_term", "l1/entities/terminology/E_term.md"),
         ("l2", "claims", "A", "l2/claims/A.md"),
     ]
