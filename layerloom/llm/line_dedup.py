@@ -3,10 +3,11 @@
 Two lines link when at most ``TAU`` edits apart. A line is cut into ``TAU + 1`` segments; of two
 linked lines at least one segment of the shorter occurs unchanged in the longer, at a place that
 the lengths and the number of edits allow. Segments are indexed by (length, number, characters),
-longer lines probe the few substrings that can match; probes that no line has as a segment fall out
-against a bitmap of all segments before anything is written. Candidates are verified by the built-in
-edit distance with threshold ``TAU``, which is exact up to it; ``within_edits`` is the same test as a
-bit-parallel band of ``2 * TAU + 1`` diagonals, against which it is held. Built-in functions only.
+longer lines probe the few substrings that can match. Probes meet segments in one equi-join of
+hashes, which adaptive execution splits where a segment is frequent; counts of frequent letters turn
+most chance meetings away inside it. Candidates are verified by the built-in edit distance with
+threshold ``TAU``, which is exact up to it; ``within_edits`` is the same test as a bit-parallel band
+of ``2 * TAU + 1`` diagonals, against which it is held. Built-in functions only.
 """
 
 from __future__ import annotations
@@ -18,19 +19,14 @@ from pyspark.sql import functions as F
 
 from layerloom.functions.explode import explode_rows, worked_out
 from layerloom.functions.skew import measured_small
-from layerloom.llm.common import SPACE, durable, let, text_of
+from layerloom.llm.common import durable, let, stored, text_of
 from layerloom.llm.components import components
 
 TAU = 2
 # Shorter lines are compared exactly: an edit would often make a different line of them.
 MIN_LENGTH = 24
-# Bits of the segment bitmap per segment, and its bounds in numbers of 64 bits. A bitmap that is full
-# for its bound lets more probes through and loses none.
-FILTER_BITS = 12
-FILTER_CHUNKS = 1 << 10
-MOST_FILTER_WORDS = 1 << 21
-# Eight frequent letters.
-LETTERS = "etaonirs"
+# Twelve frequent letters.
+LETTERS = "etaonirslduc"
 
 
 def _segment(length: Column, i: int) -> tuple[Column, Column]:
@@ -41,7 +37,7 @@ def _segment(length: Column, i: int) -> tuple[Column, Column]:
     return 1 + small * i + longer, small + F.when(rest >= parts - i, 1).otherwise(0)
 
 
-def _signatures(line: Column, length: Column) -> tuple[Column, list[Column]]:
+def _signatures(line: Column, length: Column) -> tuple[list[Column], list[Column]]:
     """Keys of a line's own segments, and of its other substrings that may equal a segment of a line as long or shorter."""
     key = lambda size, i, part: F.xxhash64(size, F.lit(i), part)
     own, probes = [], []
@@ -55,34 +51,7 @@ def _signatures(line: Column, length: Column) -> tuple[Column, list[Column]]:
             for shift in range(max(-i, shorter - (TAU - i)), min(i, shorter + (TAU - i)) + 1):
                 if shorter or shift:
                     probes.append(key(size, i, F.substring(line, start + shift, n)))
-    return F.array(*own), probes
-
-
-def _filter_words(n: int) -> int:
-    """Numbers of 64 bits for the bitmap of ``n`` lines, a power of two."""
-    wanted = max(n * (TAU + 1) * FILTER_BITS // 64, FILTER_CHUNKS)
-    return min(1 << (wanted - 1).bit_length(), MOST_FILTER_WORDS)
-
-
-def _bitmap(keys: DataFrame, words: int) -> DataFrame:
-    """One row: an array of ``words`` numbers of 64 bits, in which bit ``key mod (64 * words)`` is 1 for every key."""
-    place = F.pmod("key", F.lit(64 * words))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
-    found = keys.select(F.shiftright(place, 6).alias("word"), bit.alias("bits"))
-    every = keys.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
-    each = found.union(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    # Joined in two steps, so that the last task reads a fixed number of chunks.
-    joined = lambda k, v: F.array_sort(F.collect_list(F.struct(k, v)))
-    chunks = each.groupBy(F.floor(F.col("word") / (words // FILTER_CHUNKS)).alias("chunk")).agg(
-        F.transform(joined("word", "bits"), lambda x: x["bits"]).alias("part")
-    )
-    return chunks.agg(F.flatten(F.transform(joined("chunk", "part"), lambda x: x["part"])).alias("bitmap"))
-
-
-def _in_bitmap(bitmap: Column, key: Column, words: int) -> Column:
-    place = F.pmod(key, F.lit(64 * words))
-    word = F.get(bitmap, F.shiftright(place, 6).cast("int"))
-    return F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    return own, probes
 
 
 def within_edits(a: Column, b: Column) -> Column:
@@ -122,25 +91,18 @@ def within_edits(a: Column, b: Column) -> Column:
     return F.when(near, let(F.split(a, ""), lambda x: let(F.split(b, ""), lambda y: banded(x, y)))).otherwise(False)
 
 
-def word_parity(line: Column) -> Column:
-    """64 bits: for each, whether an odd number of the line's words hash to it. An edit flips three at most."""
-    words = F.split(line, SPACE)
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
-    return F.aggregate(words, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(bit(w)))
-
-
 def letter_counts(line: Column) -> Column:
-    """How often each of eight frequent letters occurs, modulo 256, in eight bits each."""
+    """How often each of twelve frequent letters occurs, modulo 32, in five bits each."""
     counts = [F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
-    parts = [F.shiftleft(n.bitwiseAND(F.lit(255)).cast("bigint"), 8 * k) for k, n in enumerate(counts)]
+    parts = [F.shiftleft(n.bitwiseAND(F.lit(31)).cast("bigint"), 5 * k) for k, n in enumerate(counts)]
     return reduce(lambda x, y: x.bitwiseOR(y), parts)
 
 
 def letter_difference(a: Column, b: Column) -> Column:
-    """By how much two packed counts differ in all; an edit changes it by two at most."""
-    of = lambda x, k: F.shiftrightunsigned(x, 8 * k).bitwiseAND(F.lit(255))
-    differences = [(of(a, k) - of(b, k)).bitwiseAND(F.lit(255)) for k in range(len(LETTERS))]
-    return reduce(lambda x, y: x + y, [F.least(d, 256 - d) for d in differences])
+    """By how much two packed counts differ at least; an edit changes it by two at most."""
+    of = lambda x, k: F.shiftrightunsigned(x, 5 * k).bitwiseAND(F.lit(31))
+    differences = [(of(a, k) - of(b, k)).bitwiseAND(F.lit(31)) for k in range(len(LETTERS))]
+    return reduce(lambda x, y: x + y, [F.least(d, 32 - d) for d in differences])
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -151,29 +113,31 @@ def lines(docs: DataFrame) -> DataFrame:
     return trimmed.filter(F.col("line") != "").withColumn("h", F.xxhash64("line"))
 
 
+def sketches(all_lines: DataFrame) -> DataFrame:
+    """A row per different line: ``h``, its letter counts ``s`` and the keys ``k0``, ``k1``, ... (its own segments first).
+
+    All columns are numbers, so equal lines fall together in the tasks before anything is shuffled.
+    """
+    own, probes = _signatures(F.col("line"), F.length("line"))
+    keys = {f"k{i}": key for i, key in enumerate([*own, *probes])}
+    ready = all_lines.select("h", letter_counts(F.col("line")).alias("s"), *[key.alias(name) for name, key in keys.items()])
+    return ready.groupBy("h").agg(*[F.first(c).alias(c) for c in ["s", *keys]])
+
+
 def line_links(all_lines: DataFrame) -> DataFrame:
     """Pairs ``a``, ``b`` of hashes of different lines at most ``TAU`` edits apart, each pair once."""
     long = all_lines.filter(F.length("line") >= MIN_LENGTH)
-    own, probes = _signatures(F.col("line"), F.length("line"))
-    bounds = [word_parity(F.col("line")).alias("p"), letter_counts(F.col("line")).alias("l")]
-    # Equal lines have equal sketches; from here on a line is its hash, its text stays where it is.
-    sized = durable(long.select("h", F.struct(*bounds, own.alias("keys")).alias("s")).groupBy("h").agg(F.first("s").alias("s")))
-    words = _filter_words(sized.count())
-    bitmap = _bitmap(sized.select(F.explode("s.keys").alias("key")), words).scalar()
-    # Most probes equal no segment of any line: they go here, before they meet a shuffle.
-    probed = worked_out(long.select("h", "line", F.array(*probes).alias("_probes")))
-    each = [F.get("_probes", F.lit(k)) for k in range(len(probes))]
-    hit = F.array_distinct(F.array_compact(F.array(*[F.when(_in_bitmap(bitmap, key, words), key) for key in each])))
-    hits = worked_out(probed.select("h", "line", hit.alias("keys"))).filter(F.size("keys") > 0)
-    hits = durable(hits.select("h", F.struct(*bounds, "keys").alias("s")).groupBy("h").agg(F.first("s").alias("s")))
-    index = sized.select(F.col("h").alias("a"), F.col("s.p").alias("pa"), F.col("s.l").alias("la"), F.explode("s.keys").alias("key"))
-    probe = sized.union(hits).select(F.col("h").alias("b"), F.col("s.p").alias("pb"), F.col("s.l").alias("lb"), F.explode("s.keys").alias("key"))
-    # Lines that share a segment but have too many other words or letters fall out inside the join.
+    # From here on a line is its hash, its letter counts and its keys; the text stays where it is.
+    sized = stored(sketches(long))
+    keys = lambda names: F.explode(F.array_distinct(F.array(*names))).alias("key")
+    every = [c for c in sized.columns if c.startswith("k")]
+    index = sized.select(F.col("h").alias("a"), F.col("s").alias("sa"), keys(every[: TAU + 1]))
+    probe = sized.select(F.col("h").alias("b"), F.col("s").alias("sb"), keys(every))
+    # Lines that share a segment but have too many other letters fall out inside the join.
     alike = (
         (index["key"] == probe["key"])
         & (F.col("a") != F.col("b"))
-        & (F.bit_count(F.col("pa").bitwiseXOR(F.col("pb"))) <= 3 * TAU)
-        & (letter_difference(F.col("la"), F.col("lb")) <= 2 * TAU)
+        & (letter_difference(F.col("sa"), F.col("sb")) <= 2 * TAU)
     )
     pairs = durable(index.join(probe, alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
