@@ -25,6 +25,10 @@ from layerloom.llm.components import components
 TAU = 2
 # Shorter lines are compared exactly: an edit would often make a different line of them.
 MIN_LENGTH = 24
+# A segment of more different lines than this, estimated on every SPARSE-th line, is searched in blocks.
+HOT_LINES = 64
+SPARSE = 8
+BLOCK = 128
 # Twelve frequent letters.
 LETTERS = "etaonirslduc"
 
@@ -93,7 +97,7 @@ def within_edits(a: Column, b: Column) -> Column:
 
 def letter_counts(line: Column) -> Column:
     """How often each of twelve frequent letters occurs, modulo 32, in five bits each."""
-    counts = [F.char_length(line) - F.char_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
+    counts = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS]
     parts = [F.shiftleft(n.bitwiseAND(F.lit(31)).cast("bigint"), 5 * k) for k, n in enumerate(counts)]
     return reduce(lambda x, y: x.bitwiseOR(y), parts)
 
@@ -124,14 +128,68 @@ def sketches(all_lines: DataFrame) -> DataFrame:
     return ready.groupBy("h").agg(*[F.first(c).alias(c) for c in ["s", *keys]])
 
 
+def hot_keys(sized: DataFrame) -> DataFrame:
+    """Keys of segments that about ``HOT_LINES`` different lines share, counted on every ``SPARSE``-th line by hash.
+
+    The count only chooses the way a key is searched; both ways find the same classes.
+    """
+    some = sized.filter(F.pmod("h", F.lit(SPARSE)) == 0)
+    own = some.select(F.explode(F.array(*[f"k{i}" for i in range(TAU + 1)])).alias("key"))
+    hot = durable(own.groupBy("key").count().filter(F.col("count") * SPARSE > HOT_LINES).select("key"))
+    return F.broadcast(hot) if measured_small(hot) else hot
+
+
+def forest(members: Column) -> Column:
+    """Links ``a``, ``b`` of structs (``h``, ``line``) whose components are those of all links between them.
+
+    Each line in turn takes over the labels of all earlier lines it is near to.
+    """
+    def near(x: Column, y: Column) -> Column:
+        return F.levenshtein(F.get(members, x)["line"], F.get(members, y)["line"], TAU) >= 0
+
+    def step(labels: Column, x: Column) -> Column:
+        met = F.array_distinct(F.array_compact(F.transform(labels, lambda label, y: F.when(near(x, y), label))))
+        return let(met, lambda m: F.concat(F.transform(labels, lambda label: F.when(F.array_contains(m, label), x).otherwise(label)), F.array(x)))
+
+    count = F.sequence(F.lit(0), F.size(members) - 1)
+    labels = F.aggregate(count, F.array().cast("array<int>"), step)
+    links = lambda found: F.transform(
+        found, lambda label, x: F.struct(F.get(members, x)["h"].alias("a"), F.get(members, label)["h"].alias("b"))
+    )
+    return F.filter(let(labels, links), lambda link: link["a"] != link["b"])
+
+
+def _hot_links(rows: DataFrame, long: DataFrame) -> DataFrame:
+    """Links between lines of one key, for keys of many lines: blocks of ``BLOCK`` lines meet pairwise, each cell gives a forest.
+
+    ``rows`` has ``key`` and ``h``. A cell holds two blocks, so no task holds a whole key, and a dense
+    group of n lines gives rows for its blocks, not for its n^2 links.
+    """
+    rows = durable(rows.distinct())
+    wanted = rows.select("h").distinct()
+    texts = long.join(F.broadcast(wanted) if measured_small(wanted) else wanted, "h", "left_semi")
+    texts = texts.groupBy("h").agg(F.first("line").alias("line"))
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int").alias("own")
+    placed = rows.join(sizes, "key").select("key", "h", own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = placed.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "h")
+    filled = cells.join(texts, "h").groupBy("key", "low", "high").agg(F.array_sort(F.collect_list(F.struct("h", "line"))).alias("members"))
+    return worked_out(filled.select(forest(F.col("members")).alias("links"))).select(F.inline("links")).distinct()
+
+
 def line_links(all_lines: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of hashes of different lines at most ``TAU`` edits apart, each pair once."""
+    """Pairs ``a``, ``b`` of hashes of different lines at most ``TAU`` edits apart.
+
+    Their components are those of all such pairs: every pair that shares a segment of few lines, and
+    for a segment that many lines share a spanning forest of its pairs.
+    """
     long = all_lines.filter(F.length("line") >= MIN_LENGTH)
     # From here on a line is its hash, its letter counts and its keys; the text stays where it is.
     sized = stored(sketches(long))
     keys = lambda names: F.explode(F.array_distinct(F.array(*names))).alias("key")
     every = [c for c in sized.columns if c.startswith("k")]
-    index = sized.select(F.col("h").alias("a"), F.col("s").alias("sa"), keys(every[: TAU + 1]))
+    hot = hot_keys(sized)
+    index = sized.select(F.col("h").alias("a"), F.col("s").alias("sa"), keys(every[: TAU + 1])).join(hot, "key", "left_anti")
     probe = sized.select(F.col("h").alias("b"), F.col("s").alias("sb"), keys(every))
     # Lines that share a segment but have too many other letters fall out inside the join.
     alike = (
@@ -146,7 +204,8 @@ def line_links(all_lines: DataFrame) -> DataFrame:
     near = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("h").alias("b"), F.col("line").alias("y")), "b"
     )
-    return near.filter(F.levenshtein("x", "y", TAU) >= 0).select("a", "b")
+    dense = _hot_links(probe.select("key", F.col("b").alias("h")).join(hot, "key", "left_semi"), long)
+    return near.filter(F.levenshtein("x", "y", TAU) >= 0).select("a", "b").union(dense)
 
 
 def line_classes(docs: DataFrame) -> DataFrame:

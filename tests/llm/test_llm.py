@@ -136,6 +136,30 @@ def test_lines_within_an_edit(spark):
     assert verified.count() == 0
 
 
+def test_lines_of_a_frequent_segment_are_linked_in_blocks(spark, monkeypatch):
+    r = random.Random(4)
+    base = "the terms of this very common line " + prose(11, 6)
+    texts = {base}
+    for _ in range(300):
+        p, q = r.randrange(len(base)), r.randrange(len(base))
+        one = base[:p] + r.choice("xyzq") + base[p + 1 :]
+        texts.add(one[:q] + r.choice("xyzq") + one[q + 1 :])
+    # A dense group: all of them within two edits of each other.
+    texts |= {f"{base} {p}{q}" for p in "abcdefghijklmn" for q in "abcdefghijklmn"}
+    # Shares the segments, yet is far from all others.
+    texts |= {base[:60] + prose(k, 3) for k in range(20)}
+    docs = spark.createDataFrame(list(enumerate(sorted(texts))), "doc_id bigint, text string")
+    rows = line_dedup.lines(docs)
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 10**9)
+    pairs = line_dedup.line_links(rows)
+    want = {tuple(x) for x in components(pairs).collect()}
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 16)
+    monkeypatch.setattr(line_dedup, "BLOCK", 32)
+    links = line_dedup.line_links(rows)
+    assert {tuple(x) for x in components(links).collect()} == want and len(want) > 440
+    assert links.count() < pairs.count() / 4
+
+
 def test_lines_two_edits_apart_are_one(spark):
     line = "Licensed under terms of 2019: " + prose(77, 30)
     far = line.replace("2019", "2058").replace("Licensed", "Licenced")
