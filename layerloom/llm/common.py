@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Whitespace as the contracts name it: space and the characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
+# Columns that operators read by name.
+CORE = ("doc_id", "text", "lang", "source", "n_chars")
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
@@ -42,6 +44,16 @@ def pick(df: DataFrame, name: str, kind: str) -> Column:
     return (F.col(f"`{name}`") if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
 
+def guarded(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """The rows with all columns but those of ``documents`` renamed, and the columns that restore them.
+
+    So no column of the user meets a name that an operator uses on the way.
+    """
+    names = {c: c if c in CORE else f"_own{k}" for k, c in enumerate(docs.columns)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()])
+    return plain, [F.col(name).alias(c) for c, name in names.items()]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share. Where the session names none (tests), a local one is set."""
     context = spark.sparkContext

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions.explode import worked_out
-from layerloom.llm.common import let, stored, text_of, words_of
+from layerloom.llm.common import guarded, let, stored, text_of, words_of
 
 # Frequent function words of the languages that have a reference.
 COMMON_WORDS = {
@@ -224,5 +224,9 @@ def judge(
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    """The documents that pass, with their own columns, whatever these are called.
+
+    Null and repeated rows are judged as ``judge`` says; an empty table gives an empty result.
+    """
+    plain, own = guarded(docs)
+    return judge(plain).filter("kept").select(*own)

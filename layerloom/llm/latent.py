@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.llm.byte_text import row_words
-from layerloom.llm.common import text_of, travels
+from layerloom.llm.common import guarded, text_of, travels
 
 travels(__name__)
 
@@ -286,9 +286,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keep: str = "doc_id bigint", mi
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, with their own columns.
 
-    Documents are told apart by id and text, so null and repeated ids are safe.
+    Documents are told apart by their text, so null and repeated ids are safe; null or empty texts
+    hold no item; an empty table gives an empty result.
     """
-    key = F.xxhash64(text_of())
-    hashed = docs.withColumn("_hash", key)
+    plain, own = guarded(docs)
+    hashed = plain.withColumn("_hash", F.xxhash64(text_of()))
     found = leaks(hashed, benchmark, "_hash bigint").select("_hash").distinct()
-    return hashed.join(found, "_hash", "left_anti").select(*docs.columns)
+    return hashed.join(found, "_hash", "left_anti").select(*own)

@@ -11,12 +11,15 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import text_of
+from layerloom.functions.skew import rank_within
+from layerloom.llm.common import durable, guarded, text_of
 
 CELLS = 1 << 16
 VIRTUAL_NODES = 64
@@ -110,6 +113,47 @@ def shard(docs: DataFrame, shards: int = SHARDS, slack: float = 0.0, each: int =
     )
 
 
+def stored_order(docs: DataFrame) -> Column | None:
+    """Where a row of written files stands: number of its task, file and row; None for rows not read from files."""
+    if "_metadata" in docs.columns:
+        return None
+    file = F.col("_metadata.file_name")
+    place = F.struct(
+        F.regexp_extract(file, r"^part-([0-9]+)", 1).try_cast("int").alias("_part"),
+        F.xxhash64(file).alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    )
+    try:
+        docs.select(place)
+    except AnalysisException:
+        return None
+    return place
+
+
+def shard_in_order(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The rows with ``shard`` and ``slot``, where the slots of a shard follow the order in which the rows were written.
+
+    So a range-sorted training stream keeps its order in every shard. The place in that order counts
+    as a part of a row's key on the ring: a text that the stream repeats is dealt anew each time.
+    Rows that were not read from Parquet files have no such order and are dealt by ``shard``. Ids,
+    nulls, repeated rows, empty tables and clashing names as there, other columns are untouched.
+    """
+    order = stored_order(docs)
+    if order is None:
+        plain, own = guarded(docs.drop("shard", "slot"))
+        return shard(plain, shards).select(*own, "shard", "slot")
+    names = {c: f"_own{k}" for k, c in enumerate(docs.columns) if c.lower() not in ("shard", "slot")}
+    named = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in names.items()], order.alias("_order"))
+    content = F.xxhash64(*[F.col(names[c]) for c in ("doc_id", "text") if c in names], "_order")
+    # Only numbers go through the windows; the texts meet their slots once.
+    slim = named.select("_order.*", content.alias("doc_id"), F.lit("").alias("text"))
+    dealt = durable(shard(slim, shards).select("_part", "_file", "_row", "shard"))
+    placed = rank_within(dealt, ["shard"], ["_part", "_file", "_row"], name="_place")
+    same = reduce(lambda x, y: x & y, [F.col(f"_order.{c}").eqNullSafe(placed[c]) for c in ("_part", "_file", "_row")])
+    back = [F.col(name).alias(c) for c, name in names.items()]
+    return named.join(placed, same).select(*back, "shard", (F.col("_place") - 1).alias("slot"))
+
+
 def shard_table(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id``, ``size`` (bytes + 1), ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard`` per row.
 

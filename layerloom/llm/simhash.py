@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerloom.functions.explode import worked_out
-from layerloom.llm.common import durable, text_of, travels, words_of
+from layerloom.llm.common import durable, guarded, text_of, travels, words_of
 from layerloom.llm.components import components
 
 travels(__name__)
@@ -42,7 +42,7 @@ SIGNATURE_COST = 40
 UNPACKED = 1 << 16
 
 
-def _lowered(text: Column) -> Column:
+def lowered(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, *keep: Column | str) -> DataFrame:
     Bits are summed over three-word shingles of the text with A to Z lower-cased, repeats
     included. Fewer words make one shingle; a null, empty or blank text has fingerprint 0.
     """
-    ready = worked_out(docs.select(*keep, words_of(_lowered(text_of())).alias("_words")))
+    ready = worked_out(docs.select(*keep, words_of(lowered(text_of())).alias("_words")))
     return ready.withColumn("fp", _majority(_shingle_hashes(F.col("_words")))).drop("_words")
 
 
@@ -121,14 +121,14 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
-def _projected(fp: Column, group: list[int]) -> Column:
+def projected(fp: Column, group: list[int]) -> Column:
     mask = sum(1 << b for b in group)
     return fp.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint"))
 
 
 def equal_pairs(nodes: DataFrame, groups: dict[tuple[int, int], list[int]]) -> dict[tuple[int, int], float]:
     """Pairs of rows that agree on a group of bits, counted over all rows."""
-    cells = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(k).alias("k"), _projected(F.col("fp"), g).alias("v")) for (m, k), g in groups.items()])
+    cells = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(k).alias("k"), projected(F.col("fp"), g).alias("v")) for (m, k), g in groups.items()])
     counts = nodes.select(F.explode(cells).alias("c")).groupBy("c").agg(F.count("*").cast("double").alias("n"))
     return {(r["m"], r["k"]): r["pairs"] for r in counts.groupBy("c.m", "c.k").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).collect()}
 
@@ -181,7 +181,7 @@ def _signatures(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFram
     """``part``, ``value``, ``probe`` (false: the projection itself) and ``fp``."""
     cells = []
     for k, (group, t) in enumerate(plan):
-        own = _projected(F.col("fp"), group)
+        own = projected(F.col("fp"), group)
         for flips in (c for size in range(t + 1) for c in combinations(group, size)):
             mask = sum(1 << b for b in flips)
             value = own.bitwiseXOR(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("bigint"))
@@ -202,7 +202,7 @@ def _in_blocks(signatures: DataFrame) -> DataFrame:
     )
 
 
-def _smallest_label(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def smallest_label(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     label = np.arange(size)
     while True:
         low = np.minimum(label[a], label[b])
@@ -236,12 +236,12 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rights.append(at[close + step])
             held += len(close)
             if held > 1_000_000:
-                label = _smallest_label(len(distinct), np.concatenate(lefts), np.concatenate(rights))
+                label = smallest_label(len(distinct), np.concatenate(lefts), np.concatenate(rights))
                 lefts, rights = [np.arange(len(distinct))], [label]
                 held = len(distinct)
         if not lefts:
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        label = _smallest_label(len(distinct), np.concatenate(lefts), np.concatenate(rights))
+        label = smallest_label(len(distinct), np.concatenate(lefts), np.concatenate(rights))
         moved = np.flatnonzero(label != np.arange(len(label)))
         return pd.DataFrame({"a": distinct[moved], "b": distinct[label[moved]]})
 
@@ -294,21 +294,25 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows alike in doc_id and text are one document; ties between texts of one doc_id go to the
     smaller text hash, null ids come last.
     """
-    hashed = F.xxhash64(text_of())
-    keyed = durable(fingerprints(docs, F.col("doc_id"), hashed.alias("_hash")))
-    found = keyed.join(clusters(keyed).select("fp", "component"), "fp")
+    plain, own = guarded(docs)
+    keyed = durable(fingerprints(plain, F.col("doc_id"), F.xxhash64(text_of()).alias("_hash")))
+    return first_of_each(plain, keyed.join(clusters(keyed).select("fp", "component"), "fp")).select(*own)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The document of the smallest id of each ``component`` in ``found``, which has ``doc_id`` and ``_hash`` (of the text)."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("_hash").alias("hash"))
     first = found.groupBy("component").agg(F.min(order).alias("o")).select(
         F.col("o.doc_id").alias("_first"), F.col("o.hash").alias("_hash")
     )
-    kept = docs.withColumn("_hash", hashed)
+    kept = docs.withColumn("_hash", F.xxhash64(text_of()))
     rule = kept["doc_id"].eqNullSafe(first["_first"]) & (kept["_hash"] == first["_hash"])
     # Repeated rows of one document: only ids that occur more than once go through this step.
-    again = keyed.groupBy("doc_id", "_hash").count().filter("count > 1").select(
+    again = found.groupBy("doc_id", "_hash").count().filter("count > 1").select(
         F.col("doc_id").alias("_again"), F.col("_hash").alias("_again_hash")
     )
     chosen = kept.join(first, rule, "left_semi")
     twice = chosen["doc_id"].eqNullSafe(again["_again"]) & (chosen["_hash"] == again["_again_hash"])
     once = chosen.join(again, twice, "left_anti")
     more = chosen.join(again, twice, "left_semi").dropDuplicates(["doc_id", "_hash"])
-    return once.unionByName(more).select(*docs.columns)
+    return once.unionByName(more).drop("_hash")

@@ -11,7 +11,7 @@ import pandas
 import pytest
 from pyspark.sql import functions as F
 
-from layerloom.llm import curriculum, divergence, latent, line_dedup, pii, queries, ring, secret_scan, simhash, toxicity, weak_labels
+from layerloom.llm import curriculum, divergence, latent, line_dedup, near_texts, pii, queries, ring, secret_scan, simhash, toxicity, weak_labels
 from layerloom.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, size string, spans string"
@@ -318,6 +318,76 @@ def test_weak_labels_name_the_bad(spark):
     assert all(got[k] for k in range(200)) and not any(got[500 + k] for k in range(40))
 
 
+def five_word_shingles(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+
+
+def jaccard(x, y):
+    return len(x & y) / max(len(x | y), 1)
+
+
+def test_near_copies_by_brute_force(spark):
+    r = random.Random(12)
+    rows = [(k, prose(k, 120)) for k in range(60)]
+    for k, text in list(rows):
+        words = text.split()
+        for n in range(4):
+            # One to four words changed: similarities from 0.96 down to 0.7.
+            changed = list(words)
+            for at in r.sample(range(0, 120, 8), n + 1):
+                changed[at] = changed[at] + "q"
+            rows.append((100 + 4 * k + n, " ".join(changed)))
+    rows += [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "ONE  two"), (None, rows[0][1])]
+    docs = spark.createDataFrame([(*x, "x", 1, 2) for x in rows], "doc_id bigint, text string, _hash string, component int, id int")
+    got = {}
+    for x in near_texts.near_groups(docs).collect():
+        got.setdefault(x.component, []).append(x.doc_id)
+    group = {d: c for c, ids in got.items() for d in ids}
+    sets = [(d, five_word_shingles(t)) for d, t in rows]
+    near = [(x, y) for k, (x, sx) in enumerate(sets) for y, sy in sets[:k] if jaccard(sx, sy) >= 0.8]
+    assert sum(group[x] == group[y] for x, y in near) >= 0.98 * len(near) and len(near) > 150
+    # Nothing else is together: each group is connected by pairs that brute force finds.
+    reach = {d: d if d is not None else -1 for d, _ in rows}
+    for _ in range(12):
+        for x, y in near:
+            reach[x] = reach[y] = min(reach[x], reach[y])
+    assert all(len({reach[d] for d in ids}) == 1 for ids in got.values() if not set(ids) & {900, 901, 902})
+    assert group[900] == group[901] == group[902] and group[903] == group[904]
+    kept = near_texts.keep_one_near(docs)
+    assert kept.columns == docs.columns and sorted(x.doc_id for x in kept.collect()) == sorted(min((d for d in ids if d is not None)) for ids in got.values())
+    assert near_texts.keep_one_near(docs.filter("false")).count() == 0
+
+
+def test_lightest_forest_keeps_the_closest_links():
+    a, b, d = np.array([0, 1, 0, 2]), np.array([1, 2, 2, 3]), np.array([5, 3, 4, 9])
+    assert sorted(near_texts.lightest_forest(4, a, b, d).tolist()) == [1, 2, 3]
+
+
+def test_shards_keep_the_written_order(spark, tmp_path):
+    rows = [(k % 150, f"text {k % 150}", "x", 1, k) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _cell string, slot int, nth int")
+    docs.repartitionByRange(5, "nth").sortWithinPartitions("nth").write.parquet(f"{tmp_path}/t")
+    got = ring.shard_in_order(spark.read.parquet(f"{tmp_path}/t")).collect()
+    assert len(got) == 600 and sorted(r.nth for r in got) == list(range(600))
+    by_shard = {}
+    for r in sorted(got, key=lambda r: (r["shard"], r.slot)):
+        by_shard.setdefault(r["shard"], []).append(r.nth)
+    assert all(v == sorted(v) and len(v) in (37, 38) for v in by_shard.values()) and len(by_shard) == 16
+    assert ring.shard_in_order(docs).count() == 600
+    assert ring.shard_in_order(spark.read.parquet(f"{tmp_path}/t").filter("false")).count() == 0
+
+
+def test_names_that_operators_use_are_left_alone(spark):
+    names = ["_text", "_lang", "_classes", "_hash", "_cell", "_turn", "_order", "_source", "size", "target", "kept", "n_words", "_at"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(k, prose(k, 90), "en", "a", 5, *names) for k in range(8)], schema)
+    items = spark.createDataFrame([(1, prose(99, 30))], "item_id bigint, text string")
+    for out in (divergence.keep_good(docs), simhash.keep_one(docs), latent.without_leaks(docs, items), curriculum.mixed(docs)):
+        found = out.collect()
+        assert out.columns == docs.columns and found and all(list(r)[5:] == names for r in found)
+
+
 def test_pipeline_decisions_take_effect(spark, sf_dir):
     import corpus_pipeline
 
@@ -326,8 +396,11 @@ def test_pipeline_decisions_take_effect(spark, sf_dir):
     judged = divergence.judge(docs)
     assert {r.doc_id for r in good.collect()} == {r.doc_id for r in judged.filter("kept").collect()}
     one = corpus_pipeline.near_dedup(spark, good, sf_dir)
-    groups = simhash.near_duplicates(good).collect()
-    assert {r.doc_id for r in one.collect()} == {r.component_id for r in groups}
+    sets = {r.doc_id: five_word_shingles(r.text) for r in good.collect()}
+    assert {r.doc_id for r in one.collect()} <= set(sets)
+    kept = [r.doc_id for r in one.collect()]
+    left = [(x, y) for k, x in enumerate(kept) for y in kept[:k] if jaccard(sets[x], sets[y]) >= 0.8]
+    assert len(left) <= 0.1 * (len(sets) - len(kept))
     assert corpus_pipeline.run(spark, sf_dir).columns == [*docs.columns, "shard", "slot"]
 
 
