@@ -27,6 +27,7 @@ from layerloom.fixed_values import (
 from layerloom.functions.explode import explode_rows
 from layerloom.functions.rewrite import pieces
 from layerloom.functions.skew import join_dimension
+from layerloom.functions.tasks import kept
 from layerloom.operators.filters import applied
 from layerloom.operators.name_search import noted, one_per_name, substituted
 
@@ -182,6 +183,10 @@ def normalize_names(
     pages: DataFrame, ledger: DataFrame, page_id: str = "page_id", text: str = "body", **limits
 ) -> DataFrame:
     """Rewritten ``text`` with its ``audit`` and ``notes``."""
+    inline_names = INLINE_NAMES if limits.get("inline_names") is None else limits["inline_names"]
+    # A large ledger is read several times.
+    if ledger.limit(inline_names + 1).count() > inline_names:
+        ledger = kept(ledger)
     return add_notes(substitute(pages, ledger, page_id, text, **limits), ledger, page_id, text, **limits)
 
 

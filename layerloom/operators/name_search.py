@@ -1,10 +1,11 @@
 """Search of a name ledger of any size in page texts.
 
-The ledger is cut into shards of at most ``SHARD_NAMES`` names, each of which becomes one multi-pattern
-automaton in the tasks. With one shard a text is searched and rewritten where it lies and nothing is
-shuffled. With more, every shard is searched in a pass of its own that leaves hit intervals (text key, start,
-length) in a kept table, so no more than one shard is in memory at a time; the intervals of a text, of all
-shards, then meet it in one join and are merged there.
+The ledger is cut into shards of at most ``SHARD_NAMES`` names, which travel to the tasks packed. A task takes
+a piece of its texts at a time and goes through all shards: names whose first bytes the piece does not hold are
+put aside, the others become multi-pattern automata of at most ``SHARD_NAMES`` names. Texts are searched and
+rewritten where they lie, and nothing is shuffled. Beyond ``PASS_SHARDS`` shards the ledger does not travel at
+once: every such part of it is searched in a pass of its own that leaves a row of hits per distinct text in a
+kept table, and a text meets its rows of all passes in one join.
 
 Hits belong to texts, not to page ids: pages that repeat, or share an id, are pages of their own.
 """
@@ -15,7 +16,9 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +27,18 @@ from layerloom.functions.tasks import kept, travels
 
 travels(__name__)
 
-# Names of one automaton. Read when a function runs, so a deployment or a test may set it here.
+# Names of one automaton, and shards that travel at once. Read when a function runs, so a deployment or a test
+# may set them here.
 SHARD_NAMES = 200_000
+PASS_SHARDS = 64
+
+# Characters of the texts that go through the shards together, and texts that are returned together.
+PIECE_CHARS = 3_000_000
+RETURNED_TEXTS = 128
+
+# Names are compared with a piece by at most so many first bytes, each length as a bit of their hash.
+PREFIX_BYTES = 12
+MARK_BITS = 23
 
 AUDIT_STRUCT = "struct<name:string,representative:string,confidence:string,replaced:bigint>"
 REWRITTEN_TYPE = f"struct<text:string,audit:array<{AUDIT_STRUCT}>>"
@@ -51,14 +64,12 @@ def _automaton(names: list[tuple]):
     return found
 
 
-def longest_hits(automaton, text: str) -> dict[int, tuple[int, str, str]]:
+def longest_hits(automaton, text: str, longest: dict[int, tuple[int, str, str]]) -> None:
     """For every place where a name begins, the longest one: its length and its two values."""
-    longest: dict[int, tuple[int, str, str]] = {}
     for end, hit in automaton.iter(text):
         start = end - hit[0] + 1
         if start not in longest or longest[start][0] < hit[0]:
             longest[start] = hit
-    return longest
 
 
 def rewrite(text: str, hits: dict[int, tuple[int, str, str]], protected: re.Pattern) -> tuple[str, list[tuple]]:
@@ -92,45 +103,161 @@ def rewrite(text: str, hits: dict[int, tuple[int, str, str]], protected: re.Patt
     return "".join(parts), [(n, *values[n], c) for n, c in sorted(counts.items(), key=lambda x: -x[1])]
 
 
-def names_held(automaton, text: str) -> list[tuple]:
-    """The distinct names of a text, by their first value, then by name, then by their second."""
-    # The first value is a sort key in text form, so that one search serves both uses.
-    return sorted({(first, text[end - size + 1 : end + 1], second) for end, (size, first, second) in automaton.iter(text)})
-
-
-def _shards(names: DataFrame) -> int:
-    return -(-names.count() // SHARD_NAMES)
+def names_held(automaton, text: str, held: set[tuple]) -> None:
+    """The distinct names of a text: their first value, which is a sort key in text form, the name, their second."""
+    held.update((first, text[end - size + 1 : end + 1], second) for end, (size, first, second) in automaton.iter(text))
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1, 2, ... bytes from ``starts``: which still lie before ``ends``, and their hashes."""
+    at, value = np.arange(len(starts)), np.zeros(len(starts), np.uint32)
+    for n in range(PREFIX_BYTES):
+        inside = starts[at] + n < ends[at]
+        at, value = at[inside], value[inside]
+        value = (value + data[starts[at] + n] + np.uint32(1)) * np.uint32(2_654_435_761)
+        value ^= value >> np.uint32(15)
+        yield at, value >> np.uint32(32 - MARK_BITS)
+
+
+def _marks(texts: list[str], firsts: np.ndarray) -> np.ndarray:
+    """The hashes of what begins in the texts with one of the bytes ``firsts``."""
+    marks = np.zeros(1 << MARK_BITS, bool)
+    for text in texts:
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        starts = np.flatnonzero(firsts[data])
+        for _, value in _hashes(data, starts, np.full(len(starts), len(data))):
+            marks[value] = True
+    return marks
+
+
+def _bytes_of(names: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the names and where each begins, with the end of the last."""
+    column = names.column("name").combine_chunks()
+    _, offsets, data = column.buffers()
+    edges = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8), edges
+
+
+def _prefix_hash(names: pa.Table) -> np.ndarray:
+    """The hash of the first bytes of every name; one with fewer bytes has that of its last."""
+    data, edges = _bytes_of(names)
+    last = np.zeros(len(names), np.uint32)
+    for at, value in _hashes(data, edges[:-1], edges[1:]):
+        last[at] = value
+    return last
+
+
+class Shards:
+    """A packed ledger, or a part of it, in a task."""
+
+    def __init__(self, packed: list[bytes], firsts: np.ndarray) -> None:
+        self.packed, self.firsts, self.only = packed, firsts, None
+        self.hashes = [_prefix_hash(_unpacked(part)) for part in packed] if len(packed) > 1 else []
+
+    def automata(self, texts: list[str]) -> Iterator:
+        """Automata that together find every name of the ledger in the texts."""
+        if len(self.packed) == 1:
+            if self.only is None:
+                self.only = _automaton(_rows(_unpacked(self.packed[0])))
+            yield self.only
+            return
+        marks, waiting = _marks(texts, self.firsts), []
+        for part, hashes in zip(self.packed, self.hashes):
+            # All names that occur are among these.
+            waiting += _rows(_unpacked(part).filter(pa.array(marks[hashes])))
+            if len(waiting) >= SHARD_NAMES:
+                yield _automaton(waiting)
+                waiting = []
+        if waiting:
+            yield _automaton(waiting)
+
+
+def _unpacked(part: bytes) -> pa.Table:
+    return pa.ipc.open_stream(part).read_all()
+
+
+def _rows(names: pa.Table) -> list[tuple]:
+    return list(zip(*[c.to_pylist() for c in names.columns]))
+
+
+def _packed(names: DataFrame, shards: int, wanted: Iterable[int]) -> tuple[list[bytes], np.ndarray]:
+    """The shards as Arrow streams, and which bytes their names begin with. One shard is in the driver unpacked."""
+    parts, firsts = [], np.zeros(256, bool)
+    for shard in wanted:
+        mine = names.filter(F.pmod(F.xxhash64("name"), F.lit(shards)) == shard) if shards > 1 else names
+        table = mine.toArrow().cast(pa.schema([(c, pa.string()) for c in names.columns]))
+        if not len(table):
+            continue
+        data, edges = _bytes_of(table)
+        firsts[data[edges[:-1]]] = True
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
+        parts.append(sink.getvalue().to_pybytes())
+    return parts, firsts
+
+
+def _pieces(batches: Iterator[pd.Series]) -> Iterator[list[str | None]]:
+    """The texts, about ``PIECE_CHARS`` characters at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for text in batch:
+            held.append(text)
+            size += len(text or "")
+            if size >= PIECE_CHARS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def _found(shards: Shards, texts: list[str | None], work: Callable, none: Callable) -> list:
+    """What ``work`` collects from every text over the whole ledger, in a ``none()`` of its own; null texts have none."""
+    found = [None if t is None else none() for t in texts]
+    for automaton in shards.automata([t for t in texts if t]):
+        for text, held in zip(texts, found):
+            if text:
+                work(automaton, text, held)
+    return found
 
 
-def _shard(names: DataFrame, shard: int, shards: int) -> list[tuple]:
-    mine = names.filter(F.pmod(F.xxhash64("name"), F.lit(shards)) == shard) if shards > 1 else names
-    return [tuple(r) for r in mine.collect()]
+def _kept_names(names: DataFrame) -> tuple[DataFrame, int]:
+    """The names, worked out once, and the number of shards."""
+    names = kept(names)
+    return names, max(1, -(-names.count() // SHARD_NAMES))
 
 
-def _hits(texts: DataFrame, names: DataFrame, shards: int, work: Callable[[object, str], list[tuple]], schema: str) -> DataFrame:
-    """Rows of ``work`` for every distinct text, one kept pass per shard."""
+def _hits(texts: DataFrame, names: DataFrame, shards: int, work: Callable, none: Callable, listed: Callable, kind: str) -> DataFrame:
+    """A row ``key``, ``hits`` per pass and distinct text that has some."""
 
     def search(shared) -> Callable:
-        columns = [c.split()[0] for c in schema.split(", ")]
-
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            automaton = _automaton(shared.value)
-            for batch in batches:
-                rows = [(key, *row) for key, text in zip(batch["key"], batch["text"]) for row in work(automaton, text)]
-                yield pd.DataFrame(rows, columns=columns)
+            mine = Shards(*shared.value)
+            keys: list[str] = []
+
+            def bodies() -> Iterator[pd.Series]:
+                for batch in batches:
+                    keys.extend(batch["key"])
+                    yield batch["text"]
+
+            for texts in _pieces(bodies()):
+                rows = [(key, listed(held)) for key, held in zip(keys, _found(mine, texts, work, none)) if held]
+                del keys[: len(texts)]
+                for at in range(0, len(rows), RETURNED_TEXTS):
+                    yield pd.DataFrame(rows[at : at + RETURNED_TEXTS], columns=["key", "hits"])
 
         return run
 
     found = None
-    for shard in range(shards):
-        mine = _shard(names, shard, shards)
-        if not mine:
+    for first in range(0, shards, PASS_SHARDS):
+        packed = _packed(names, shards, range(first, min(first + PASS_SHARDS, shards)))
+        if not packed[0]:
             continue
-        shared = texts.sparkSession.sparkContext.broadcast(mine)
-        part = kept(texts.mapInPandas(search(shared), schema))
+        shared = texts.sparkSession.sparkContext.broadcast(packed)
+        part = kept(texts.mapInPandas(search(shared), f"key string, hits {kind}"))
         shared.destroy()
         found = part if found is None else found.unionByName(part)
-    return found
+    return found.groupBy(F.col("key").alias("_key")).agg(F.flatten(F.collect_list("hits")).alias("_hits"))
 
 
 def _per_text(df: DataFrame, text: str) -> DataFrame:
@@ -142,33 +269,35 @@ def _per_text(df: DataFrame, text: str) -> DataFrame:
 def substituted(pages: DataFrame, names: DataFrame, text: str, protected: str) -> DataFrame:
     """``pages`` with ``text`` rewritten and its ``audit``; ``names`` is (name, representative, confidence), each name once."""
     pattern = re.compile(protected, re.DOTALL)
-    shards = _shards(names)
+    names, shards = _kept_names(names)
 
     def packed(made: Iterable[tuple[str, list[tuple]] | None]) -> pd.DataFrame:
         fields = ("name", "representative", "confidence", "replaced")
         rows = [(m[0], [dict(zip(fields, a)) for a in m[1]]) if m else (None, None) for m in made]
         return pd.DataFrame(rows, columns=["text", "audit"])
 
-    if shards <= 1:
-        shared = pages.sparkSession.sparkContext.broadcast(_shard(names, 0, 1))
+    if shards <= PASS_SHARDS:
+        shared = pages.sparkSession.sparkContext.broadcast(_packed(names, shards, range(shards)))
 
         @F.pandas_udf(REWRITTEN_TYPE)
         def in_place(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            automaton = _automaton(shared.value)
-            for batch in batches:
-                yield packed(rewrite(t, longest_hits(automaton, t), pattern) if t is not None else None for t in batch)
+            mine = Shards(*shared.value)
+            for texts in _pieces(batches):
+                found = _found(mine, texts, longest_hits, dict)
+                for at in range(0, len(texts), RETURNED_TEXTS):
+                    part = slice(at, at + RETURNED_TEXTS)
+                    yield packed(rewrite(t, h, pattern) if t is not None else None for t, h in zip(texts[part], found[part]))
 
         done = pages.withColumn("_done", in_place(F.col(text)))
     else:
-        schema = "key string, start int, length int, first string, second string"
-        hits = _hits(
-            _per_text(pages, text), names, shards,
-            lambda automaton, body: [(start, *hit) for start, hit in longest_hits(automaton, body).items()], schema,
-        )
         # As many hits per text as it has places.
-        lists = hits.groupBy("key").agg(F.collect_list(F.struct("start", "length", "first", "second")).alias("_hits"))
+        lists = _hits(
+            _per_text(pages, text), names, shards, longest_hits, dict,
+            lambda held: [dict(zip(("start", "length", "first", "second"), (start, *hit))) for start, hit in held.items()],
+            "array<struct<start:int,length:int,first:string,second:string>>",
+        )
         keyed = pages.withColumn("_key", text_key(F.col(text)))
-        joined = join_dimension(keyed, lists.withColumnRenamed("key", "_key"), ["_key"], "left", salt_by=["_key", *_plain(pages)])
+        joined = join_dimension(keyed, lists, ["_key"], "left", salt_by=["_key", *_plain(pages)])
 
         def of_all(found: Iterable | None) -> dict[int, tuple[int, str, str]]:
             longest: dict[int, tuple[int, str, str]] = {}
@@ -196,21 +325,25 @@ def noted(pages: DataFrame, names: DataFrame, text: str) -> DataFrame:
 
     ``names`` is (name, at, representative), each name once; ``at`` is text that sorts as the notes do.
     """
-    shards = _shards(names)
-    if shards <= 1:
-        shared = pages.sparkSession.sparkContext.broadcast(_shard(names, 0, 1))
+    names, shards = _kept_names(names.select("name", "at", "representative"))
+    fields = ("at", "name", "representative")
+    kind = "array<struct<at:string,name:string,representative:string>>"
+    if shards <= PASS_SHARDS:
+        shared = pages.sparkSession.sparkContext.broadcast(_packed(names, shards, range(shards)))
 
-        @F.pandas_udf("array<struct<at:string,name:string,representative:string>>")
+        @F.pandas_udf(kind)
         def in_place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            automaton = _automaton(shared.value)
-            fields = ("at", "name", "representative")
-            for batch in batches:
-                yield pd.Series([[dict(zip(fields, row)) for row in names_held(automaton, t)] if t is not None else None for t in batch], dtype=object)
+            mine = Shards(*shared.value)
+            for texts in _pieces(batches):
+                found = _found(mine, texts, names_held, set)
+                for at in range(0, len(texts), RETURNED_TEXTS):
+                    part = found[at : at + RETURNED_TEXTS]
+                    yield pd.Series([[dict(zip(fields, row)) for row in sorted(h)] if h is not None else None for h in part], dtype=object)
 
         return pages.withColumn("_notes", in_place(F.col(text)))
     # The pages are read by every pass and by the join, so a rewrite before this one is not run again.
     pages = kept(pages)
-    found = _hits(_per_text(pages, text), names, shards, names_held, "key string, at string, name string, representative string")
-    lists = found.groupBy(F.col("key").alias("_key")).agg(F.sort_array(F.collect_list(F.struct("at", "name", "representative"))).alias("_notes"))
+    lists = _hits(_per_text(pages, text), names, shards, names_held, set, lambda held: [dict(zip(fields, row)) for row in held], kind)
+    lists = lists.select("_key", F.sort_array("_hits").alias("_notes"))
     keyed = pages.withColumn("_key", text_key(F.col(text)))
     return join_dimension(keyed, lists, ["_key"], "left", salt_by=["_key", *_plain(pages)]).drop("_key")

@@ -213,3 +213,26 @@ def test_canonicalize(spark):
     seen = spark.createDataFrame([("char", "a"), ("item", "u")], "kind string, name string")
     got = lg.canonicalize(seen, book).select("name", "representative", "confidence", "canonical_id")
     assert rows(got) == [("a", "b", EXPLICIT, "E_char_b"), ("u", "u", None, "E_item_u")]
+
+def test_passes_of_a_ledger_give_the_same(spark, monkeypatch):
+    rng = random.Random(13)
+    names = {"".join(rng.choices("abé語🙂", k=rng.randint(1, 16))): rng.choice([EXPLICIT, UNVERIFIED]) for _ in range(120)}
+    book = ledger(spark, *[(n, f"<{n}>", c) for n, c in names.items()])
+    source = pages(spark, *["".join(rng.choices([*"abé語🙂d[|](", *names], k=60)) for _ in range(25)], "", None)
+    found = []
+    for shards, piece in ((64, 8_000_000), (64, 300), (2, 300)):
+        monkeypatch.setattr(name_search, "SHARD_NAMES", 20)
+        monkeypatch.setattr(name_search, "PASS_SHARDS", shards)
+        monkeypatch.setattr(name_search, "PIECE_CHARS", piece)
+        found.append(rows(lg.normalize_names(source, book, inline_names=0).selectExpr("page_id", "body", "string(audit)", "string(notes)")))
+    assert found[0] == rows(lg.normalize_names(source, book).selectExpr("page_id", "body", "string(audit)", "string(notes)"))
+    assert found[1] == found[0] and found[2] == found[0]
+
+
+def test_shards_of_a_ledger_are_searched_without_a_kept_table_of_hits(spark, monkeypatch):
+    """Hits of every place in every text once filled the disk."""
+    monkeypatch.setattr(name_search, "SHARD_NAMES", 2)
+    book = ledger(spark, *[(n, f"<{n}>", UNVERIFIED if n < "c" else EXPLICIT) for n in "abcdefgh"])
+    done = lg.normalize_names(pages(spark, "a b c d", "h g f"), book, inline_names=0)
+    assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
+    assert rows(done.select("body")) == [("<h> <g> <f>",), ("a b <c> <d>",)]
