@@ -46,6 +46,20 @@ def test_no_quotes_and_no_paragraphs(spark):
     assert places.locate_quotes(quotes, told.filter("false")).count() == 0
 
 
+def test_texts_are_handed_on_in_parts(spark, monkeypatch):
+    """The pieces of ten thousand texts at once were more than an executor holds; now none leave a task but hits."""
+    monkeypatch.setattr(places, "HELD_ITEMS", 3)
+    monkeypatch.setattr(places, "QUOTES_PER_ROW", 2)
+    told = spark.createDataFrame([("c", n, "abcab" * n) for n in range(1, 9)], "chapter string, para int, text string")
+    words = ["ab", "abc", "b", "cab", "abcababcababcab", "x"]
+    quotes = spark.createDataFrame(list(enumerate(words)), "quote_id int, quote string")
+    want = [(i, "c", n, at) for i, q in enumerate(words) for n in range(1, 9) for at in places.occurrences("abcab" * n, q)]
+    assert rows(places.locate_quotes(quotes, told)) == sorted(want, key=repr)
+    offered = places._by_length(quotes.filter("length(quote) < 15").select("quote"), told)
+    plan = offered._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan and "Join" not in plan
+
+
 PAGE = """[[Z]] before
 # one
 [[A|a]] and [[B#x]]
