@@ -141,3 +141,20 @@ def test_stratified_sample_does_not_depend_on_partitions(spark):
     for row in quality.agreement_by_stratum(sample, sizes, "found", "expected", "stratum").collect():
         assert row["sampled"] == 20 and 0 <= row["low"] <= row["rate"] <= row["high"] <= 1
     assert {x["stratum"] for x in quality.agreement_by_stratum(sample, sizes, "found", "expected", "stratum").collect()} == {"a", "b", None}
+
+
+@pytest.mark.parametrize("broadcast", [skew.BROADCAST_ROWS, 0])
+def test_totals_of_ranges_need_no_pairs(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast)
+    r = random.Random(4)
+    units = [(n, r.choice([None, *range(40), 700])) for n in range(300)] + [(None, 3), (1, -2)]
+    spans = [(n, a, a + w) for n, (a, w) in enumerate((r.randrange(-5, 60), r.choice([-1, 0, 2, 35, 900])) for _ in range(60))] + [(90, None, 4), (91, 2, None)]
+    told = spark.createDataFrame(units, "id int, unit int")
+    asked = spark.createDataFrame(spans, "name int, low bigint, high bigint")
+    paired = intervals.ranges_of_units(told, asked).groupBy("name", "low", "high").agg(
+        F.count("*").alias("rows"), F.min("unit").cast("bigint").alias("first"), F.max("unit").cast("bigint").alias("last"), F.sum("id").alias("id")
+    )
+    found = intervals.range_totals(told, asked, ["id"])
+    assert found.columns == ["name", "low", "high", "rows", "first", "last", "id"]
+    assert rows(found) == rows(paired) and found.count() > 30
+    assert intervals.range_totals(told.filter("false"), asked, ["id"]).count() == 0
