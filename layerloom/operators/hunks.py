@@ -9,16 +9,21 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from layerloom.functions.tasks import travels
+from layerloom.functions.tasks import text_parts, travels
 
 travels(__name__)
 
 HUNK_TYPE = "array<struct<old_start:bigint,old_lines:bigint,new_start:bigint,new_lines:bigint,removed:string,added:string>>"
+HUNK_ARROW = pa.list_(pa.struct(
+    [(c, pa.int64()) for c in ("old_start", "old_lines", "new_start", "new_lines")] + [(c, pa.string()) for c in ("removed", "added")]
+))
 
 
 def longest_increasing(places: list[int]) -> list[int]:
@@ -79,19 +84,12 @@ def applied_hunks(old: str, hunks: list) -> str:
     return "\n".join([*out, *lines[at:]])
 
 
-def _hunks(before: pd.Series, after: pd.Series) -> pd.Series:
-    def row(old: str | None, new: str | None) -> list[dict]:
-        a, b = (old or "").split("\n"), (new or "").split("\n")
-        return [
-            {"old_start": s, "old_lines": n, "new_start": t, "new_lines": m, "removed": "\n".join(a[s : s + n]), "added": "\n".join(b[t : t + m])}
-            for s, n, t, m in line_hunks(a, b)
-        ]
-
-    return pd.Series([row(old, new) for old, new in zip(before, after)], dtype=object)
-
-
-def _patched(before: pd.Series, hunks: pd.Series) -> pd.Series:
-    return pd.Series([applied_hunks(old or "", list(h)) for old, h in zip(before, hunks)], dtype=object)
+def _hunks(old: str | None, new: str | None) -> list[dict]:
+    a, b = (old or "").split("\n"), (new or "").split("\n")
+    return [
+        {"old_start": s, "old_lines": n, "new_start": t, "new_lines": m, "removed": "\n".join(a[s : s + n]), "added": "\n".join(b[t : t + m])}
+        for s, n, t, m in line_hunks(a, b)
+    ]
 
 
 def change_hunks(log: DataFrame) -> DataFrame:
@@ -100,14 +98,31 @@ def change_hunks(log: DataFrame) -> DataFrame:
     Line numbers count from 0. Texts that differ have a hunk, equal ones none.
     """
     others = [c for c in log.columns if c not in ("before", "after")]
-    return log.select(*others, F.pandas_udf(_hunks, HUNK_TYPE)("before", "after").alias("hunks"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_parts(batch, ["before", "after"]):
+                found = [_hunks(old, new) for old, new in zip(part.column("before").to_pylist(), part.column("after").to_pylist())]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in others], pa.array(found, HUNK_ARROW)], names=[*others, "hunks"])
+
+    schema = T.StructType([*[log.schema[c] for c in others], T.StructField("hunks", T.DataType.fromDDL(HUNK_TYPE))])
+    return log.select(*others, "before", "after").mapInArrow(run, schema)
 
 
 def patched(pages: DataFrame, hunks: DataFrame, key: str = "path", text: str = "text") -> DataFrame:
     """The pages with their hunks applied; pages without a row in ``hunks`` stay as they are."""
-    joined = pages.join(hunks.select(key, "hunks"), key, "left")
-    changed = F.when(F.col("hunks").isNotNull(), F.pandas_udf(_patched, "string")(F.col(text), F.coalesce("hunks", F.array().cast(HUNK_TYPE))))
-    return joined.withColumn(text, F.coalesce(changed, F.col(text))).drop("hunks")
+    own = pages.columns
+    joined = pages.join(hunks.select(key, F.col("hunks").alias("_hunks")), key, "left").select(*own, "_hunks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_parts(batch, [text]):
+                bodies, found = part.column(text).to_pylist(), part.column("_hunks").to_pylist()
+                made = [applied_hunks(old or "", h) if h is not None else old for old, h in zip(bodies, found)]
+                columns = [pa.array(made, pa.string()) if c == text else part.column(c) for c in own]
+                yield pa.RecordBatch.from_arrays(columns, names=own)
+
+    return joined.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in pages.schema]))
 
 
 def hunk_rows(changes: DataFrame, key: str = "path") -> DataFrame:

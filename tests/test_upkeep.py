@@ -2,11 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from layerloom.fixed_values import EXPLICIT
+from layerloom.functions import tasks
 from layerloom.operators import closure, delta, hunks, lineage, manifest, rollup
 
 CLAIMS = "page string, chapter string, object_id string, claim_id string, statement string"
@@ -126,6 +128,21 @@ def test_hunks_rebuild_the_new_text(spark):
     assert (first["hunk"], first["removed"], first["added"]) == (1, "b", "")
 
 
+def test_texts_become_python_objects_in_parts(spark):
+    """Hunks of ten thousand pages at once were held by a task."""
+    texts = ["a" * 400, None, "b" * 700, "", "c" * 5_000, *["d"] * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["n", "text"])
+    parts = list(tasks.text_parts(batch, ["text"], 1_000))
+    assert [x for p in parts for x in p.column("text").to_pylist()] == texts
+    assert len(parts) >= 8 and max(p.num_rows for p in parts) <= tasks.PART_ROWS
+    assert list(tasks.text_parts(batch.slice(0, 0), ["text"])) == []
+    log = spark.createDataFrame([("p", "a\nb", "a\nc"), ("q", None, "x"), ("r", "y", None)], "path string, before string, after string")
+    found = hunks.change_hunks(log)
+    made = hunks.patched(log.select("path", F.col("before").alias("text")).unionByName(spark.createDataFrame([("s", None)], "path string, text string")), found)
+    assert rows(made) == [("p", "a\nc"), ("q", "x"), ("r", ""), ("s", None)]
+    assert "ArrowEvalPython" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hunks_leave_unchanged_lines_alone():
     old = [f"line {n}" for n in range(200)]
     new = [*old[:50], "new", *old[50:120], *old[121:]]
