@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from layerloom.functions.text import group, text_or_null, unquote
 
-# Key, quote mark, value without its quotes.
-TOP_LEVEL_LINE = r"""(?m)^(\w+):[ \t]*(["']?)(.*?)\2[ \t]*$"""
+TOP_LEVEL_LINE = r"(?m)^\w+:.*$"
 
 # Quote mark, item; a wikilink gives its target alone.
 LIST_ITEM = (
@@ -18,12 +17,29 @@ LIST_ITEM = (
 )
 
 
+def _unquoted(value: Column) -> Column:
+    """A trimmed value without the two equal quotes around it."""
+    mark, size = F.left(value, F.lit(1)), F.length(value)
+    quoted = (size > 1) & mark.isin("'", '"') & (F.right(value, F.lit(1)) == mark)
+    return F.when(quoted, F.substr(value, F.lit(2), size - 2)).otherwise(value)
+
+
 def entries(front_matter: Column) -> Column:
-    """All top-level ``key: value`` lines, as parallel arrays, in one look at the text."""
-    return F.struct(
-        F.regexp_extract_all(front_matter, F.lit(TOP_LEVEL_LINE), F.lit(1)).alias("keys"),
-        F.regexp_extract_all(front_matter, F.lit(TOP_LEVEL_LINE), F.lit(3)).alias("values"),
-    )
+    """All top-level ``key: value`` lines, as parallel arrays, in one look at the text.
+
+    The pattern takes whole lines: one that takes them apart goes back at every character of a value.
+    """
+    lines = F.regexp_extract_all(front_matter, F.lit(TOP_LEVEL_LINE), F.lit(0))
+
+    def parts(found: Column) -> Column:
+        values = F.transform(found, lambda x: F.btrim(F.substr(x, F.instr(x, ":") + 1), F.lit(" \t")))
+        return F.struct(
+            F.transform(found, lambda x: F.substring_index(x, ":", 1)).alias("keys"),
+            F.transform(values, _unquoted).alias("values"),
+        )
+
+    # The lines are named once.
+    return F.get(F.transform(F.array(lines), parts), F.lit(0))
 
 
 def scalar(found: Column, key: str) -> Column:

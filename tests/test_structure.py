@@ -1,9 +1,13 @@
+import re
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from layerloom.functions import front_matter as fm
 from layerloom.operators import filters
 from layerloom.operators import structure as st
+from layerloom.plans import stand_ins as si
 
 CLAIM = """---
 schema_version: "5.1"
@@ -208,3 +212,20 @@ def test_thin_units_include_missing(spark):
     seen = spark.createDataFrame([(1,), (1,), (1,), (2,)], "unit int")
     units = spark.createDataFrame([(1,), (2,), (3,)], "unit int")
     assert rows(filters.thin_units(seen, units, 3)) == [(2, 1), (3, 0)]
+
+
+def test_lines_of_a_front_matter_as_one_pattern_reads_them(spark):
+    lines = [
+        "a: x", "b: 'x'", 'c: "x y"  ', "d:", "e:\t ", "f: '", 'g: "\'"', "h: 'x\"", "i: \"a\" \"b\"", "j: ''", "k:'' '", "l: ' x ' \t", " m: no",
+        "n o: no", "p: a: b", "q:x\r", "r: '''", "a: again", "s: {k: v, id: 'w'}", "t: 語'", "u: \u3000x\u3000",
+    ]
+    front = "\n".join(lines)
+    # What the lines are by definition: key, quote mark, value without its quotes.
+    want = [(k, v) for k, _, v in re.findall(r"""(?m)^(\w+):[ \t]*(["']?)(.*?)\2[ \t]*$""", front.replace("\r", ""))]
+    got = spark.createDataFrame([(front,)], "f string").select(fm.entries(F.col("f")).alias("e")).first()["e"]
+    assert list(zip(got["keys"], got["values"])) == want
+
+
+def test_pages_of_a_few_splits_are_dealt_over_the_tasks(spark, sf_dir):
+    for made in (si.claim_pages(spark, sf_dir), si.episode_pages(spark, sf_dir)):
+        assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
