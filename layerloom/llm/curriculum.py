@@ -23,6 +23,8 @@ STARTS = (1.5, 1.0, 0.5)
 SHARE = 1.5
 MOST = 2
 
+RESULTS = ("size", "source_size", "target", "taken", "positions")
+
 ROWS_PER_BUCKET = 256
 MAX_BUCKETS = 1 << 16
 
@@ -85,7 +87,22 @@ def position(words: Column, target: Column, start: Column) -> Column:
     return F.when(bend == 0, y).otherwise((F.sqrt(F.greatest(start * start + 4 * bend * y, F.lit(0.0))) - start) / (2 * bend))
 
 
-def mix(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
+def _range_sorted(rows: DataFrame, position: Column, *ties: Column | str) -> DataFrame:
+    """The rows in the order of training time: dealt into ranges of it, each range sorted. What has no position is last."""
+    time = F.coalesce(position, F.lit(float("inf")))
+    return rows.repartitionByRange(time, F.xxhash64(*ties)).sortWithinPartitions(time, *ties)
+
+
+def mix(docs: DataFrame, share: float = SHARE, most: int = MOST, keep: list[str] | None = None) -> DataFrame:
+    """The rows of ``placed`` in the order of their first training position, with the input columns ``keep`` (all)."""
+    made = placed(docs, share, most)
+    own = [c for c in made.columns if c not in RESULTS]
+    # A range sort looks at its rows twice; they are worked out once.
+    ready = durable(made.select(*(own if keep is None else keep), *RESULTS))
+    return _range_sorted(ready, F.get("positions", F.lit(0))["position"], "doc_id")
+
+
+def placed(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Every row with ``size``, ``source_size``, ``target``, ``taken`` and ``positions``.
 
     Documents of a source are taken in hash order, again and again, until its target is spent; the
@@ -94,8 +111,7 @@ def mix(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
     null or blank text has size 0 and takes nothing, repeated rows are documents of their own, and
     an empty table gives an empty result. Input columns named like a result column are replaced.
     """
-    results = ["size", "source_size", "target", "taken", "positions"]
-    own = docs.drop(*results)
+    own = docs.drop(*RESULTS)
     source = pick(docs, "source", "string")
     ready = own.withColumns(
         {
@@ -134,15 +150,15 @@ def mix(docs: DataFrame, share: float = SHARE, most: int = MOST) -> DataFrame:
         )
 
     turns = F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), turn), lambda x: x["words"] > 0)
-    placed = begun.withColumn("positions", turns)
+    timed = begun.withColumn("positions", turns)
     taken = F.aggregate("positions", F.lit(0).cast("bigint"), lambda a, x: a + x["words"])
-    return placed.withColumn("taken", taken).select(*own.columns, *results)
+    return timed.withColumn("taken", taken).select(*own.columns, *RESULTS)
 
 
 def mix_table(docs: DataFrame) -> DataFrame:
-    """The contract's row per document: ids and numbers, and the first training position."""
+    """The contract's row per document: ids and numbers, and the first training position, in its order."""
     slim = docs.select("doc_id", pick(docs, "source", "string"), text_of().alias("text"))
-    return mix(slim).select(
+    return mix(slim, keep=["doc_id"]).select(
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.round(F.get("positions", F.lit(0))["position"], 9).alias("first_position")
     )
 
@@ -151,18 +167,14 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The training stream: a row for each time a document is taken, range-sorted by position.
 
     A document taken in part keeps its first words. ``text`` and ``n_chars`` are those of what is taken;
-    other columns stay, whatever they are called. Nulls, repeated rows and empty tables as in ``mix``.
+    other columns stay, whatever they are called. Nulls, repeated rows and empty tables as in ``placed``.
     """
     plain, own = guarded(docs)
-    stream = mix(plain).select("*", F.explode("positions").alias("_turn"))
+    stream = placed(plain).select("*", F.explode("positions").alias("_turn"))
     whole = F.col("_turn.words") == F.col("size")
     cut = F.regexp_extract(F.col("text"), f"^{SPACE.replace('+', '*')}", 0)
     part = F.concat(cut, F.array_join(F.slice(words_of(text_of()), F.lit(1), F.col("_turn.words").cast("int")), " "))
     out = stream.withColumn("text", F.when(whole, F.col("text")).otherwise(part))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return (
-        out.repartitionByRange(F.col("_turn.position"), F.xxhash64("doc_id", "text"))
-        .sortWithinPartitions(F.col("_turn.position"), "doc_id")
-        .select(*own)
-    )
+    return _range_sorted(out, F.col("_turn.position"), "doc_id", "text").select(*own)

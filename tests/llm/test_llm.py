@@ -414,3 +414,12 @@ def test_queries_with_sql_equal_it(spark, sf_dir):
         theirs = database.execute(sql).fetchdf()[mine.columns]
         mine, theirs = (df.sort_values(keys).reset_index(drop=True) for df in (mine, theirs))
         pandas.testing.assert_frame_equal(mine.fillna(-1), theirs.fillna(-1), check_dtype=False, rtol=0, atol=1e-6)
+
+
+def test_op8_rows_come_in_the_order_of_the_mix(spark):
+    rows = [(n, "w " * (n % 37), f"src{n % 5}") for n in range(600)]
+    found = curriculum.mix_table(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3))
+    ranges = [[r["first_position"] for r in part] for part in found.rdd.glom().collect() if part]
+    times = [float("inf") if t is None else t for part in ranges for t in part]
+    assert "rangepartitioning" in found._jdf.queryExecution().executedPlan().toString() and times == sorted(times)
+    assert sorted(r["doc_id"] for r in found.collect()) == list(range(600))
