@@ -60,9 +60,14 @@ def _counted(found: Column) -> Column:
 
 def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, length, term, tf). A document is one row, so its words are counted without a shuffle."""
+    return _numbered_postings(docs, doc_id, text).drop("at")
+
+
+def _numbered_postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``postings`` with their place ``at`` in the document, from 0."""
     listed = worked_out(docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("_words")))
     rows = explode_rows(listed, _counted(F.col("_words")), "doc_id", F.size("_words").alias("length"), item="_p")
-    return rows.select("doc_id", "length", "_p.term", "_p.tf")
+    return rows.select("doc_id", "length", "_p.term", "_p.tf", F.col("_at").alias("at"))
 
 
 def term_stats(index: DataFrame) -> DataFrame:
@@ -189,10 +194,12 @@ def index_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Write it by ``range`` and sorted by ``term``: a search reads the blocks of its own terms.
     """
-    found = kept(postings(docs, doc_id, text))
-    sizes = doc_sizes(docs, text).first()
-    ranges = blocks.ranges_for(found.count(), _tasks(docs))
-    cut = blocks.posting_blocks(found, _share(F.col("length"), sizes["mean"] or 1.0), ranges)
+    found = kept(_numbered_postings(docs, doc_id, text))
+    # Every document with words has one posting at 0, so its text is read once.
+    length = F.when(F.col("at") == 0, F.col("length"))
+    sizes = found.agg(F.count(length).alias("n"), F.avg(length).alias("mean"), F.count("*").alias("postings")).first()
+    ranges = blocks.ranges_for(sizes["postings"], _tasks(docs))
+    cut = blocks.posting_blocks(found.drop("at"), _share(F.col("length"), sizes["mean"] or 1.0), ranges)
     return cut.withColumn("n", F.lit(sizes["n"]))
 
 

@@ -158,3 +158,14 @@ def test_fusion(spark):
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id bigint, doc_id bigint, rank int")
     got = rows(search.reciprocal_rank_fusion([a, b], 2).select("doc_id", "score", "rank"))
     assert got == [(10, round(1 / 61, 6), 2), (11, round(1 / 61 + 1 / 62, 6), 1)]
+
+
+def test_index_blocks_read_the_text_once(spark, monkeypatch):
+    """Sizes once came from a second pass over every text."""
+    told = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None), (4, "b c"), (5, "- -")], "doc_id bigint, text string")
+    want = search.doc_sizes(told).first()
+    monkeypatch.setattr(search, "doc_sizes", None)
+    found = search.index_blocks(told)
+    assert {r["n"] for r in found.collect()} == {want["n"]} == {2}
+    shares = {(r["term"], d): s for r in found.collect() for d, s in zip(r["docs"], r["shares"])}
+    assert shares[("a", 1)] == pytest.approx(2 * 2.2 / (2 + 1.2 * (0.25 + 0.75 * 3 / want["mean"])))
