@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +44,8 @@ def of(pages: DataFrame, layer: str, section: str | None = None) -> DataFrame:
 
 
 def has_placeholder(body: Column, placeholders: Sequence[str] = PLACEHOLDERS) -> Column:
-    return body.rlike(tx.any_of(placeholders))
+    # Plain searches of bytes; a pattern would try every text at every character.
+    return functools.reduce(operator.or_, [F.contains(body, F.lit(p)) for p in placeholders], F.lit(False))
 
 
 def stub_pages(

@@ -51,8 +51,13 @@ def quote_lines(body: Column) -> Column:
     return F.regexp_extract_all(body, F.lit(r"(?m)^>[ \t]?(.*)$"), F.lit(1))
 
 
-def _typed_base(pages: DataFrame) -> DataFrame:
-    """Parts read from a page by several columns, each taken out of the text once."""
+def _with_entries(pages: DataFrame) -> DataFrame:
+    """The front matter lines of a page, read by several columns, taken out of the text once."""
+    return worked_out(pages.withColumn("_fm", fm.entries(F.col("front_matter"))))
+
+
+def _reviewed_base(pages: DataFrame) -> DataFrame:
+    """The same for pages with quotes and provenance, whose parts are read more than once too."""
     front = F.col("front_matter")
     return worked_out(pages.withColumns(
         {
@@ -71,7 +76,7 @@ def _value(key: str) -> Column:
 def typed_claims(pages: DataFrame) -> DataFrame:
     """Claim pages (``front_matter``, ``body``) to typed claim rows."""
     quote = F.try_element_at("_quotes", F.lit(1))
-    return _typed_base(pages).select(
+    return _reviewed_base(pages).select(
         _value("id").alias("claim_id"),
         _value("title").alias("title"),
         F.to_date(_value("created")).alias("created"),
@@ -98,7 +103,7 @@ def typed_mysteries(pages: DataFrame) -> DataFrame:
     question = tx.group(
         F.col("body"), rf"(?s)\n# [^\n]*\n\n(.*?)\n\n(?:\*\*{re.escape(PAYOFF_LABEL)}\*\*|>|\z)"
     )
-    return _typed_base(pages).select(
+    return _reviewed_base(pages).select(
         _value("id").alias("mystery_id"),
         _value("title").alias("title"),
         tx.heading_text(F.col("body")).alias("heading"),
@@ -117,7 +122,7 @@ def typed_mysteries(pages: DataFrame) -> DataFrame:
 
 
 def typed_references(pages: DataFrame) -> DataFrame:
-    return _typed_base(pages).select(
+    return _with_entries(pages).select(
         _value("id").alias("ref_id"),
         _value("title").alias("title"),
         _value("subtype").alias("subtype"),
@@ -129,20 +134,23 @@ def typed_references(pages: DataFrame) -> DataFrame:
 
 
 def typed_episodes(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Episode rows with their element lists; ``keep`` carries page columns along."""
+    """Episode rows with their element lists; ``keep`` carries page columns along.
+
+    Each column is looked up by itself, so that a query works out only those it reads.
+    """
     front = F.col("front_matter")
     lists = [fm.block_list(front, key).alias(key) for key in ELEMENT_LISTS]
-    return _typed_base(pages).select(
-        _value("id").alias("episode_id"),
-        _value("chapter").alias("chapter"),
-        tx.link_target(_value("arc")).alias("arc"),
+    return pages.select(
+        fm.value(front, "id").alias("episode_id"),
+        fm.value(front, "chapter").alias("chapter"),
+        tx.link_target(fm.value(front, "arc")).alias("arc"),
         *lists,
         *keep,
     )
 
 
 def typed_entities(pages: DataFrame) -> DataFrame:
-    return _typed_base(pages).select(
+    return _with_entries(pages).select(
         _value("id").alias("entity_id"),
         _value("title").alias("title"),
         _value("subtype").alias("subtype"),

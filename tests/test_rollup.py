@@ -34,6 +34,13 @@ def chapters(spark):
     return spark.createDataFrame([("ch5004", "four"), ("ch5001", "one")], "chapter string, title string")
 
 
+def test_references_of_backlinks_are_worked_out_once(spark, claims):
+    refs = claims.select(F.col("object_id").alias("ref_id"))
+    plan = rollup.backlinks(claims, refs)._jdf.queryExecution().optimizedPlan().toString()
+    # Measured and joined as kept rows, not derived again in the join.
+    assert "Join" in plan and "Aggregate" not in plan
+
+
 def test_backlinks_keep_duplicates(spark, claims):
     refs = spark.createDataFrame([("ME_a",), ("ME_none",)], "ref_id string")
     got = rows(rollup.backlinks(claims, refs))

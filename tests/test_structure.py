@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from layerloom.functions import front_matter as fm
-from layerloom.operators import filters
+from layerloom.operators import filters, quality
 from layerloom.operators import structure as st
 from layerloom.plans import stand_ins as si
 
@@ -229,3 +229,28 @@ def test_lines_of_a_front_matter_as_one_pattern_reads_them(spark):
 def test_pages_of_a_few_splits_are_dealt_over_the_tasks(spark, sf_dir):
     for made in (si.claim_pages(spark, sf_dir), si.episode_pages(spark, sf_dir)):
         assert made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_lists_and_single_values_as_their_definitions_read_them(spark):
+    fronts = [
+        "k:\n- a\n- 'b'\n- \"c d\" \n- [[E|x]]\n- '[[E_b#s|y]]'\nz: 1\nk:\n- late", "k: \t\n- a\n\n  - b\n # c\n-d\n- \n-\t'\n_z:\n- no",
+        "a: 1\nk:\n", "k:\nz:\n- no", "k: []\n- no", " k:\n- no", "k:\n- [[a]] b\n- a|b]]\n- 'x\n- '[[y]]\n- \"it's\"\n- a]] ]]",
+        "k:\n- 語|#]]\n- [[語 x]]\n- x_1 '\n- ''\n- \"'\"", "k: 'it''s' ' \t", "k:\n", "k: \"a b", "k: a\nk: b", "kk: a\nk : b", "k:' x'", "",
+    ]
+    block = re.compile(r"(?ms)^k:[ \t]*$\n(.*?)(?=^\w|\Z)")
+    item = re.compile(r"""(?m)^[ \t]*-[ \t]+(["']?)(?:\[\[(?=.*\]\]))?(.*?)(?:(?:[|#].*)?\]\])?\1[ \t]*$""")
+    front = F.col("f")
+    got = spark.createDataFrame([(f,) for f in fronts], "f string").select(
+        "f", fm.block_list(front, "k").alias("items"), fm.value(front, "k").alias("value"), fm.scalar(fm.entries(front), "k").alias("entry")
+    )
+    for f, items, value, entry in got.collect():
+        found = block.search(f)
+        assert items == [x for _, x in item.findall(found[1] if found else "")], f
+        assert value == entry, f
+
+
+def test_drift_of_lists_reads_the_lists_alone(spark, sf_dir):
+    drift = quality.list_drift(st.typed_episodes(si.episode_pages(spark, sf_dir), keep=["body"]))
+    plan = drift._jdf.queryExecution().optimizedPlan().toString()
+    assert "relationships:" in plan
+    assert not any(part in plan for part in ("proposed_by:", "^>", r"^\w+:.*$"))
