@@ -208,7 +208,8 @@ def judge(
         "class_distance": F.coalesce(js_distance(F.col("_classes"), F.col("_ref_classes")), F.lit(0.0)),
         "word_distance": F.coalesce(js_distance(F.col("_common"), F.col("_ref_common")), F.lit(0.0)),
     }
-    beyond = lambda value, limit, size: value > limit[0] + limit[1] / F.sqrt(size)
+    # Spark may work out a shared part of both sides of an ``and`` in advance, so a text without words must not divide by zero.
+    beyond = lambda value, limit, size: value > limit[0] + limit[1] / F.sqrt(F.greatest(size, F.lit(1)))
     long_enough = (F.col("word_chars") >= MIN_CHARS), (F.col("n_words") >= MIN_HISTOGRAM_WORDS)
     chars, words = F.col("class_distance"), F.col("word_distance")
     far = (

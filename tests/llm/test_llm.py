@@ -226,6 +226,17 @@ def test_quality_counts_by_definition(spark):
     assert (got.n_dup_lines, got.n_repeat_words) == (1, len(inside)) and len(inside) == 16
 
 
+def test_texts_without_words_are_judged(spark, tmp_path):
+    texts = [None, "", " \n\t", "\n" * 50, "a", " ".join("abcdefg"), *[prose(k, 80) for k in range(9)]]
+    rows = [(k, text, "en", "a", len(text or "")) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.kept) for r in queries.op7_quality_rules(spark, str(tmp_path)).collect()}
+    assert got == {k: (len(WORD.findall(text or "")), k > 5) for k, text in enumerate(texts)}
+    good = divergence.keep_good(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert sorted(r.doc_id for r in good.collect()) == list(range(6, 15))
+
+
 def test_junk_that_fails_the_base_rules_shapes_no_reference(spark):
     good = [(k, prose(k, 80), "en") for k in range(60)]
     junk = [(1000 + k, f"## 9{k} $$ 77 || 4#4 && 1*1 " * 30, "en") for k in range(30)]
