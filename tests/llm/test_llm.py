@@ -370,6 +370,22 @@ def test_near_copies_by_brute_force(spark):
     assert near_texts.keep_one_near(docs.filter("false")).count() == 0
 
 
+def test_similar_pairs_behind_a_refused_link_are_found(spark):
+    # Of three texts two are similar (0.8), and the third is close to both by fingerprint but not similar.
+    rows = []
+    for k in range(80):
+        words = prose(5000 + k, 121).split()
+        for n, (first, last) in enumerate(((20, 23), (50, 52), (80, 84))):
+            changed = [w + "q" if first <= at < last else w for at, w in enumerate(words)]
+            rows.append((10 * k + n, " ".join(changed)))
+    x, y, z = (five_word_shingles(rows[n][1]) for n in range(3))
+    assert jaccard(x, y) >= 0.8 > max(jaccard(x, z), jaccard(y, z)) > 0.77
+    found = near_texts.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    group = {r.doc_id: r.component for r in found.collect()}
+    together = sum(group[10 * k] == group[10 * k + 1] for k in range(80))
+    assert together >= 78 and all(group[10 * k + 2] not in (group[10 * k], group[10 * k + 1]) for k in range(80)), together
+
+
 def test_lightest_forest_keeps_the_closest_links():
     a, b, d = np.array([0, 1, 0, 2]), np.array([1, 2, 2, 3]), np.array([5, 3, 4, 9])
     assert sorted(near_texts.lightest_forest(4, a, b, d).tolist()) == [1, 2, 3]
