@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ from layerloom.functions.rewrite import pieces
 from layerloom.functions.skew import join_dimension
 from layerloom.functions.tasks import kept
 from layerloom.operators.filters import applied
-from layerloom.operators.name_search import noted, one_per_name, substituted
+from layerloom.operators.name_search import noted, one_per_name, substituted, substituted_and_noted
 
 # Up to this many rows (measured) the ledger becomes part of the query; beyond it is searched in the tasks.
 INLINE_NAMES = 2_000
@@ -104,7 +105,7 @@ def substitute(
     ways give the same.
     """
     inline_names = INLINE_NAMES if inline_names is None else inline_names
-    usable = applied(ledger).filter("name <> '' AND representative IS NOT NULL").select("name", "representative", "confidence")
+    usable = _usable(ledger)
     head = usable.limit(inline_names + 1).collect()
     if not head:
         return pages.withColumn("audit", F.array().cast(AUDIT_TYPE))
@@ -153,10 +154,7 @@ def add_notes(
 ) -> DataFrame:
     """Add a ``notes`` array: unverified names that occur in the (already rewritten) text."""
     inline_names = INLINE_NAMES if inline_names is None else inline_names
-    order = "ord" if "ord" in ledger.columns else "name"
-    open_names = ledger.filter((F.col("confidence") == UNVERIFIED) & (F.col("name") != "")).select(
-        F.col(order).alias("at"), "name", "representative"
-    )
+    open_names = _open_names(ledger)
     head = open_names.limit(inline_names + 1).collect()
     if not head:
         return pages.withColumn("notes", F.array().cast(NOTE_TYPE))
@@ -170,13 +168,32 @@ def add_notes(
         )
         found = F.filter(literal, lambda n: F.contains(F.col(text), n["name"]))
         return pages.withColumn("notes", F.coalesce(found, F.array().cast(NOTE_TYPE)))
+    return _with_notes(noted(pages, _ordered(open_names), text))
+
+
+def _open_names(ledger: DataFrame) -> DataFrame:
+    """The unverified names with what notes are ordered by."""
+    order = "ord" if "ord" in ledger.columns else "name"
+    return ledger.filter((F.col("confidence") == UNVERIFIED) & (F.col("name") != "")).select(
+        F.col(order).alias("at"), "name", "representative"
+    )
+
+
+def _ordered(open_names: DataFrame) -> DataFrame:
+    """One row per name, the order as text that sorts alike: whole numbers are moved above zero and filled up."""
     names = one_per_name(open_names, ["at", "representative"])
-    # The order as text that sorts alike: whole numbers are moved above zero and filled up.
     number = dict(names.dtypes)["at"] in ("tinyint", "smallint", "int", "bigint")
     moved = F.lpad((F.col("at").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0") if number else F.col("at").cast("string")
-    names = names.select("name", F.coalesce(moved, F.lit("")).alias("at"), "representative")
+    return names.select("name", F.coalesce(moved, F.lit("")).alias("at"), "representative")
+
+
+def _with_notes(pages: DataFrame) -> DataFrame:
     listed = F.transform("_notes", lambda n: n.dropFields("at"))
-    return noted(pages, names, text).withColumn("notes", F.coalesce(listed, F.array().cast(NOTE_TYPE))).drop("_notes")
+    return pages.withColumn("notes", F.coalesce(listed, F.array().cast(NOTE_TYPE))).drop("_notes")
+
+
+def _usable(ledger: DataFrame) -> DataFrame:
+    return applied(ledger).filter("name <> '' AND representative IS NOT NULL").select("name", "representative", "confidence")
 
 
 def normalize_names(
@@ -184,9 +201,18 @@ def normalize_names(
 ) -> DataFrame:
     """Rewritten ``text`` with its ``audit`` and ``notes``."""
     inline_names = INLINE_NAMES if limits.get("inline_names") is None else limits["inline_names"]
-    # A large ledger is read several times.
-    if ledger.limit(inline_names + 1).count() > inline_names:
-        ledger = kept(ledger)
+    # A large ledger is read several times; counting and keeping it work it out once. A caller's own cache stays.
+    cached = ledger.storageLevel.useMemory or ledger.storageLevel.useDisk
+    once = ledger if cached else ledger.persist(StorageLevel.DISK_ONLY)
+    large = once.limit(inline_names + 1).count() > inline_names
+    if large:
+        ledger = kept(once)
+    if not cached:
+        once.unpersist()
+    usable, open_names = _usable(ledger), _open_names(ledger)
+    if large and all(df.limit(inline_names + 1).count() > inline_names for df in (usable, open_names)):
+        names = one_per_name(usable, ["representative", "confidence"])
+        return _with_notes(substituted_and_noted(pages, names, _ordered(open_names), text, PROTECTED))
     return add_notes(substitute(pages, ledger, page_id, text, **limits), ledger, page_id, text, **limits)
 
 

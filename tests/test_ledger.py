@@ -236,3 +236,31 @@ def test_shards_of_a_ledger_are_searched_without_a_kept_table_of_hits(spark, mon
     done = lg.normalize_names(pages(spark, "a b c d", "h g f"), book, inline_names=0)
     assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
     assert rows(done.select("body")) == [("<h> <g> <f>",), ("a b <c> <d>",)]
+
+
+def test_work_on_a_piece_does_not_build_automata(spark, monkeypatch):
+    """Automata of the names of each piece, from the whole ledger, once took more time the larger the ledger."""
+    monkeypatch.setattr(name_search, "SHARD_NAMES", 50)
+    monkeypatch.setattr(name_search, "PIECE_CHARS", 40)
+    monkeypatch.setattr(name_search, "_automaton", None)
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(300)})
+    book = ledger(spark, *[(f" {w}", f" <{w}>", UNVERIFIED if len(w) % 4 == 0 else EXPLICIT) for w in words])
+    source = pages(spark, *["".join(f" {w}" for w in rng.choices([*words, "[[", "d"], k=12)) for _ in range(20)], None)
+    shown = ("page_id", "body", "string(audit)", "string(notes)")
+    found = rows(lg.normalize_names(source, book, inline_names=0).selectExpr(*shown))
+    assert found == rows(lg.normalize_names(source, book).selectExpr(*shown))
+
+
+def test_names_of_one_hash_are_told_apart(spark):
+    names = spark.createDataFrame([(f"n{k}", f"<{k}>", EXPLICIT) for k in range(300)], "name string, representative string, confidence string")
+    # Of 14 bits some two names have the same; another seed gives hashes that differ in all.
+    seed, _, _, _, hashes, places, *_ = name_search._indexed(names, 3, bits=14)
+    assert seed > 0 and len(set((hashes >> 50).tolist())) == 300 and sorted(places.tolist()) == list(range(300))
+
+
+def test_a_ledger_is_worked_out_once_and_a_cached_one_stays(spark):
+    book = ledger(spark, *[(f"n{k}", f"<{k}>", EXPLICIT) for k in range(30)]).cache()
+    assert lg.normalize_names(pages(spark, "n1 n2"), book, inline_names=5).first()["body"] == "<1> <2>"
+    assert book.storageLevel.useMemory
+    book.unpersist()
